@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tidewatch import presets
 from tidewatch.functions import normalise_missing
+from tidewatch.operators.profile import unpivot
 from tidewatch.plans.ordering import over_series
 from tidewatch.plans.selection import exact_quantiles
+from tidewatch.plans.staging import stage
 
 
 @dataclass(frozen=True)
@@ -128,19 +130,29 @@ class FeatureModel:
 
     def fit(self, df: DataFrame) -> FeatureModel:
         """Learn medians from the raw rows and the scaler from the complete feature rows."""
+        self._fit_medians(df)
+        return self._fit_scaler(self.complete_rows(df, self._columns(df)), self._columns(df))
+
+    def _columns(self, df: DataFrame) -> list[str]:
         spec = self.spec
-        self.medians = fit_medians(df, [*spec.numeric, spec.target])
-        columns = [c for c in spec.feature_columns if c not in spec.numeric or c in df.columns]
-        aggregates = [F.count(F.lit(1)).alias("n")]
-        for i, c in enumerate(columns):
-            aggregates += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-        row = self.complete_rows(df, columns).agg(*aggregates).first()
-        if not row["n"]:
+        return [c for c in spec.feature_columns if c not in spec.numeric or c in df.columns]
+
+    def _fit_medians(self, df: DataFrame) -> None:
+        self.medians = fit_medians(df, [*self.spec.numeric, self.spec.target])
+
+    def _fit_scaler(self, rows: DataFrame, columns: list[str]) -> FeatureModel:
+        moments = unpivot(rows, columns).groupBy("position").agg(
+            F.count("value").alias("n"),
+            F.avg("value").alias("mean"),
+            F.stddev_pop("value").alias("std"),
+        )
+        found = {columns[r["position"]]: r for r in moments.collect()}  # a row per column
+        if not found:
             raise ValueError("no row has a value in every feature column")
         self.feature_columns = columns
-        self.means = {c: row[f"m{i}"] for i, c in enumerate(columns)}
-        self.stds = {c: row[f"s{i}"] for i, c in enumerate(columns)}
-        self.rows = row["n"]
+        self.means = {c: found[c]["mean"] for c in columns}
+        self.stds = {c: found[c]["std"] for c in columns}
+        self.rows = found[columns[0]]["n"]
         return self
 
     def complete_rows(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -160,6 +172,9 @@ class FeatureModel:
     def transform(self, df: DataFrame, include_target: bool = True) -> DataFrame:
         """Key and order columns, scaled features and, if wanted, the raw target."""
         self._require_fitted("transform")
+        return self._scale(self.complete_rows(df), include_target)
+
+    def _scale(self, rows: DataFrame, include_target: bool) -> DataFrame:
         spec = self.spec
         labels = [c for c in (*spec.keys, *spec.order_by) if c not in self.feature_columns]
         scaled = [
@@ -167,10 +182,16 @@ class FeatureModel:
             for c in self.feature_columns
         ]
         target = [F.col(f"`{spec.target}`")] if include_target else []
-        return self.complete_rows(df).select(*dict.fromkeys(labels), *scaled, *target)
+        return rows.select(*dict.fromkeys(labels), *scaled, *target)
 
     def fit_transform(self, df: DataFrame, include_target: bool = True) -> DataFrame:
-        return self.fit(df).transform(df, include_target)
+        """Fit and transform; the window stage runs once and its rows are staged."""
+        self._fit_medians(df)
+        columns = self._columns(df)
+        spec = self.spec
+        kept = dict.fromkeys([*spec.keys, *spec.order_by, *columns, spec.target])
+        rows = stage(self.complete_rows(df, columns).select(*kept), "features")
+        return self._fit_scaler(rows, columns)._scale(rows, include_target)
 
     def state(self, spark: SparkSession) -> DataFrame:
         """Fitted state, one row per column."""

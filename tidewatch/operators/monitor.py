@@ -197,10 +197,9 @@ def latency_stats(
 
 
 def value_histogram(df: DataFrame, column: str) -> DataFrame:
-    """Exact count of each distinct value."""
-    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    """Exact count of each distinct value, in value order."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column)
+    return counts.agg(F.count(F.lit(1)).alias("count")).orderBy(column)
 
 
 def feature_summary(log: DataFrame, feature: str, last: int = 500, ties: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,8 +75,26 @@ def missing(df: DataFrame) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
-def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[clean(df, c).cast("double").alias(c) for c in columns])
+def unpivot(df: DataFrame, columns: Sequence[str], *extra: Sequence) -> DataFrame:
+    """(position, value) rows of numeric columns, NaN read as NULL.
+
+    One grouped aggregate over this form stays one small compiled loop, where one
+    aggregate per column and statistic outgrows code generation on wide tables.
+    ``extra`` are (name, values) pairs that add a constant per column.
+    """
+    entries = [
+        F.struct(
+            F.lit(i).alias("position"),
+            clean(df, c).cast("double").alias("value"),
+            *[F.lit(values[i]).cast("double").alias(name) for name, values in extra],
+        )
+        for i, c in enumerate(columns)
+    ]
+    return df.select(F.inline(F.array(*entries)))
+
+
+def _named(columns: Sequence[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, columns)), F.col("position") + 1).alias("column")
 
 
 def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -86,41 +104,32 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     aggregate over all columns.
     """
     columns = list(columns or numeric_columns(df))
-    data = _doubles(df, columns)
-    aggregates = []
-    for i, c in enumerate(columns):
-        v = F.col(f"`{c}`")
-        aggregates.append(
-            F.struct(
-                F.count(v).alias("count"),
-                F.round(F.avg(v), 4).alias("mean"),
-                F.round(F.stddev_samp(v), 4).alias("std"),
-                F.round(F.min(v), 4).alias("min"),
-                F.round(F.max(v), 4).alias("max"),
-                F.round(sample_skewness(v), 4).alias("skewness"),
-                F.round(sample_kurtosis(v), 4).alias("kurtosis"),
-                F.count_if(v == 0).alias("zeros"),
-                F.count_if(v < 0).alias("negatives"),
-            ).alias(f"s{i}")
-        )
-    moments = data.agg(*aggregates)
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            *[
-                F.col(f"s{i}.{n}").alias(n)
-                for n in ("count", "mean", "std", "min", "max", "skewness", "kurtosis",
-                          "zeros", "negatives")
-            ],
-            *[
-                F.round(F.lit(quartiles[c, p]).cast("double"), 4).alias(n)
-                for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
-            ],
-        )
-        for i, c in enumerate(columns)
+    v = F.col("value")
+    moments = unpivot(df, columns).groupBy("position").agg(
+        F.count(v).alias("count"),
+        F.round(F.avg(v), 4).alias("mean"),
+        F.round(F.stddev_samp(v), 4).alias("std"),
+        F.round(F.min(v), 4).alias("min"),
+        F.round(F.max(v), 4).alias("max"),
+        F.round(sample_skewness(v), 4).alias("skewness"),
+        F.round(sample_kurtosis(v), 4).alias("kurtosis"),
+        F.count_if(v == 0).alias("zeros"),
+        F.count_if(v < 0).alias("negatives"),
+    )
+    places = [
+        F.round(
+            F.element_at(F.array(*[F.lit(quartiles[c, p]).cast("double") for c in columns]),
+                         F.col("position") + 1),
+            4,
+        ).alias(name)
+        for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
     ]
-    return moments.select(F.inline(F.array(*rows))).filter(F.col("count") > 0)
+    named = moments.filter(F.col("count") > 0).select("*", _named(columns), *places)
+    return named.select(
+        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max",
+        "skewness", "kurtosis", "zeros", "negatives",
+    )
 
 
 def outliers(
@@ -130,32 +139,47 @@ def outliers(
 ) -> DataFrame:
     """Values strictly outside ``q1 - m*iqr .. q3 + m*iqr``, counted per column."""
     columns = list(columns or numeric_columns(df))
-    data = _doubles(df, columns)
     quartiles = exact_quantiles(df, columns, [0.25, 0.75])
     present = [c for c in columns if quartiles[c, 0.25] is not None]
     if not present:
         return df.sparkSession.createDataFrame(
             [], "column string, outliers long, percent double, lower_bound double, upper_bound double"
         )
-    aggregates, rows = [], []
-    for i, c in enumerate(present):
+    low, high = [], []
+    for c in present:
         q1, q3 = quartiles[c, 0.25], quartiles[c, 0.75]
-        low, high = q1 - multiplier * (q3 - q1), q3 + multiplier * (q3 - q1)
-        v = F.col(f"`{c}`")
-        aggregates += [
-            F.count(v).alias(f"n{i}"),
-            F.count_if((v < low) | (v > high)).alias(f"o{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"o{i}").alias("outliers"),
-                F.round(F.col(f"o{i}") / F.col(f"n{i}") * 100, 2).alias("percent"),
-                F.round(F.lit(low), 4).alias("lower_bound"),
-                F.round(F.lit(high), 4).alias("upper_bound"),
-            )
+        low.append(q1 - multiplier * (q3 - q1))
+        high.append(q3 + multiplier * (q3 - q1))
+    cells = unpivot(df, present, ("low", low), ("high", high)).filter("value IS NOT NULL")
+    outside = F.count_if((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
+    return cells.groupBy("position").agg(
+        outside.alias("outliers"),
+        F.round(outside / F.count("value") * 100, 2).alias("percent"),
+        F.round(F.first("low"), 4).alias("lower_bound"),
+        F.round(F.first("high"), 4).alias("upper_bound"),
+    ).select(_named(present), "outliers", "percent", "lower_bound", "upper_bound")
+
+
+def _pair_correlations(
+    df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]
+) -> DataFrame:
+    cells = [clean(df, c).cast("double") for c in columns]
+    entries = [
+        F.struct(
+            F.lit(i).alias("pos_a"), F.lit(j).alias("pos_b"), cells[i].alias("a"), cells[j].alias("b")
         )
-    return data.agg(*aggregates).select(F.inline(F.array(*rows)))
+        for i, j in pairs
+    ]
+    both = df.select(F.inline(F.array(*entries)))
+    r = F.nanvl(F.corr("a", "b"), F.lit(None).cast("double"))
+    names = F.array(*map(F.lit, columns))
+    return both.groupBy("pos_a", "pos_b").agg(F.round(r, 4).alias("correlation")).select(
+        "pos_a",
+        "pos_b",
+        F.element_at(names, F.col("pos_a") + 1).alias("column_a"),
+        F.element_at(names, F.col("pos_b") + 1).alias("column_b"),
+        "correlation",
+    )
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -165,74 +189,29 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     columns. A constant column has no correlation (NULL).
     """
     columns = list(columns or numeric_columns(df))
-    data = _doubles(df, columns)
     pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
     if not pairs:
         return df.sparkSession.createDataFrame(
             [], "pos_a int, pos_b int, column_a string, column_b string, correlation double"
         )
-    row = data.agg(
-        *[
-            F.corr(F.col(f"`{columns[i]}`"), F.col(f"`{columns[j]}`")).alias(f"r_{i}_{j}")
-            for i, j in pairs
-        ]
-    )
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("pos_a"),
-                        F.lit(j).alias("pos_b"),
-                        F.lit(columns[i]).alias("column_a"),
-                        F.lit(columns[j]).alias("column_b"),
-                        F.round(
-                            F.nanvl(F.col(f"r_{i}_{j}"), F.lit(None).cast("double")), 4
-                        ).alias("correlation"),
-                    )
-                    for i, j in pairs
-                ]
-            )
-        )
-    )
+    return _pair_correlations(df, columns, pairs)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Full square matrix in long form, with the diagonal."""
     columns = list(columns or numeric_columns(df))
-    upper = correlations(df, columns)
-    entry = lambda a, b, r: F.struct(
-        F.col(a).alias("column_a"), F.col(b).alias("column_b"), r.alias("correlation")
-    )
-    both = upper.select(
-        F.inline(
-            F.array(
-                entry("column_a", "column_b", F.col("correlation")),
-                entry("column_b", "column_a", F.col("correlation")),
-            )
-        )
-    )
-    varied = _doubles(df, columns).agg(
-        *[
-            (F.min(F.col(f"`{c}`")) < F.max(F.col(f"`{c}`"))).alias(f"v{i}")
-            for i, c in enumerate(columns)
-        ]
+    if len(columns) < 2:
+        return correlations(df, columns).select("column_a", "column_b", "correlation")
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    upper = _pair_correlations(df, columns, pairs)
+    entry = lambda a, b: F.struct(
+        F.col(a).alias("column_a"), F.col(b).alias("column_b"), F.col("correlation")
     )
-    diagonal = varied.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_a"),
-                        F.lit(c).alias("column_b"),
-                        F.when(F.col(f"v{i}"), 1.0).alias("correlation"),
-                    )
-                    for i, c in enumerate(columns)
-                ]
-            )
-        )
+    here, mirrored = entry("column_a", "column_b"), entry("column_b", "column_a")
+    sides = F.when(F.col("pos_a") == F.col("pos_b"), F.array(here)).otherwise(
+        F.array(here, mirrored)
     )
-    return both.unionByName(diagonal)
+    return upper.select(F.inline(sides))
 
 
 def top_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:

@@ -7,12 +7,13 @@ from tidewatch.plans.selection import (
     order_statistics,
     row_positions,
 )
-from tidewatch.plans.staging import fresh_path, stage, staging_root
+from tidewatch.plans.staging import drop_staged, fresh_path, stage, staging_root
 
 __all__ = [
     "before",
     "chunked",
     "dense_index",
+    "drop_staged",
     "exact_quantiles",
     "fresh_path",
     "order_statistics",

@@ -1,16 +1,17 @@
 """Exact order statistics by narrowing value brackets.
 
 ``percentile`` keeps every distinct value of a column in one task. Here a sketch
-proposes a bracket around each wanted rank, a count confirms it, and only the rows
-of confirmed, small brackets are ever sorted. Nothing but counts is shuffled until
-then, and a bracket is used only after its counts prove that it holds the rank.
+proposes a bracket of values around each wanted rank, and one more pass counts the
+rows below the bracket and each distinct value inside it. Those counts prove where
+the rank lies, so the result is exact; a bracket that missed its rank is widened and
+tried again. Only counts of a few values per bracket are shuffled.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,9 +20,10 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.columns import clean, clock_micros
 
-# Brackets with at most this many rows are sorted; larger ones are narrowed first.
+# Brackets expected to hold more rows than this are narrowed before they are sorted.
 SORT_ROWS = 1_000_000
 _ACCURACY = 10_000
+_SLACK = 2.0 / _ACCURACY
 
 
 @dataclass
@@ -35,154 +37,243 @@ class OrderStatistic:
 
 @dataclass
 class _Bracket:
+    """Values ``low..high`` of a column, thought to hold all of ``ranks``."""
+
     column: str
-    rank: int
-    inside: int
-    below: int = 0
-    low: Any = None
+    ranks: list[int]
+    total: int
+    low: Any = None  # None: the whole column
     high: Any = None
-    done: bool = False
+    expected: float = math.inf  # rows inside, from the sketch's error bound
+    slack: float = _SLACK
+    found: dict[int, OrderStatistic] = field(default_factory=dict)
+
+    @property
+    def value(self) -> Column:
+        return F.col(f"`{self.column}`")
+
+    def fractions(self, offset: int, rows: int) -> list[float]:
+        """Where the sketch of ``rows`` values should look, ``offset`` rows lying below them."""
+        first = (min(self.ranks) - offset) / rows - self.slack
+        last = (max(self.ranks) + 1 - offset) / rows + self.slack
+        return [min(1.0, max(0.0, first)), min(1.0, max(0.0, last))]
+
+
+def _sketch(value: Column, fractions: list[float]) -> Column:
+    return F.percentile_approx(value, fractions, _ACCURACY)
+
+
+def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Set the brackets from one sketch per column."""
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    spots: dict[str, list[float]] = {c: [] for c in columns}
+    for b in brackets:
+        spots[b.column] += b.fractions(0, b.total)
+    row = df.agg(
+        *[_sketch(F.col(f"`{c}`"), spots[c]).alias(f"s{i}") for i, c in enumerate(columns)]
+    ).first()
+    ends = {c: iter(row[f"s{i}"]) for i, c in enumerate(columns)}
+    for b in brackets:
+        b.low, b.high = next(ends[b.column]), next(ends[b.column])
+        b.expected = 2 * b.slack * b.total
+
 
-    def holds(self) -> Column:
-        c = F.col(f"`{self.column}`")
-        return c.isNotNull() if self.low is None else c.between(F.lit(self.low), F.lit(self.high))
+def _segments(df: DataFrame, brackets: list[_Bracket]) -> tuple[DataFrame, list[str]]:
+    """(position, value, segment) cells of the bracketed columns, and those columns.
+
+    The disjoint brackets of a column cut its values into segments: an odd segment
+    is a bracket, an even one lies between brackets. Overlapping brackets are merged.
+    """
+    columns = list(dict.fromkeys(b.column for b in brackets))
+    lowest, highest = -math.inf, math.inf
+    if isinstance(df.schema[columns[0]].dataType, T.LongType):
+        lowest, highest = -(1 << 63), (1 << 63) - 1
+    cuts: list[list[tuple[Any, Any]]] = []
+    for c in columns:
+        own = [b for b in brackets if b.column == c]
+        for b in own:
+            if b.low is None:
+                b.low, b.high = lowest, highest
+        merged: list[tuple[Any, Any]] = []
+        for low, high in sorted((b.low, b.high) for b in own):
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        for b in own:
+            b.low, b.high = next(m for m in merged if m[0] <= b.low and b.high <= m[1])
+        cuts.append(merged)
+
+    depth = max(map(len, cuts))
+    kind = df.schema[columns[0]].dataType
+    entries = []
+    for i, c in enumerate(columns):
+        ends = []
+        for j in range(depth):
+            low, high = cuts[i][j] if j < len(cuts[i]) else (None, None)
+            ends += [F.lit(low).cast(kind).alias(f"l{j}"), F.lit(high).cast(kind).alias(f"h{j}")]
+        entries.append(F.struct(F.lit(i).alias("position"), F.col(f"`{c}`").alias("value"), *ends))
+    cells = df.select(F.inline(F.array(*entries))).filter("value IS NOT NULL")
+    steps = F.lit(0)
+    for j in range(depth):
+        for passed in (F.col("value") >= F.col(f"l{j}"), F.col("value") > F.col(f"h{j}")):
+            steps = steps + F.when(passed, 1).otherwise(0)
+    return cells.select("position", "value", steps.alias("segment")), columns
 
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """One sketch pass and one count pass over all ``brackets``."""
-    slack = 2.0 / _ACCURACY
-    sketches = []
-    for i, b in enumerate(brackets):
-        place = (b.rank - b.below + 0.5) / b.inside
-        probs = [max(0.0, place - slack), min(1.0, place + slack)]
-        value = F.when(b.holds(), F.col(f"`{b.column}`"))
-        sketches.append(F.percentile_approx(value, probs, _ACCURACY).alias(f"b{i}"))
-    found = df.agg(*sketches).first()
-
-    counts = []
-    for i, b in enumerate(brackets):
-        c, (low, high) = F.col(f"`{b.column}`"), found[f"b{i}"]
-        counts.append(F.count_if(c < F.lit(low)).alias(f"below{i}"))
-        counts.append(F.count_if(c.between(F.lit(low), F.lit(high))).alias(f"in{i}"))
-    sizes = df.agg(*counts).first()
-
-    for i, b in enumerate(brackets):
-        low, high = found[f"b{i}"]
-        below, inside = sizes[f"below{i}"], sizes[f"in{i}"]
-        if not below <= b.rank < below + inside or inside >= b.inside:
-            b.done = True  # ties dominate: the sort below groups equal values first
+    """Count the brackets, then sketch again inside each of them."""
+    cells, columns = _segments(df, brackets)
+    sizes = {
+        (r["position"], r["segment"]): r["n"]
+        for r in cells.groupBy("position", "segment").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    usable = []
+    for b in brackets:
+        i = columns.index(b.column)
+        lows = sorted({o.low for o in brackets if o.column == b.column})
+        segment = 2 * lows.index(b.low) + 1
+        below = sum(n for (p, s), n in sizes.items() if p == i and s < segment)
+        inside = sizes.get((i, segment), 0)
+        if below <= min(b.ranks) and max(b.ranks) < below + inside:
+            usable.append((b, below, inside))
+        else:
+            _widen(df, b)
+    if not usable:
+        return
+    row = df.agg(
+        *[
+            _sketch(
+                F.when(b.value.between(F.lit(b.low), F.lit(b.high)), b.value),
+                b.fractions(below, inside),
+            ).alias(f"s{i}")
+            for i, (b, below, inside) in enumerate(usable)
+        ]
+    ).first()
+    for i, (b, _, inside) in enumerate(usable):
+        expected = 2 * b.slack * inside
+        if (b.low, b.high) == tuple(row[i]) or expected >= b.expected:
+            b.expected = 0  # few distinct values: nothing left to narrow
             continue
-        b.low, b.high, b.below, b.inside = low, high, below, inside
-        b.done = low == high
+        (b.low, b.high), b.expected = row[i], expected
+
+
+def _widen(df: DataFrame, bracket: _Bracket) -> None:
+    """Try again with more slack; from the whole column the result cannot be missed."""
+    bracket.slack *= 8
+    if bracket.slack >= 1:
+        bracket.low = bracket.high = None
+        bracket.expected = 0
+    else:
+        _propose(df, [bracket])
+
+
+def _tally(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Count rows between brackets and per value inside them; look the ranks up."""
+    cells, columns = _segments(df, brackets)
+    inside = F.col("segment") % 2 == 1
+    counted = cells.groupBy(
+        "position", "segment", F.when(inside, F.col("value")).alias("value")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("position").orderBy("segment", "value")
+    running = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("first", running - F.col("n"))
+    ranks = [sorted({r for b in brackets if b.column == c for r in b.ranks}) for c in columns]
+    wanted = F.element_at(
+        F.array(*[F.array(*map(F.lit, r)).cast("array<long>") for r in ranks]),
+        F.col("position") + 1,
+    )
+    holds_rank = F.exists(
+        wanted, lambda r: (F.col("first") <= r) & (r < F.col("first") + F.col("n"))
+    )
+    # At most one row per wanted rank.
+    for row in ranked.filter(inside & holds_rank).collect():
+        for b in brackets:
+            if b.column == columns[row["position"]]:
+                for rank in b.ranks:
+                    if row["first"] <= rank < row["first"] + row["n"]:
+                        b.found[rank] = OrderStatistic(row["value"], row["first"], row["n"])
+
+
+def _resolve(df: DataFrame, brackets: list[_Bracket], sort_rows: int) -> None:
+    while True:
+        pending = [b for b in brackets if len(b.found) < len(set(b.ranks))]
+        if not pending:
+            return
+        wide = [b for b in pending if b.expected > sort_rows]
+        if wide:
+            _narrow(df, wide)
+            continue
+        _tally(df, pending)
+        for b in pending:
+            if len(b.found) < len(set(b.ranks)):
+                b.found.clear()
+                _widen(df, b)
+
+
+def _brackets(column: str, ranks: Sequence[int], total: int) -> list[_Bracket]:
+    """One bracket per run of neighbouring ranks."""
+    groups: list[list[int]] = []
+    for rank in sorted(set(ranks)):
+        if groups and rank - groups[-1][-1] <= 1:
+            groups[-1].append(rank)
+        else:
+            groups.append([rank])
+    return [_Bracket(column, g, total) for g in groups]
 
 
 def order_statistics(
-    df: DataFrame,
-    targets: Sequence[tuple[str, int]],
-    counts: dict[str, int] | None = None,
-    sort_rows: int | None = None,
+    df: DataFrame, column: str, ranks: Sequence[int], sort_rows: int | None = None
 ) -> list[OrderStatistic]:
-    """Exact value at each (column, 0-based rank) among the column's non-null values.
-
-    All target columns must share one numeric type. Results are scalars, one per
-    target.
-    """
-    if not targets:
+    """Exact values at 0-based ``ranks`` among the non-null values of a numeric column."""
+    if not ranks:
         return []
-    sort_rows = SORT_ROWS if sort_rows is None else sort_rows
-    names = list(dict.fromkeys(c for c, _ in targets))
-    df = df.select(*[F.col(f"`{c}`") for c in names])
-    if counts is None:
-        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)]).first()
-        counts = {c: row[f"n{i}"] for i, c in enumerate(names)}
-    for c, rank in targets:
-        if not 0 <= rank < counts[c]:
-            raise IndexError(f"rank {rank} is outside the {counts[c]} values of {c}")
-
-    brackets = [_Bracket(c, rank, counts[c]) for c, rank in targets]
-    while True:
-        wide = [b for b in brackets if not b.done and b.inside > sort_rows]
-        if not wide:
-            break
-        _narrow(df, wide)
-
-    open_ids = [
-        i for i, b in enumerate(brackets) if b.low is None or b.low != b.high
-    ]
-    results: dict[int, OrderStatistic] = {
-        i: OrderStatistic(b.low, b.below, b.inside)
-        for i, b in enumerate(brackets)
-        if i not in open_ids
-    }
-    if open_ids:
-        # Several ranks of one column often share a bracket; sort it once.
-        groups: dict[tuple, list[int]] = {}
-        for i in open_ids:
-            b = brackets[i]
-            groups.setdefault((b.column, b.low, b.high), []).append(i)
-        first = [ids[0] for ids in groups.values()]
-        pairs = F.array(
-            *[
-                F.struct(
-                    F.lit(g).alias("g"),
-                    F.when(brackets[i].holds(), F.col(f"`{brackets[i].column}`")).alias("v"),
-                )
-                for g, i in enumerate(first)
-            ]
-        )
-        values = df.select(F.inline(pairs)).filter(F.col("v").isNotNull())
-        tallies = values.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-        running = F.sum("n").over(
-            Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        )
-        ranked = tallies.select("g", "v", "n", (running - F.col("n")).alias("before"))
-        wanted, owners = None, []
-        for g, ids in enumerate(groups.values()):
-            for i in ids:
-                at = brackets[i].rank - brackets[i].below
-                owners.append((g, at, i))
-                hit = (
-                    (F.col("g") == g)
-                    & (F.col("before") <= F.lit(at))
-                    & (F.lit(at) < F.col("before") + F.col("n"))
-                )
-                wanted = hit if wanted is None else wanted | hit
-        for row in ranked.filter(wanted).collect():
-            for g, at, i in owners:
-                if g == row["g"] and row["before"] <= at < row["before"] + row["n"]:
-                    below = brackets[i].below + row["before"]
-                    results[i] = OrderStatistic(row["v"], below, row["n"])
-    return [results[i] for i in range(len(brackets))]
+    df = df.select(F.col(f"`{column}`"))
+    total = df.agg(F.count(F.col(f"`{column}`"))).first()[0]
+    for rank in ranks:
+        if not 0 <= rank < total:
+            raise IndexError(f"rank {rank} is outside the {total} values of {column}")
+    brackets = _brackets(column, ranks, total)
+    _propose(df, brackets)
+    _resolve(df, brackets, SORT_ROWS if sort_rows is None else sort_rows)
+    found = {rank: stat for b in brackets for rank, stat in b.found.items()}
+    return [found[rank] for rank in ranks]
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    counts: dict[str, int] | None = None,
     sort_rows: int | None = None,
 ) -> dict[tuple[str, float], float | None]:
     """Exact linearly interpolated quantiles of several columns at once.
 
-    NaN counts as missing. A column without values gets None.
+    Two passes over the columns unless a bracket has to be narrowed. NaN counts as
+    missing. A column without values gets None.
     """
-    columns = list(columns)
+    columns, probabilities = list(columns), list(probabilities)
     if not columns:
         return {}
     values = df.select(*[clean(df, c).cast("double").alias(c) for c in columns])
-    if counts is None:
-        row = values.agg(
-            *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
-        ).first()
-        counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    targets: list[tuple[str, int]] = []
-    for c in columns:
-        for p in probabilities:
-            if counts[c]:
-                place = (counts[c] - 1) * p
-                targets += [(c, math.floor(place)), (c, math.ceil(place))]
-    targets = list(dict.fromkeys(targets))
-    found = dict(zip(targets, order_statistics(values, targets, counts, sort_rows)))
+    spots = [x for p in probabilities for x in (max(0.0, p - _SLACK), min(1.0, p + _SLACK))]
+    first = values.agg(
+        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[_sketch(F.col(f"`{c}`"), spots).alias(f"s{i}") for i, c in enumerate(columns)],
+    ).first()
+    counts = {c: first[f"n{i}"] for i, c in enumerate(columns)}
+
+    brackets: dict[tuple[str, float], _Bracket] = {}
+    for i, c in enumerate(columns):
+        if not counts[c]:
+            continue
+        for j, p in enumerate(probabilities):
+            place = (counts[c] - 1) * p
+            b = _Bracket(c, sorted({math.floor(place), math.ceil(place)}), counts[c])
+            b.low, b.high = first[f"s{i}"][2 * j : 2 * j + 2]
+            b.expected = 2 * b.slack * b.total
+            brackets[c, p] = b
+    _resolve(values, list(brackets.values()), SORT_ROWS if sort_rows is None else sort_rows)
+
     result: dict[tuple[str, float], float | None] = {}
     for c in columns:
         for p in probabilities:
@@ -190,8 +281,8 @@ def exact_quantiles(
                 result[c, p] = None
                 continue
             place = (counts[c] - 1) * p
-            low = found[c, math.floor(place)].value
-            high = found[c, math.ceil(place)].value
+            found = brackets[c, p].found
+            low, high = found[math.floor(place)].value, found[math.ceil(place)].value
             result[c, p] = low + (high - low) * (place - math.floor(place))
     return result
 
@@ -231,7 +322,7 @@ def _positions(
     keys: DataFrame, order_by: list[str], ranks: Sequence[int], sort_rows: int | None
 ) -> list[tuple]:
     head, rest = order_by[0], order_by[1:]
-    stats = order_statistics(keys, [(head, r) for r in ranks], sort_rows=sort_rows)
+    stats = order_statistics(keys, head, ranks, sort_rows)
     positions = []
     for rank, stat in zip(ranks, stats):
         if stat.equal == 1 or not rest:

@@ -27,10 +27,13 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/tidewatch/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{staging_root(spark)}/tidewatch/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -38,3 +41,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the staged tables of this application; DataFrames that read them end here."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

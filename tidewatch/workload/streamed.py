@@ -14,10 +14,11 @@ from tidewatch.streaming import features as feature_stream
 from tidewatch.streaming import ingest as ingest_stream
 from tidewatch.streaming import monitor as monitor_stream
 from tidewatch.streaming import score as score_stream
+from tidewatch.workload.drifting import _ks_sql
 from tidewatch.workload.feature import ORACLE as FEATURE_ORACLE
 from tidewatch.workload.feature import SERIES
 from tidewatch.workload.logged import _LOG_SQL, prediction_log
-from tidewatch.workload.tables import HALF, HALF_SQL, at, measured, table
+from tidewatch.workload.tables import HALF, HALF_SQL, MEASURED_SQL, at, measured, table
 from tidewatch.workload.trained import _fitted
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
@@ -71,6 +72,7 @@ def st_drift(spark, sf_dir):
             spark.readStream.schema(PREDICTION_LOG).parquet(landed),
             drift.Baseline.load(spark, base), ["k", "value"], out, checkpoint,
         ).awaitTermination()
+    # A log column k exists for error events too, unlike in the measured baseline.
     return spark.read.parquet(out).select(
         "batch_id", "status", "feature", "ks_statistic", "drift_detected", "current_mean"
     )
@@ -126,4 +128,22 @@ SELECT date_trunc('day', "timestamp")::TIMESTAMP AS window_start,
 FROM log GROUP BY 1, 2
 HAVING date_trunc('day', "timestamp")::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max("timestamp") FROM log) - INTERVAL 1 HOUR""",
     "st_features": FEATURE_ORACLE["fe_features"],
+    "st_drift": f"""
+WITH {_LOG_SQL}, {MEASURED_SQL},
+base AS (SELECT k, value FROM measured WHERE ts < {HALF_SQL}),
+cur AS (SELECT k, value, CAST("timestamp" >= TIMESTAMP '2024-01-23' AS INTEGER) AS batch FROM log
+        WHERE "timestamp" >= {HALF_SQL}),
+"""
+    + _ks_sql(
+        " UNION ALL ".join(
+            f"SELECT '{b}{c}' AS feature, {c} AS value, false AS cur FROM base "
+            f"UNION ALL SELECT '{b}{c}', {c}, true FROM cur WHERE batch = {b}"
+            for b in (0, 1)
+            for c in ("k", "value")
+        )
+    )
+    + """
+SELECT feature[1]::BIGINT AS batch_id, 'checked' AS status, feature[2:] AS feature, round(d, 6) AS ks_statistic,
+       p < 0.05 AS drift_detected, round(cm, 4) AS current_mean
+FROM t JOIN s USING (feature)""",
 }

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidewatch.operators import evaluate, importance, score, train
 from tidewatch.operators.features import FeatureModel, FeatureSpec
 from tidewatch.plans.ordering import over_series
-from tidewatch.plans.staging import stage
 from tidewatch.workload.feature import WITH_INPUT
 from tidewatch.workload.tables import measured, table
 
@@ -53,8 +52,7 @@ def tr_metrics(spark, sf_dir):
 
 def _matrix(spark, sf_dir):
     model = FeatureModel(FeatureSpec(**{**WITH_INPUT.__dict__, "include_current": False}))
-    rows = stage(model.fit_transform(measured(spark, sf_dir)), "matrix")
-    return rows, model.feature_columns
+    return model.fit_transform(measured(spark, sf_dir)), model.feature_columns
 
 
 def _fitted(spark, sf_dir):
