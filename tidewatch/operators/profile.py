@@ -171,7 +171,10 @@ def _pair_correlations(
         for i, j in pairs
     ]
     both = df.select(F.inline(F.array(*entries)))
-    r = F.nanvl(F.corr("a", "b"), F.lit(None).cast("double"))
+    # Spread of each side over the rows that have both; corr() fails on a constant side.
+    spread_a = F.var_pop(F.when(F.col("b").isNotNull(), F.col("a")))
+    spread_b = F.var_pop(F.when(F.col("a").isNotNull(), F.col("b")))
+    r = F.try_divide(F.covar_pop("a", "b"), F.sqrt(spread_a) * F.sqrt(spread_b))
     names = F.array(*map(F.lit, columns))
     return both.groupBy("pos_a", "pos_b").agg(F.round(r, 4).alias("correlation")).select(
         "pos_a",

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}  # application id -> folder, for local sessions only
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -22,9 +23,10 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors can reach")
-    root = tempfile.mkdtemp(prefix="tidewatch-")
-    spark.conf.set(SETTING, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="tidewatch-")
+    return _local_roots[app]
 
 
 def _own_folder(spark: SparkSession) -> str:
