@@ -8,6 +8,7 @@ from tidewatch.functions.columns import (
     instant_clock,
     normalise_missing,
     numeric_columns,
+    quoted,
 )
 from tidewatch.functions.stats import (
     ks_p_value,
@@ -26,6 +27,7 @@ __all__ = [
     "numeric_columns",
     "ks_p_value",
     "position_percentile",
+    "quoted",
     "sample_kurtosis",
     "sample_skewness",
 ]

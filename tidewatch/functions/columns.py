@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """Column name for use in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """Names of the numeric columns, in schema order."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

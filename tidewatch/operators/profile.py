@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import (
-    clean,
     clock_micros,
     normalise_missing,
     numeric_columns,
+    quoted,
     sample_kurtosis,
     sample_skewness,
 )
@@ -75,36 +75,42 @@ def missing(df: DataFrame) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
-def unpivot(df: DataFrame, columns: Sequence[str], *extra: Sequence) -> DataFrame:
+def _cell(name: str) -> str:
+    """SQL text of a numeric column as double, NaN read as NULL."""
+    return f"nanvl(CAST({quoted(name)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def unpivot(df: DataFrame, columns: Sequence[str], **extra: Sequence[float]) -> DataFrame:
     """(position, value) rows of numeric columns, NaN read as NULL.
 
     One grouped aggregate over this form stays one small compiled loop, where one
     aggregate per column and statistic outgrows code generation on wide tables.
-    ``extra`` are (name, values) pairs that add a constant per column.
+    ``extra`` adds a constant per column.
     """
-    entries = [
-        F.struct(
-            F.lit(i).alias("position"),
-            clean(df, c).cast("double").alias("value"),
-            *[F.lit(values[i]).cast("double").alias(name) for name, values in extra],
-        )
-        for i, c in enumerate(columns)
-    ]
-    return df.select(F.inline(F.array(*entries)))
+    rows = []
+    for i, c in enumerate(columns):
+        more = "".join(f", CAST('{values[i]!r}' AS DOUBLE) AS {name}" for name, values in extra.items())
+        rows.append(f"struct({i} AS position, {_cell(c)} AS value{more})")
+    return df.select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def _named(columns: Sequence[str]) -> Column:
     return F.element_at(F.array(*map(F.lit, columns)), F.col("position") + 1).alias("column")
 
 
-def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+Quartiles = dict[tuple[str, float], float | None]
+
+
+def numeric_stats(
+    df: DataFrame, columns: Sequence[str] | None = None, quartiles: Quartiles | None = None
+) -> DataFrame:
     """Distribution of each numeric column (4 decimals); all-null columns are left out.
 
     Quartiles are exact. The corrected moments and the counts come from one
     aggregate over all columns.
     """
     columns = list(columns or numeric_columns(df))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    quartiles = quartiles or exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     v = F.col("value")
     moments = unpivot(df, columns).groupBy("position").agg(
         F.count(v).alias("count"),
@@ -136,10 +142,11 @@ def outliers(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     multiplier: float = IQR_MULTIPLIER,
+    quartiles: Quartiles | None = None,
 ) -> DataFrame:
     """Values strictly outside ``q1 - m*iqr .. q3 + m*iqr``, counted per column."""
     columns = list(columns or numeric_columns(df))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75])
+    quartiles = quartiles or exact_quantiles(df, columns, [0.25, 0.75])
     present = [c for c in columns if quartiles[c, 0.25] is not None]
     if not present:
         return df.sparkSession.createDataFrame(
@@ -150,7 +157,7 @@ def outliers(
         q1, q3 = quartiles[c, 0.25], quartiles[c, 0.75]
         low.append(q1 - multiplier * (q3 - q1))
         high.append(q3 + multiplier * (q3 - q1))
-    cells = unpivot(df, present, ("low", low), ("high", high)).filter("value IS NOT NULL")
+    cells = unpivot(df, present, low=low, high=high).filter("value IS NOT NULL")
     outside = F.count_if((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
     return cells.groupBy("position").agg(
         outside.alias("outliers"),
@@ -163,14 +170,11 @@ def outliers(
 def _pair_correlations(
     df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]
 ) -> DataFrame:
-    cells = [clean(df, c).cast("double") for c in columns]
-    entries = [
-        F.struct(
-            F.lit(i).alias("pos_a"), F.lit(j).alias("pos_b"), cells[i].alias("a"), cells[j].alias("b")
-        )
+    entries = ", ".join(
+        f"struct({i} AS pos_a, {j} AS pos_b, {_cell(columns[i])} AS a, {_cell(columns[j])} AS b)"
         for i, j in pairs
-    ]
-    both = df.select(F.inline(F.array(*entries)))
+    )
+    both = df.select(F.expr(f"inline(array({entries}))"))
     # Spread of each side over the rows that have both; corr() fails on a constant side.
     spread_a = F.var_pop(F.when(F.col("b").isNotNull(), F.col("a")))
     spread_b = F.var_pop(F.when(F.col("a").isNotNull(), F.col("b")))
@@ -338,16 +342,17 @@ def report(df: DataFrame, time_column: str | None = None, top: int = 10) -> Data
         )
 
     name, none = F.col("column"), F.lit(None)
+    quartiles = exact_quantiles(df, numeric_columns(df), [0.25, 0.5, 0.75])
     parts = [
         long(shape(df), "shape", name, none, ["dtype", "row_count", "column_count"]),
         long(missing(df), "missing", name, none, ["missing", "percent"]),
         long(
-            numeric_stats(df), "numeric", name, none,
+            numeric_stats(df, quartiles=quartiles), "numeric", name, none,
             ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "skewness",
              "kurtosis", "zeros", "negatives"],
         ),
         long(
-            outliers(df), "outliers", name, none,
+            outliers(df, quartiles=quartiles), "outliers", name, none,
             ["outliers", "percent", "lower_bound", "upper_bound"],
         ),
         long(

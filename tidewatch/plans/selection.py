@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.columns import clean, clock_micros
+from tidewatch.functions.columns import clean, clock_micros, quoted
 
 # Brackets expected to hold more rows than this are narrowed before they are sorted.
 SORT_ROWS = 1_000_000
@@ -78,6 +78,14 @@ def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
         b.expected = 2 * b.slack * b.total
 
 
+def _literal(value: Any, kind: T.DataType) -> str:
+    if value is None:
+        return f"CAST(NULL AS {kind.simpleString()})"
+    if isinstance(kind, T.LongType):
+        return f"CAST('{value}' AS BIGINT)"
+    return f"CAST('{value!r}' AS DOUBLE)"
+
+
 def _segments(df: DataFrame, brackets: list[_Bracket]) -> tuple[DataFrame, list[str]]:
     """(position, value, segment) cells of the bracketed columns, and those columns.
 
@@ -108,16 +116,17 @@ def _segments(df: DataFrame, brackets: list[_Bracket]) -> tuple[DataFrame, list[
     kind = df.schema[columns[0]].dataType
     entries = []
     for i, c in enumerate(columns):
-        ends = []
-        for j in range(depth):
-            low, high = cuts[i][j] if j < len(cuts[i]) else (None, None)
-            ends += [F.lit(low).cast(kind).alias(f"l{j}"), F.lit(high).cast(kind).alias(f"h{j}")]
-        entries.append(F.struct(F.lit(i).alias("position"), F.col(f"`{c}`").alias("value"), *ends))
-    cells = df.select(F.inline(F.array(*entries))).filter("value IS NOT NULL")
-    steps = F.lit(0)
-    for j in range(depth):
-        for passed in (F.col("value") >= F.col(f"l{j}"), F.col("value") > F.col(f"h{j}")):
-            steps = steps + F.when(passed, 1).otherwise(0)
+        ends = "".join(
+            f", {_literal(low, kind)} AS l{j}, {_literal(high, kind)} AS h{j}"
+            for j, (low, high) in enumerate(cuts[i] + [(None, None)] * (depth - len(cuts[i])))
+        )
+        entries.append(f"struct({i} AS position, {quoted(c)} AS value{ends})")
+    cells = df.select(F.expr(f"inline(array({', '.join(entries)}))")).filter("value IS NOT NULL")
+    steps = " + ".join(
+        f"CASE WHEN value >= l{j} THEN 1 ELSE 0 END + CASE WHEN value > h{j} THEN 1 ELSE 0 END"
+        for j in range(depth)
+    )
+    steps = F.expr(steps)
     return cells.select("position", "value", steps.alias("segment")), columns
 
 
