@@ -20,6 +20,7 @@ from tidewatch.plans import (
     over_series,
     row_index,
     row_positions,
+    selection,
     stage,
     staging,
     staging_root,
@@ -86,8 +87,20 @@ def test_exact_quantiles_equal_percentile(events, sort_rows):
         assert [found[c, p] for p in probabilities] == pytest.approx(expected, abs=1e-12)
 
 
+@pytest.mark.parametrize("sample_rows, sort_rows", [(200, 50), (200, 10**6), (3, 5)])
+def test_brackets_from_a_sample_give_exact_quantiles(events, monkeypatch, sample_rows, sort_rows):
+    monkeypatch.setattr(selection, "SKETCH_BYTES", 0)
+    monkeypatch.setattr(selection, "SAMPLE_ROWS", sample_rows)
+    probabilities = [0.0, 0.3, 0.5, 1.0]
+    found = exact_quantiles(events, ["value"], probabilities, sort_rows)
+    expected = events.agg(F.percentile("value", probabilities)).first()[0]
+    assert [found["value", p] for p in probabilities] == pytest.approx(expected, abs=1e-12)
+    (stat,) = order_statistics(events, "user_id", [700], sort_rows)
+    assert stat.below <= 700 < stat.below + stat.equal
+
+
 @settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(st.lists(st.sampled_from([0.0, 1.0, 1.5, -3.0, 7.25]), min_size=1, max_size=40))
 def test_order_statistics_with_ties(spark, values):

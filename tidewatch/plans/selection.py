@@ -5,6 +5,10 @@ proposes a bracket of values around each wanted rank, and one more pass counts t
 rows below the bracket and each distinct value inside it. Those counts prove where
 the rank lies, so the result is exact; a bracket that missed its rank is widened and
 tried again. Only counts of a few values per bracket are shuffled.
+
+A sketch of every scan task meets the others in one reducer, which thousands of tasks
+would swamp. On large input the sketch therefore reads a sample. That changes how
+wide the brackets come out and nothing else: all rows are counted against them.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from tidewatch.functions.columns import clean, clock_micros, quoted
 
 # Brackets expected to hold more rows than this are narrowed before they are sorted.
 SORT_ROWS = 1_000_000
+# Input of at most this many bytes is sketched whole, larger input from so many rows.
+SKETCH_BYTES = 8 << 30
+SAMPLE_ROWS = 4_000_000
 _ACCURACY = 10_000
-_SLACK = 2.0 / _ACCURACY
 
 
 @dataclass
@@ -45,7 +51,7 @@ class _Bracket:
     low: Any = None  # None: the whole column
     high: Any = None
     expected: float = math.inf  # rows inside, from the sketch's error bound
-    slack: float = _SLACK
+    slack: float = 0.0  # error bound of the sketch, as a fraction of its values
     found: dict[int, OrderStatistic] = field(default_factory=dict)
 
     @property
@@ -59,23 +65,42 @@ class _Bracket:
         return [min(1.0, max(0.0, first)), min(1.0, max(0.0, last))]
 
 
+def _is_small(df: DataFrame) -> bool:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= SKETCH_BYTES
+
+
+def _slack(whole: bool) -> float:
+    """Error bound of the sketch; four standard errors of a median for a sample."""
+    return 2.0 / _ACCURACY + (0.0 if whole else 2.0 / math.sqrt(SAMPLE_ROWS))
+
+
+def _sampled(df: DataFrame, rows: int, whole: bool) -> DataFrame:
+    """``df``, or a sample with SAMPLE_ROWS of the ``rows`` of interest."""
+    if whole or rows <= SAMPLE_ROWS:
+        return df
+    return df.sample(SAMPLE_ROWS / rows, seed=11)
+
+
 def _sketch(value: Column, fractions: list[float]) -> Column:
     return F.percentile_approx(value, fractions, _ACCURACY)
 
 
-def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
+def _propose(df: DataFrame, brackets: list[_Bracket], whole: bool) -> None:
     """Set the brackets from one sketch per column."""
     columns = list(dict.fromkeys(b.column for b in brackets))
     spots: dict[str, list[float]] = {c: [] for c in columns}
     for b in brackets:
+        b.slack = b.slack or _slack(whole)
         spots[b.column] += b.fractions(0, b.total)
-    row = df.agg(
+    source = _sampled(df, min(b.total for b in brackets), whole)
+    row = source.agg(
         *[_sketch(F.col(f"`{c}`"), spots[c]).alias(f"s{i}") for i, c in enumerate(columns)]
     ).first()
-    ends = {c: iter(row[f"s{i}"]) for i, c in enumerate(columns)}
+    ends = {c: iter(row[f"s{i}"] or ()) for i, c in enumerate(columns)}
     for b in brackets:
-        b.low, b.high = next(ends[b.column]), next(ends[b.column])
-        b.expected = 2 * b.slack * b.total
+        b.low, b.high = next(ends[b.column], None), next(ends[b.column], None)
+        b.expected = 2 * b.slack * b.total if b.low is not None else b.total
 
 
 def _literal(value: Any, kind: T.DataType) -> str:
@@ -130,27 +155,28 @@ def _segments(df: DataFrame, brackets: list[_Bracket]) -> tuple[DataFrame, list[
     return cells.select("position", "value", steps.alias("segment")), columns
 
 
-def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
+def _narrow(df: DataFrame, brackets: list[_Bracket], whole: bool) -> None:
     """Count the brackets, then sketch again inside each of them."""
     cells, columns = _segments(df, brackets)
     sizes = {
         (r["position"], r["segment"]): r["n"]
         for r in cells.groupBy("position", "segment").agg(F.count(F.lit(1)).alias("n")).collect()
     }
+    lows = {c: sorted({b.low for b in brackets if b.column == c}) for c in columns}
     usable = []
     for b in brackets:
         i = columns.index(b.column)
-        lows = sorted({o.low for o in brackets if o.column == b.column})
-        segment = 2 * lows.index(b.low) + 1
+        segment = 2 * lows[b.column].index(b.low) + 1
         below = sum(n for (p, s), n in sizes.items() if p == i and s < segment)
         inside = sizes.get((i, segment), 0)
         if below <= min(b.ranks) and max(b.ranks) < below + inside:
             usable.append((b, below, inside))
         else:
-            _widen(df, b)
+            _widen(df, b, whole)
     if not usable:
         return
-    row = df.agg(
+    source = _sampled(df, min(inside for _, _, inside in usable), whole)
+    row = source.agg(
         *[
             _sketch(
                 F.when(b.value.between(F.lit(b.low), F.lit(b.high)), b.value),
@@ -161,20 +187,20 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     ).first()
     for i, (b, _, inside) in enumerate(usable):
         expected = 2 * b.slack * inside
-        if (b.low, b.high) == tuple(row[i]) or expected >= b.expected:
+        if row[i] is None or (b.low, b.high) == tuple(row[i]) or expected >= b.expected:
             b.expected = 0  # few distinct values: nothing left to narrow
             continue
         (b.low, b.high), b.expected = row[i], expected
 
 
-def _widen(df: DataFrame, bracket: _Bracket) -> None:
+def _widen(df: DataFrame, bracket: _Bracket, whole: bool) -> None:
     """Try again with more slack; from the whole column the result cannot be missed."""
     bracket.slack *= 8
     if bracket.slack >= 1:
         bracket.low = bracket.high = None
         bracket.expected = 0
     else:
-        _propose(df, [bracket])
+        _propose(df, [bracket], whole)
 
 
 def _tally(df: DataFrame, brackets: list[_Bracket]) -> None:
@@ -204,20 +230,20 @@ def _tally(df: DataFrame, brackets: list[_Bracket]) -> None:
                         b.found[rank] = OrderStatistic(row["value"], row["first"], row["n"])
 
 
-def _resolve(df: DataFrame, brackets: list[_Bracket], sort_rows: int) -> None:
+def _resolve(df: DataFrame, brackets: list[_Bracket], sort_rows: int, whole: bool) -> None:
     while True:
         pending = [b for b in brackets if len(b.found) < len(set(b.ranks))]
         if not pending:
             return
         wide = [b for b in pending if b.expected > sort_rows]
         if wide:
-            _narrow(df, wide)
+            _narrow(df, wide, whole)
             continue
         _tally(df, pending)
         for b in pending:
             if len(b.found) < len(set(b.ranks)):
                 b.found.clear()
-                _widen(df, b)
+                _widen(df, b, whole)
 
 
 def _brackets(column: str, ranks: Sequence[int], total: int) -> list[_Bracket]:
@@ -243,8 +269,9 @@ def order_statistics(
         if not 0 <= rank < total:
             raise IndexError(f"rank {rank} is outside the {total} values of {column}")
     brackets = _brackets(column, ranks, total)
-    _propose(df, brackets)
-    _resolve(df, brackets, SORT_ROWS if sort_rows is None else sort_rows)
+    whole = _is_small(df)
+    _propose(df, brackets, whole)
+    _resolve(df, brackets, SORT_ROWS if sort_rows is None else sort_rows, whole)
     found = {rank: stat for b in brackets for rank, stat in b.found.items()}
     return [found[rank] for rank in ranks]
 
@@ -264,11 +291,17 @@ def exact_quantiles(
     if not columns:
         return {}
     values = df.select(*[clean(df, c).cast("double").alias(c) for c in columns])
-    spots = [x for p in probabilities for x in (max(0.0, p - _SLACK), min(1.0, p + _SLACK))]
-    first = values.agg(
-        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[_sketch(F.col(f"`{c}`"), spots).alias(f"s{i}") for i, c in enumerate(columns)],
-    ).first()
+    whole = _is_small(values)
+    slack = _slack(whole)
+    spots = [x for p in probabilities for x in (max(0.0, p - slack), min(1.0, p + slack))]
+    tallies = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
+    sketches = [_sketch(F.col(f"`{c}`"), spots).alias(f"s{i}") for i, c in enumerate(columns)]
+    if whole:
+        first = sketched = values.agg(*tallies, *sketches).first()
+    else:
+        first = values.agg(*tallies).first()
+        least = min((n for n in first if n), default=0)
+        sketched = _sampled(values, least, whole).agg(*sketches).first()
     counts = {c: first[f"n{i}"] for i, c in enumerate(columns)}
 
     brackets: dict[tuple[str, float], _Bracket] = {}
@@ -277,11 +310,15 @@ def exact_quantiles(
             continue
         for j, p in enumerate(probabilities):
             place = (counts[c] - 1) * p
-            b = _Bracket(c, sorted({math.floor(place), math.ceil(place)}), counts[c])
-            b.low, b.high = first[f"s{i}"][2 * j : 2 * j + 2]
-            b.expected = 2 * b.slack * b.total
+            ranks = sorted({math.floor(place), math.ceil(place)})
+            b = _Bracket(c, ranks, counts[c], slack=slack, expected=counts[c])
+            if sketched[f"s{i}"] is not None:
+                b.low, b.high = sketched[f"s{i}"][2 * j : 2 * j + 2]
+                b.expected = 2 * slack * b.total
             brackets[c, p] = b
-    _resolve(values, list(brackets.values()), SORT_ROWS if sort_rows is None else sort_rows)
+    _resolve(
+        values, list(brackets.values()), SORT_ROWS if sort_rows is None else sort_rows, whole
+    )
 
     result: dict[tuple[str, float], float | None] = {}
     for c in columns:
