@@ -166,6 +166,17 @@ def test_temporal(spark, offsets, frequency, gaps):
     assert row["duration_days"] == (max(offsets) // 24)
 
 
+@pytest.mark.parametrize("era_slots", [1, 3, 10_000])
+@pytest.mark.parametrize("hours", [[-1.5, 1.5], [-40, -37.9, 0, 2, 4.5, 90, 300.25], [5]])
+def test_gaps_across_slots_and_eras(spark, monkeypatch, era_slots, hours):
+    monkeypatch.setattr(profile, "_ERA_SLOTS", era_slots)
+    epoch = dt.datetime(1970, 1, 1)
+    df = frame(spark, "k int, t timestamp_ntz", *[(k, epoch + dt.timedelta(hours=h)) for h in hours for k in (1, 2)])
+    expected = sum(b - a > 2 for a, b in zip(hours, hours[1:]))
+    assert profile.gaps(df, "t").first()["gaps"] == expected
+    assert [r["gaps"] for r in profile.gaps(df, "t", ["k"]).collect()] == [expected] * 2
+
+
 def test_report_has_every_section(spark, weather):
     report = profile.report(weather, "time")
     sections = {r["section"] for r in report.select("section").distinct().collect()}

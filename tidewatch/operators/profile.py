@@ -21,6 +21,7 @@ from tidewatch.plans.selection import exact_quantiles
 GAP_SECONDS = 7200
 IQR_MULTIPLIER = 1.5
 _DAY_MICROS = 86_400_000_000
+_ERA_SLOTS = 10_000
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -242,18 +243,32 @@ def gaps(
     """Number of neighbouring timestamps more than ``max_gap_seconds`` apart.
 
     Two rows in one slot as wide as the threshold are never that far apart, so only
-    the first and last timestamp of each slot matter and no row is sorted. The
-    window runs over slots: time span divided by the threshold, per key.
+    the first and last timestamp of each slot matter and no row is sorted. Slots are
+    compared inside eras of many slots first and eras after that, so that a long
+    series without keys is not compared in one task.
     """
     keys = list(keys)
     width = max_gap_seconds * 1_000_000
     times = df.select(*keys, _micros(df, time_column).alias("_t")).filter("_t IS NOT NULL")
-    slots = times.groupBy(*keys, F.expr(f"_t div {width}L").alias("_slot")).agg(
+    slots = times.groupBy(*keys, F.expr(f"_t - pmod(_t, {width}L)").alias("_slot")).agg(
         F.min("_t").alias("_first"), F.max("_t").alias("_last")
     )
-    previous = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slot"))
-    wide = slots.select(*keys, (F.col("_first") - previous > width).alias("_wide"))
-    return wide.groupBy(*keys).agg(F.count_if("_wide").alias("gaps"))
+    slots = slots.withColumn("_era", F.expr(f"_slot - pmod(_slot, {width * _ERA_SLOTS}L)"))
+
+    def wide(*scope: str, order: str) -> Column:
+        previous = F.lag("_last").over(Window.partitionBy(*keys, *scope).orderBy(order))
+        return F.col("_first") - previous > width
+
+    inner = slots.withColumn("_wide", wide("_era", order="_slot"))
+    eras = inner.groupBy(*keys, "_era").agg(
+        F.count_if("_wide").alias("_gaps"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+    )
+    between = eras.select(*keys, "_gaps", wide(order="_era").alias("_wide"))
+    return between.groupBy(*keys).agg(
+        (F.coalesce(F.sum("_gaps"), F.lit(0)) + F.count_if("_wide")).alias("gaps")
+    )
 
 
 def temporal(

@@ -18,13 +18,14 @@ def read_stream(
     path: str,
     schema: T.StructType | str,
     file_format: str = "json",
-    max_files: int | None = None,
+    max_files: int = 1000,
 ) -> DataFrame:
-    """New files below ``path`` as a stream with a declared schema."""
+    """New files below ``path`` as a stream with a declared schema.
+
+    ``max_files`` bounds a micro-batch, also when a long backlog is read.
+    """
     reader = spark.readStream.format(file_format).schema(schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return reader.option("maxFilesPerTrigger", max_files).load(path)
 
 
 def start_ingest(
