@@ -17,6 +17,7 @@ from tidewatch.plans import (
     exact_quantiles,
     fresh_path,
     order_statistics,
+    ordering,
     over_series,
     row_index,
     row_positions,
@@ -56,15 +57,18 @@ def test_blocked_windows_equal_one_global_window(events, block_rows):
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 200, 10_000])
-def test_hot_keys_equal_plain_keyed_windows(events, hot_rows):
+@pytest.mark.parametrize("hot_rows, single", [(0, 0), (0, 8), (200, 8), (10_000, 8)])
+def test_hot_keys_equal_plain_keyed_windows(events, monkeypatch, hot_rows, single):
+    monkeypatch.setattr(ordering, "SINGLE_HOT_KEYS", single)
     window = Window.partitionBy("event_type").orderBy(*ORDER)
     expected = events.select("event_id", *build(window))
     found = over_series(events, ["event_type"], ORDER, 24, build, hot_rows, block_rows=64)
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)
 
 
-def test_null_key_is_a_series_of_its_own(events):
+@pytest.mark.parametrize("single", [0, 8])
+def test_null_key_is_a_series_of_its_own(events, monkeypatch, single):
+    monkeypatch.setattr(ordering, "SINGLE_HOT_KEYS", single)
     keyed = events.withColumn("key", F.nullif("event_type", F.lit("click")))
     window = Window.partitionBy("key").orderBy(*ORDER)
     expected = keyed.select("event_id", *build(window))
@@ -72,6 +76,39 @@ def test_null_key_is_a_series_of_its_own(events):
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)
 
 
+def short(window):
+    return [F.lag("value", 3).over(window).alias("lag"),
+            F.round(F.avg("value").over(window.rowsBetween(-3, 0)), 6).alias("mean")]
+
+
+@pytest.mark.parametrize("block_rows", [1, 200, 10_000])
+def test_blocks_cut_by_time_equal_one_global_window(events, block_rows):
+    cut = ordering._cut_by_time(events, ORDER, 3, short, block_rows)
+    expected = events.select("event_id", *short(Window.orderBy(*ORDER)))
+    assert rows_of(cut.select(*expected.columns)) == rows_of(expected)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and plan.count("Exchange hashpartitioning(_blk") == 1
+
+
+def test_crowded_instants_fall_back_to_row_numbers(events):
+    """A third of the rows share one instant."""
+    crowded = events.withColumn(
+        "ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-09").cast("timestamp_ntz")).otherwise(F.col("ts"))
+    )
+    assert ordering._cut_by_time(crowded, ORDER, 1, short, 60) is None
+    expected = crowded.select("event_id", *short(Window.orderBy(*ORDER)))
+    found = over_series(crowded, [], ORDER, 3, short, block_rows=60)
+    assert rows_of(found.select(*expected.columns)) == rows_of(expected)
+
+
+def test_rows_without_time_are_kept(events):
+    holes = events.withColumn("ts", F.nullif("ts", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")))
+    holes = holes.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")))
+    expected = holes.select("event_id", *short(Window.orderBy(*ORDER)))
+    found = over_series(holes, [], ORDER, 3, short, block_rows=150)
+    assert rows_of(found.select(*expected.columns)) == rows_of(expected)
+
+
 def test_no_window_without_partition_in_blocked_plan(events):
     found = over_series(events, [], ORDER, 24, build, block_rows=100)
     plan = found._jdf.queryExecution().executedPlan().toString()

@@ -1,11 +1,13 @@
 """Column expressions shared by the operators."""
 
 from tidewatch.functions.columns import (
+    as_long,
     clean,
     clock_instant,
     clock_micros,
     floating_columns,
     instant_clock,
+    is_ordinal,
     normalise_missing,
     numeric_columns,
     quoted,
@@ -18,11 +20,13 @@ from tidewatch.functions.stats import (
 )
 
 __all__ = [
+    "as_long",
     "clean",
     "clock_instant",
     "clock_micros",
     "floating_columns",
     "instant_clock",
+    "is_ordinal",
     "normalise_missing",
     "numeric_columns",
     "ks_p_value",

@@ -64,3 +64,26 @@ def instant_clock(instant: Column) -> Column:
     """Inverse of :func:`clock_instant`."""
     micros = F.unix_micros(instant)
     return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
+def is_ordinal(df: DataFrame, name: str) -> bool:
+    """Whether :func:`as_long` keeps the order of the column."""
+    kinds = (T.TimestampNTZType, T.TimestampType, T.DateType, T.IntegralType)
+    return isinstance(df.schema[name].dataType, kinds)
+
+
+def as_long(df: DataFrame, name: str) -> Column:
+    """Order column as a number; text, which may only break ties, by its hash."""
+    kind = df.schema[name].dataType
+    column = F.col(quoted(name))
+    if isinstance(kind, T.TimestampNTZType):
+        return clock_micros(column)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    if isinstance(kind, T.IntegralType):
+        return column.cast("long")
+    if isinstance(kind, T.StringType):
+        return F.xxhash64(column)
+    raise TypeError(f"cannot order by {name}: {kind.simpleString()}")

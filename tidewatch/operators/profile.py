@@ -227,11 +227,10 @@ def top_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:
     return pairs.orderBy(F.abs("correlation").desc_nulls_last(), "pos_a", "pos_b").limit(n)
 
 
-def _micros(df: DataFrame, time_column: str):
-    ts = F.col(f"`{time_column}`")
+def _micros(df: DataFrame, time_column: str) -> Column:
     if isinstance(df.schema[time_column].dataType, T.TimestampNTZType):
-        return clock_micros(ts)
-    return F.unix_micros(ts.cast("timestamp"))
+        return clock_micros(F.col(quoted(time_column)))
+    return F.unix_micros(F.col(quoted(time_column)).cast("timestamp"))
 
 
 def gaps(

@@ -7,17 +7,26 @@ order itself into ranges, so every task stays the same size whatever the keys ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tidewatch.functions.columns import as_long, is_ordinal
 from tidewatch.plans.staging import stage
 
 # A key with more rows than this is windowed in blocks instead of in one task.
 HOT_KEY_ROWS = 20_000_000
 # Rows per block of a blocked window; far above any look-back, far below task memory.
 BLOCK_ROWS = 2_000_000
+# Cuts that a series may get; a longer series gets larger blocks.
+MAX_BLOCKS = 50_000
+# Up to this many hot keys are cut one by one, more of them together.
+SINGLE_HOT_KEYS = 8
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -83,14 +92,19 @@ def over_series(
 
     ``build`` receives an ordered window spec and returns the columns to append.
     Keys below ``hot_rows`` rows share one hash shuffle. Hotter keys, and a series
-    without keys, are cut into blocks of ``block_rows``; each block carries the
-    last ``history`` rows before it, so no window reaches outside its block.
+    without keys, are cut into blocks of about ``block_rows``; each block carries at
+    least the last ``history`` rows before it, so no window reaches outside its block.
     """
     hot_rows = HOT_KEY_ROWS if hot_rows is None else hot_rows
     block_rows = max(BLOCK_ROWS if block_rows is None else block_rows, history + 1)
     keys, order_by = list(keys), list(order_by)
+
+    def one_series(rows: DataFrame) -> DataFrame:
+        cut = _cut_by_time(rows, order_by, history, build, block_rows)
+        return _blocked(rows, keys, order_by, history, build, block_rows) if cut is None else cut
+
     if not keys:
-        return _blocked(df, keys, order_by, history, build, block_rows)
+        return one_series(df)
 
     # At most rows / hot_rows keys can be hot, which bounds this collect.
     hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys).collect()
@@ -98,14 +112,89 @@ def over_series(
         return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order_by)))
     hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
     renamed = F.broadcast(hot_keys.toDF(*[f"_hot_{k}" for k in keys]))
-    match = None
-    for k in keys:
-        term = F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-        match = term if match is None else match & term
-    cold_rows = df.join(renamed, match, "left_anti")
-    hot_part = df.join(renamed, match, "left_semi")
-    cold = cold_rows.select("*", *build(Window.partitionBy(*keys).orderBy(*order_by)))
-    return cold.unionByName(_blocked(hot_part, keys, order_by, history, build, block_rows))
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    cold = df.join(renamed, match, "left_anti")
+    parts = [cold.select("*", *build(Window.partitionBy(*keys).orderBy(*order_by)))]
+    if len(hot) <= SINGLE_HOT_KEYS:
+        for row in hot:
+            own = [F.col(k).eqNullSafe(F.lit(row[k]).cast(df.schema[k].dataType)) for k in keys]
+            parts.append(one_series(df.filter(reduce(and_, own))))
+    else:
+        rows = df.join(renamed, match, "left_semi")
+        parts.append(_blocked(rows, keys, order_by, history, build, block_rows))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cut_by_time(
+    df: DataFrame,
+    order_by: list[str],
+    history: int,
+    build: Callable[[WindowSpec], list[Column]],
+    block_rows: int,
+) -> DataFrame | None:
+    """Blocks cut at values of the first order column: one shuffle, nothing staged.
+
+    Returns None for a series that this cannot cut: one too short, one whose first
+    order column has no number, or one with so many rows at an instant that a block
+    would outgrow its task.
+    """
+    time = order_by[0]
+    if not is_ordinal(df, time):
+        return None
+    n = df.count()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(min(block_rows, n // tasks), 50 * history, n // MAX_BLOCKS, 1)
+    blocks = n // rows
+    if blocks < 2:
+        return None
+
+    # A sample proposes block starts and, a tenth of a block earlier, where the carried
+    # rows start. A pass over all rows counts what lies between before any is used.
+    times = df.select(as_long(df, time).cast("double").alias("_t"))
+    wanted = 100 * blocks
+    source = times if n <= max(wanted, 1_000_000) else times.sample(wanted / n, seed=11)
+    places = [x for j in range(1, blocks) for x in ((j - 0.1) / blocks, j / blocks)]
+    found = source.agg(F.percentile_approx("_t", places, 100 * blocks)).first()[0] or []
+    pairs = []
+    for carry, start in zip(found[::2], found[1::2]):
+        if carry < start and (not pairs or pairs[-1][1] < carry):
+            pairs.append((carry, start))
+    if not pairs:
+        return None
+    sizes = dict(_segment(times, pairs).groupBy("_segment").count().collect())
+    if sum(sizes.values()) < n:
+        return None  # rows without a time
+    kept, size = [], sizes.get(0.0, 0)
+    for j, pair in enumerate(pairs):
+        carried, own = sizes.get(2.0 * j + 1, 0), sizes.get(2.0 * j + 2, 0)
+        size += carried
+        if carried >= history:
+            kept.append(pair)
+            if size > 4 * max(rows, block_rows):
+                return None
+            size = 0
+        size += own
+    if not kept or size > 4 * max(rows, block_rows):
+        return None
+
+    cut = _segment(df.select("*", as_long(df, time).cast("double").alias("_t")), kept)
+    segment = F.col("_segment").cast("int")
+    own = F.struct(F.floor(segment / 2).cast("int").alias("_blk"), F.lit(False).alias("_carried"))
+    carried = F.struct(((segment + 1) / 2).cast("int").alias("_blk"), F.lit(True).alias("_carried"))
+    copies = F.when(segment % 2 == 1, F.array(own, carried)).otherwise(F.array(own))
+    window = Window.partitionBy("_blk").orderBy(*order_by)
+    spread = cut.select(*df.columns, F.inline(copies))
+    return (
+        spread.select("*", *build(window)).filter(~F.col("_carried")).drop("_blk", "_carried")
+    )
+
+
+def _segment(df: DataFrame, pairs: list[tuple[float, float]]) -> DataFrame:
+    """Append ``_segment``: 2j inside block j, 2j+1 for its last rows, carried to the next."""
+    splits = [-math.inf, *[x for pair in pairs for x in pair], math.inf]
+    return Bucketizer(
+        splits=splits, inputCol="_t", outputCol="_segment", handleInvalid="skip"
+    ).transform(df)
 
 
 def _blocked(

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.columns import clean, clock_micros, quoted
+from tidewatch.functions.columns import as_long, clean, is_ordinal, quoted
 
 # Brackets expected to hold more rows than this are narrowed before they are sorted.
 SORT_ROWS = 1_000_000
@@ -333,22 +333,6 @@ def exact_quantiles(
     return result
 
 
-def _as_long(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    column = F.col(f"`{name}`")
-    if isinstance(kind, T.TimestampNTZType):
-        return clock_micros(column)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("long")
-    if isinstance(kind, T.IntegralType):
-        return column.cast("long")
-    if isinstance(kind, T.StringType):
-        return F.xxhash64(column)  # a tie-break needs some fixed order, not the alphabet
-    raise TypeError(f"cannot order by {name}: {kind.simpleString()}")
-
-
 def row_positions(
     df: DataFrame, order_by: Sequence[str], ranks: Sequence[int], sort_rows: int | None = None
 ) -> list[tuple]:
@@ -358,9 +342,9 @@ def row_positions(
     filter on the order columns and needs no numbered copy of the table. Text may
     only break ties, and does so by its hash.
     """
-    if isinstance(df.schema[order_by[0]].dataType, T.StringType):
+    if not is_ordinal(df, order_by[0]):
         raise TypeError("the first order column must be an integer, date or timestamp")
-    keys = df.select(*[_as_long(df, c).alias(c) for c in order_by])
+    keys = df.select(*[as_long(df, c).alias(c) for c in order_by])
     return _positions(keys, list(order_by), ranks, sort_rows)
 
 
