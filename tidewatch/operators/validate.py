@@ -16,6 +16,14 @@ from tidewatch.functions import normalise_missing, numeric_columns
 
 FINDING = "check string, column string, severity string, message string, observed double, threshold double"
 
+# Message texts.
+EMPTY_TEXT = "DataFrame is empty"
+MISSING_TEXT = "Missing required columns: {columns}"
+NULLS_TEXT = "Column '{column}' has %.1f%% nulls (threshold: %.1f%%)"
+ALL_NULL_TEXT = "Column '{column}' is entirely null"
+RANGE_TEXT = "Column '{column}' out of range: [%.4f, %.4f] vs expected [%.4f, %.4f]"
+FAILED_TEXT = "Validation failed: {errors}"
+
 
 class ValidationError(ValueError):
     """Raised by :func:`require_valid` for a table with validation errors."""
@@ -85,12 +93,12 @@ def findings(
     checks = [
         F.when(
             ~has_rows,
-            _finding("empty", "", "error", F.lit("DataFrame is empty"), F.col("rows"), none),
+            _finding("empty", "", "error", F.lit(EMPTY_TEXT), F.col("rows"), none),
         )
     ]
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        text = F.lit("Missing required columns: " + ", ".join(missing))
+        text = F.lit(MISSING_TEXT.format(columns=", ".join(missing)))
         checks.append(
             F.when(
                 has_rows,
@@ -100,7 +108,7 @@ def findings(
     for i, c in enumerate(df.columns):
         fraction = F.try_divide(F.col(f"nulls_{i}"), F.col("rows"))
         text = F.format_string(
-            f"Column '{c}' has %.1f%% nulls (threshold: %.1f%%)",
+            NULLS_TEXT.format(column=c.replace("%", "%%")),
             fraction * 100,
             F.lit(max_null_fraction * 100.0),
         )
@@ -114,7 +122,7 @@ def findings(
             F.when(
                 has_rows & (F.col(f"nulls_{i}") == F.col("rows")),
                 _finding(
-                    "all_null", c, "error", F.lit(f"Column '{c}' is entirely null"),
+                    "all_null", c, "error", F.lit(ALL_NULL_TEXT.format(column=c)),
                     F.lit(1.0), F.lit(1.0),
                 ),
             )
@@ -122,7 +130,7 @@ def findings(
     for i, (c, (low, high)) in enumerate(rules.items()):
         smallest, largest = F.col(f"min_{i}"), F.col(f"max_{i}")
         text = F.format_string(
-            f"Column '{c}' out of range: [%.4f, %.4f] vs expected [%.4f, %.4f]",
+            RANGE_TEXT.format(column=c.replace("%", "%%")),
             smallest, largest, F.lit(float(low)), F.lit(float(high)),
         )
         below = smallest < low
@@ -173,7 +181,9 @@ def require_valid(df: DataFrame, **rules) -> None:
     # At most two errors per column, so this collect is bounded by the schema.
     errors = findings(df, **rules).filter("severity = 'error'").select("message").collect()
     if errors:
-        raise ValidationError("Validation failed: " + "; ".join(r["message"] for r in errors))
+        raise ValidationError(
+            FAILED_TEXT.format(errors="; ".join(r["message"] for r in errors))
+        )
 
 
 def check_rows(

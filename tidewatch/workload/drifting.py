@@ -100,7 +100,7 @@ def dr_history(spark, sf_dir):
     return drift.drift_history(reports)
 
 
-def _ks_sql(feature_values: str) -> str:
+def ks_sql(feature_values: str) -> str:
     """Distance and p-value from a CTE ``x(feature, value, cur)``."""
     return f"""
 x AS ({feature_values}),
@@ -148,7 +148,7 @@ SELECT feature, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS std, min(v)
 FROM x GROUP BY feature
 """,
     "dr_ks": "WITH "
-    + _ks_sql(
+    + ks_sql(
         " UNION ALL ".join(
             f"SELECT '{c}' AS feature, {c} AS value, l_shipdate >= {SHIP_HALF_SQL} AS cur FROM lineitem"
             for c in LINE_FEATURES
@@ -156,7 +156,7 @@ FROM x GROUP BY feature
     )
     + " SELECT feature, round(d, 6) AS d, n_base, n_cur FROM t",
     "dr_report": f"WITH {MEASURED_SQL}, "
-    + _ks_sql(_SHIFTED)
+    + ks_sql(_SHIFTED)
     + """
 SELECT feature, round(d, 6) AS ks_statistic, round(p, 6) AS p_value, p < 0.05 AS drift_detected,
        round(bm, 4) AS baseline_mean, round(cm, 4) AS current_mean,
@@ -167,14 +167,14 @@ FROM t JOIN s USING (feature)""",
     "dr_concept": f"""
 WITH g AS (SELECT ts, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
              ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 6) AS prediction FROM events), """
-    + _ks_sql(f"SELECT 'prediction' AS feature, prediction AS value, ts >= {HALF_SQL} AS cur FROM g")
+    + ks_sql(f"SELECT 'prediction' AS feature, prediction AS value, ts >= {HALF_SQL} AS cur FROM g")
     + """
 SELECT p < 0.05 AS concept_drift_detected, round(d, 6) AS ks_statistic, round(p, 6) AS p_value,
        round(bm, 4) AS baseline_mean, round(cm, 4) AS current_mean,
        round(bs, 4) AS baseline_std, round(cs, 4) AS current_std
 FROM t JOIN s USING (feature)""",
     "dr_from_log": f"WITH {MEASURED_SQL}, "
-    + _ks_sql(f"SELECT 'k' AS feature, k AS value, ts >= {HALF_SQL} AS cur FROM measured")
+    + ks_sql(f"SELECT 'k' AS feature, k AS value, ts >= {HALF_SQL} AS cur FROM measured")
     + """
 SELECT 'checked' AS status, feature, round(d, 6) AS ks_statistic, round(p, 6) AS p_value,
        p < 0.05 AS drift_detected, round(cm, 4) AS current_mean, round(cs, 4) AS current_std

@@ -107,7 +107,7 @@ def mon_timeline(spark, sf_dir):
     return monitor.prediction_timeline(prediction_log(spark, sf_dir))
 
 
-_LOG_SQL = """
+LOG_SQL = """
 log AS (
   SELECT ts AS "timestamp", CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS model_version,
          value / 3 AS raw, round(value / 3, 4) AS prediction,
@@ -160,7 +160,7 @@ def _report_sql() -> str:
     ]
     parts += [f"SELECT 'feature', feature, '{m}', {m} FROM feats" for m in ("mean", "std", "min", "max")]
     return (
-        f"WITH {_LOG_SQL}, recent AS (SELECT * FROM log WHERE \"timestamp\" > TIMESTAMP '2024-01-30'),\n"
+        f"WITH {LOG_SQL}, recent AS (SELECT * FROM log WHERE \"timestamp\" > TIMESTAMP '2024-01-30'),\n"
         f"feats AS ({_features_sql('recent')})\n" + "\nUNION ALL\n".join(parts)
     )
 
@@ -181,13 +181,13 @@ QUERIES = {
 }
 
 ORACLE = {
-    "mon_log": f"WITH {_LOG_SQL} SELECT \"timestamp\", model_version, prediction, k, confidence_std, actual, error FROM log",
+    "mon_log": f"WITH {LOG_SQL} SELECT \"timestamp\", model_version, prediction, k, confidence_std, actual, error FROM log",
     "mon_report": _report_sql(),
-    "mon_period_fallback": f"WITH {_LOG_SQL} SELECT {_STATS} FROM log",
-    "mon_features": f"WITH {_LOG_SQL} {_features_sql('log')}",
-    "mon_confidence": f"""WITH {_LOG_SQL}
+    "mon_period_fallback": f"WITH {LOG_SQL} SELECT {_STATS} FROM log",
+    "mon_features": f"WITH {LOG_SQL} {_features_sql('log')}",
+    "mon_confidence": f"""WITH {LOG_SQL}
 SELECT round(avg(confidence_std), 4) AS mean_std, round(max(confidence_std), 4) AS max_std FROM log""",
-    "mon_errors": f"""WITH {_LOG_SQL}
+    "mon_errors": f"""WITH {LOG_SQL}
 SELECT count(error) AS "count", round(avg(error), 4) AS mean_error, round(max(error), 4) AS max_error FROM log""",
     "mon_requests": f"""WITH {_REQUESTS_SQL}
 SELECT count(*) AS total_requests, count(*) FILTER (status >= 400) AS total_errors,
@@ -200,13 +200,13 @@ SELECT n AS "count", round(m, 2) AS avg_ms, round(v[floor(n * 0.5::DOUBLE)::BIGI
        round(v[floor(n * 0.99::DOUBLE)::BIGINT + 1], 2) AS p99_ms, round(top, 2) AS max_ms
 FROM a""",
     "mon_hist": "SELECT value, count(*) AS \"count\" FROM events GROUP BY value",
-    "mon_summary": f"""WITH {_LOG_SQL},
+    "mon_summary": f"""WITH {LOG_SQL},
 newest AS (SELECT k FROM log ORDER BY "timestamp" DESC LIMIT 500)
 SELECT count(k) AS "count", round(avg(k), 4) AS mean, round(stddev_pop(k), 4) AS std, min(k) AS min, max(k) AS max FROM newest""",
-    "mon_recent": f"""WITH {_LOG_SQL}
+    "mon_recent": f"""WITH {LOG_SQL}
 SELECT "timestamp", round(prediction, 2) AS prediction, 'v' || model_version AS model,
        coalesce(confidence_std::VARCHAR, 'N/A') AS confidence_std
 FROM log ORDER BY "timestamp" DESC LIMIT 20""",
-    "mon_timeline": f"""WITH {_LOG_SQL}
+    "mon_timeline": f"""WITH {LOG_SQL}
 SELECT "timestamp", prediction FROM log ORDER BY "timestamp" DESC LIMIT 100""",
 }

@@ -14,12 +14,12 @@ from tidewatch.streaming import features as feature_stream
 from tidewatch.streaming import ingest as ingest_stream
 from tidewatch.streaming import monitor as monitor_stream
 from tidewatch.streaming import score as score_stream
-from tidewatch.workload.drifting import _ks_sql
+from tidewatch.workload.drifting import ks_sql
 from tidewatch.workload.feature import ORACLE as FEATURE_ORACLE
 from tidewatch.workload.feature import SERIES
-from tidewatch.workload.logged import _LOG_SQL, prediction_log
+from tidewatch.workload.logged import LOG_SQL, prediction_log
 from tidewatch.workload.tables import HALF, HALF_SQL, MEASURED_SQL, at, measured, table
-from tidewatch.workload.trained import _fitted
+from tidewatch.workload.trained import fitted
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
 
@@ -94,7 +94,7 @@ def st_features(spark, sf_dir):
 def st_score(spark, sf_dir):
     """Feature rows of the test period scored from a stream into the prediction log."""
     landed, log, checkpoint = (fresh_path(spark, n) for n in ("landed", "log", "cp"))
-    model, rows, features = _fitted(spark, sf_dir)
+    model, rows, features = fitted(spark, sf_dir)
     rows.write.parquet(landed)
     stream = ingest_stream.read_stream(spark, landed, rows.schema, "parquet")
     entries = score_stream.scored_entries(stream, model, features, "ts", 1, "value")
@@ -119,7 +119,7 @@ SELECT CAST(ts >= {HALF_SQL} AS INTEGER) AS batch, 'events' AS source, count(*)
        min(ts) AS first_ts, CAST(sum(event_id) AS BIGINT) AS id_sum
 FROM events GROUP BY ts >= {HALF_SQL}""",
     "st_monitor": f"""
-WITH {_LOG_SQL}
+WITH {LOG_SQL}
 SELECT date_trunc('day', "timestamp")::TIMESTAMP AS window_start,
        date_trunc('day', "timestamp")::TIMESTAMP + INTERVAL 1 DAY AS window_end,
        count(prediction) AS "count", round(avg(prediction), 4) AS mean, round(stddev_pop(prediction), 4) AS std,
@@ -129,12 +129,12 @@ FROM log GROUP BY 1, 2
 HAVING date_trunc('day', "timestamp")::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max("timestamp") FROM log) - INTERVAL 1 HOUR""",
     "st_features": FEATURE_ORACLE["fe_features"],
     "st_drift": f"""
-WITH {_LOG_SQL}, {MEASURED_SQL},
+WITH {LOG_SQL}, {MEASURED_SQL},
 base AS (SELECT k, value FROM measured WHERE ts < {HALF_SQL}),
 cur AS (SELECT k, value, CAST("timestamp" >= TIMESTAMP '2024-01-23' AS INTEGER) AS batch FROM log
         WHERE "timestamp" >= {HALF_SQL}),
 """
-    + _ks_sql(
+    + ks_sql(
         " UNION ALL ".join(
             f"SELECT '{b}{c}' AS feature, {c} AS value, false AS cur FROM base "
             f"UNION ALL SELECT '{b}{c}', {c}, true FROM cur WHERE batch = {b}"

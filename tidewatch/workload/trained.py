@@ -55,7 +55,7 @@ def _matrix(spark, sf_dir):
     return model.fit_transform(measured(spark, sf_dir)), model.feature_columns
 
 
-def _fitted(spark, sf_dir):
+def fitted(spark, sf_dir):
     rows, features = _matrix(spark, sf_dir)
     first, rest = evaluate.temporal_split(rows, ORDER)
     return train.fit_forest(first, features, "value", FOREST), rest, features
@@ -70,24 +70,24 @@ def tr_cv_best(spark, sf_dir):
 
 
 def tr_score(spark, sf_dir):
-    model, rest, features = _fitted(spark, sf_dir)
+    model, rest, features = fitted(spark, sf_dir)
     scored = score.score(rest, model, features)
     return scored.select("event_id", "ts", "value", F.round("prediction", 2).alias("prediction"))
 
 
 def tr_spread(spark, sf_dir):
-    model, rest, features = _fitted(spark, sf_dir)
+    model, rest, features = fitted(spark, sf_dir)
     scored = score.score_with_spread(rest, model, features)
     return scored.select("event_id", F.round("prediction", 4).alias("prediction"), "confidence.*")
 
 
 def tr_importance(spark, sf_dir):
-    model, rest, features = _fitted(spark, sf_dir)
+    model, rest, features = fitted(spark, sf_dir)
     return importance.builtin_importance(rest, model, features)
 
 
 def tr_perm(spark, sf_dir):
-    model, rest, features = _fitted(spark, sf_dir)
+    model, rest, features = fitted(spark, sf_dir)
     return importance.permutation_importance(rest, model, features, "value", repeats=2)
 
 
