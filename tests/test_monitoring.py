@@ -53,6 +53,15 @@ def test_period_is_strict_and_falls_back(log):
     assert monitor.in_period(log, 1, as_of + dt.timedelta(days=9)).count() == 60
 
 
+def test_period_ignores_the_session_zone(spark, log):
+    as_of = START + dt.timedelta(hours=59)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert monitor.in_period(log, 1, as_of).count() == 24
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_prediction_stats(log):
     p = np.round(np.arange(60) / 7, 4)
     row = monitor.prediction_stats(log).first()

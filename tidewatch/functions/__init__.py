@@ -3,6 +3,7 @@
 from tidewatch.functions.columns import (
     as_long,
     clean,
+    clock,
     clock_instant,
     clock_micros,
     floating_columns,
@@ -22,6 +23,7 @@ from tidewatch.functions.stats import (
 __all__ = [
     "as_long",
     "clean",
+    "clock",
     "clock_instant",
     "clock_micros",
     "floating_columns",

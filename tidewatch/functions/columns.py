@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +68,14 @@ def instant_clock(instant: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
+def clock(moment: datetime | None) -> Column:
+    """A naive datetime as a timestamp without time zone.
+
+    Goes through text: a datetime literal would pass through the session time zone.
+    """
+    return F.lit(None if moment is None else str(moment)).cast("timestamp_ntz")
+
+
 def is_ordinal(df: DataFrame, name: str) -> bool:
     """Whether :func:`as_long` keeps the order of the column."""
     kinds = (T.TimestampNTZType, T.TimestampType, T.DateType, T.IntegralType)

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions import position_percentile
+from tidewatch.functions import clock, position_percentile
 from tidewatch.plans.selection import exact_quantiles
 
 PREDICTION_LOG = (
@@ -52,7 +52,7 @@ def last_rows(log: DataFrame, n: int, ties: Sequence[str] = ()) -> DataFrame:
 def in_period(log: DataFrame, days: float, as_of: datetime) -> DataFrame:
     """Entries less than ``days`` old, or the whole log when there are none."""
     cutoff = as_of - timedelta(seconds=days * 86_400)
-    recent = log.filter(F.col("timestamp") > F.lit(cutoff).cast("timestamp_ntz"))
+    recent = log.filter(F.col("timestamp") > clock(cutoff))
     return log if recent.isEmpty() else recent
 
 

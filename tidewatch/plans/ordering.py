@@ -15,8 +15,9 @@ from operator import and_
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewatch.functions.columns import as_long, is_ordinal
+from tidewatch.functions.columns import as_long, clock, is_ordinal
 from tidewatch.plans.staging import stage
 
 # A key with more rows than this is windowed in blocks instead of in one task.
@@ -117,7 +118,7 @@ def over_series(
     parts = [cold.select("*", *build(Window.partitionBy(*keys).orderBy(*order_by)))]
     if len(hot) <= SINGLE_HOT_KEYS:
         for row in hot:
-            own = [F.col(k).eqNullSafe(F.lit(row[k]).cast(df.schema[k].dataType)) for k in keys]
+            own = [F.col(k).eqNullSafe(_constant(row[k], df.schema[k].dataType)) for k in keys]
             parts.append(one_series(df.filter(reduce(and_, own))))
     else:
         rows = df.join(renamed, match, "left_semi")
@@ -125,6 +126,10 @@ def over_series(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _constant(value: object, kind: T.DataType) -> Column:
+    return clock(value) if isinstance(kind, T.TimestampNTZType) else F.lit(value).cast(kind)
+
+
 def _cut_by_time(
     df: DataFrame,
     order_by: list[str],

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions import clock
+
 # The events cover January 2024; this instant splits them into two halves.
 HALF = datetime(2024, 1, 16)
 HALF_SQL = "TIMESTAMP '2024-01-16 00:00:00'"
@@ -19,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def at(moment: datetime):
-    return F.lit(moment).cast("timestamp_ntz")
+    return clock(moment)
 
 
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
