@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewatch.llm.fingerprints import OP4_SQL, op4_fingerprints
 from tidewatch.llm.mixing import op9_mixing
 from tidewatch.llm.packing import op10_packing
 from tidewatch.llm.quality import op3_quality
@@ -10,6 +11,6 @@ from tidewatch.llm.simhash import op5_simhash
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secrets, op3_quality, op5_simhash, op9_mixing, op10_packing)
+    for f in (op1_secrets, op3_quality, op4_fingerprints, op5_simhash, op9_mixing, op10_packing)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_fingerprints": OP4_SQL}

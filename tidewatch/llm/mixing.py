@@ -6,8 +6,9 @@ phase moves the probabilities of a block of documents along vectors of the null
 of two constraints, the number of documents and the number of words, until each
 document but at most two is decided; both totals stay as they were at every step.
 Undecided documents of several blocks meet in the blocks of the next level, so a hot
-source is never in one task, and the landing phase rounds the last two of a source to the
-whole numbers that leave the words nearest to the target.
+source is never in one task. The last block of a source stops at a few undecided
+documents, and the landing phase rounds these to the whole numbers that leave its words
+nearest to the target.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_COPIES = 2.0
 BLOCK = 256  # documents per flight
+LANDING = 12  # documents of a source at most that the landing rounds
 _EPS = 1e-9
 
 
@@ -152,9 +154,10 @@ def _flight(seed: int):
         block = block.sort_values(["doc_id", "size", "p"], kind="stable", ignore_index=True)
         rng = np.random.default_rng(seed)
         order = rng.permutation(len(block))
-        p = fly(block["p"].to_numpy(float)[order], block["size"].to_numpy(float)[order], rng)
+        size = block["size"].to_numpy(float)[order]
+        p = fly(block["p"].to_numpy(float)[order], size, rng, LANDING if last else 2)
         if last:
-            p = land(p, block["size"].to_numpy(float)[order])
+            p = land(p, size)
         block.loc[order, "p"] = p
         block["open"] = (block["p"] > 0) & (block["p"] < 1)
         block["extra"] = np.where(block["p"] >= 1, 1, 0)
@@ -163,8 +166,8 @@ def _flight(seed: int):
     return run
 
 
-def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Flight phase for the totals of documents and words; at most two stay undecided.
+def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, keep: int = 2) -> np.ndarray:
+    """Flight phase for the totals of documents and words; at most ``keep`` stay undecided.
 
     Three undecided documents always have a direction that changes neither total. The
     probabilities move along it, forwards or backwards, until one of the three is 0 or 1;
@@ -177,7 +180,7 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray
     while True:
         while len(active) < 3 and waiting:
             active.append(waiting.pop())
-        if len(active) < 3:
+        if len(active) + len(waiting) <= keep:
             return p
         a, b, c = active
         way = np.array([size[b] - size[c], size[c] - size[a], size[a] - size[b]])
@@ -195,12 +198,14 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray
 
 
 def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Round what the flight left, at most two, to the totals nearest to the expected words."""
+    """Round what the flight left so that first the words, then the documents come nearest
+    to their expected numbers; all roundings of these few are tried."""
     p = p.copy()
     rest = np.flatnonzero((p > 0) & (p < 1))
-    wanted = float((p[rest] * size[rest]).sum())
-    choices = [np.array([(k >> j) & 1 for j in range(len(rest))]) for k in range(1 << len(rest))]
-    p[rest] = min(choices, key=lambda x: (abs((x * size[rest]).sum() - wanted), x.sum()))
+    choices = np.arange(1 << len(rest))[:, None] >> np.arange(len(rest)) & 1
+    words = np.abs(choices @ size[rest] - p[rest] @ size[rest])
+    documents = np.abs(choices.sum(axis=1) - p[rest].sum())
+    p[rest] = choices[np.lexsort((documents, words))[0]]
     return p
 
 

@@ -130,101 +130,82 @@ def _encoder(tokenizer: str, ranks: str | None) -> Encoder:
 # ---- Plan
 
 
-class Complements:
-    """Which one, two or three available lengths add up to a gap."""
-
-    def __init__(self, left: np.ndarray):
-        self.left = left
-
-    def find(self, gap: int, used: int) -> tuple[int, ...] | None:
-        """Lengths that sum to ``gap``, longest first, given that one ``used`` is spoken for."""
-        left = self.left.copy()
-        left[used] -= 1
-        if left[gap] > 0:
-            return (gap,)
-        if pair := self._pair(left, gap, gap):
-            return pair
-        sums = self._pair_sums(left, gap)
-        for a in np.flatnonzero(left[:gap])[::-1]:
-            if not sums[gap - a]:
-                continue
+def complement(left: np.ndarray, gap: int, most: int = 3) -> tuple[int, ...] | None:
+    """One, two or three available lengths, ``most`` of them, that sum to ``gap``, longest first."""
+    if left[gap] > 0:
+        return (gap,)
+    if most > 1 and (pair := _pair(left, gap, gap)):
+        return pair
+    if most < 3:
+        return None
+    sums = _pair_sums(left, gap)
+    left = left.copy()
+    for a in np.flatnonzero(left[:gap])[::-1]:
+        if sums[gap - a]:
             left[a] -= 1
-            if pair := self._pair(left, gap - a, a):
+            if pair := _pair(left, gap - a, a):
                 return (int(a), *pair)
             left[a] += 1
-        return None
+    return None
+
 
-    @staticmethod
-    def _pair(left: np.ndarray, total: int, most: int) -> tuple[int, int] | None:
-        """Two lengths up to ``most`` that sum to ``total``."""
-        a = np.arange(total - 1, (total - 1) // 2, -1)
-        a = a[a <= most]
-        b = total - a
-        fits = (left[a] > 0) & (left[b] > 0) & ((a != b) | (left[a] > 1))
-        hit = np.flatnonzero(fits)
-        return (int(a[hit[0]]), int(b[hit[0]])) if len(hit) else None
+def _pair(left: np.ndarray, total: int, most: int) -> tuple[int, int] | None:
+    """Two available lengths up to ``most`` that sum to ``total``."""
+    a = np.arange(min(total - 1, most), (total - 1) // 2, -1)
+    b = total - a
+    hit = np.flatnonzero((left[a] > 0) & (left[b] > 0) & ((a != b) | (left[a] > 1)))
+    return (int(a[hit[0]]), int(b[hit[0]])) if len(hit) else None
 
-    @staticmethod
-    def _pair_sums(left: np.ndarray, most: int) -> np.ndarray:
-        there = (left[: most + 1] > 0).astype(np.int64)
-        there[0] = 0
-        return np.convolve(there, there)[: most + 1] > 0
+
+def _pair_sums(left: np.ndarray, most: int) -> np.ndarray:
+    """Index of the sums of two available lengths."""
+    there = (left[: most + 1] > 0).astype(np.int64)
+    there[0] = 0
+    return np.convolve(there, there)[: most + 1] > 0
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """The plan with the fewest sequences among those with complements of three, two and one."""
+    plans = [filled(counts, capacity, most) for most in (3, 2, 1)]
+    return min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def filled(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     """``(lengths, sequences)`` patterns that use every piece once.
 
-    From the longest piece down, a pattern that fills its sequence exactly is taken as
-    often as its rarest length allows, so each pattern uses up a length and their number
-    is bounded by the lengths. What finds no complement goes by best fit, decreasing:
-    into the sequences with the least gap that holds it, else into new ones.
+    From the longest piece down, one to three lengths that fill the rest of its sequence
+    exactly are taken as often as the rarest of them allows. Where nothing adds up, the
+    longest piece that fits goes in, the best fit, and the gap that it leaves is looked up
+    again. Each pattern uses up a length, so their number is bounded by the lengths.
     """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] += n
     patterns: list[tuple[tuple[int, ...], int]] = []
-    residual: list[tuple[int, int]] = []
-    index = Complements(left)
-    if left[capacity]:
-        patterns.append(((capacity,), int(left[capacity])))
-        left[capacity] = 0
-    for length in range(capacity - 1, 0, -1):
+    for length in range(capacity, 0, -1):
         while left[length]:
-            others = index.find(capacity - length, length)
-            if others is None:
-                residual.append((length, int(left[length])))
-                left[length] = 0
-                break
-            need = np.bincount((length, *others), minlength=capacity + 1)
+            content = _filled(left, length, capacity, most)
+            need = np.bincount(content, minlength=capacity + 1)
             times = int((left[need > 0] // need[need > 0]).min())
             left -= need * times
-            patterns.append(((length, *others), times))
-    return patterns + _best_fit(residual, capacity)
-
-
-def _best_fit(residual: list[tuple[int, int]], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Best fit, decreasing, over groups of sequences with the same content."""
-    by_gap: dict[int, dict[tuple[int, ...], int]] = defaultdict(dict)
-
-    def add(content: tuple[int, ...], n: int) -> None:
-        if n:
-            group = by_gap[capacity - sum(content)]
-            group[content] = group.get(content, 0) + n
-
-    for length, n in residual:
-        while n:
-            gap = min((g for g, group in by_gap.items() if g >= length and group), default=None)
-            if gap is None:
-                each = min(capacity // length, n)
-                add((length,) * each, n // each)
-                n %= each
-                continue
-            content, there = by_gap[gap].popitem()
-            times = min(n, there)
-            add(content, there - times)
-            add((*content, length), times)
-            n -= times
-    return [(content, n) for group in by_gap.values() for content, n in group.items()]
+            patterns.append((content, times))
+    return patterns
+
+
+def _filled(left: np.ndarray, length: int, capacity: int, most: int) -> tuple[int, ...]:
+    """Available lengths for one sequence that begins with ``length``."""
+    content, rest, gap = [length], left.copy(), capacity - length
+    rest[length] -= 1
+    while gap:
+        if others := complement(rest, gap, most):
+            return (*content, *others)
+        fits = np.flatnonzero(rest[: gap + 1] > 0)
+        if not len(fits):
+            break
+        content.append(int(fits[-1]))
+        rest[fits[-1]] -= 1
+        gap -= int(fits[-1])
+    return tuple(content)
 
 
 def places(patterns: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
