@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidewatch.llm.fingerprints import OP4_SQL, op4_fingerprints
 from tidewatch.llm.licenses import op2_licenses
 from tidewatch.llm.mixing import op9_mixing
+from tidewatch.llm.neighbours import op7_neighbours
 from tidewatch.llm.packing import op10_packing
 from tidewatch.llm.pii import op8_pii
 from tidewatch.llm.quality import op3_quality
@@ -13,6 +14,6 @@ from tidewatch.llm.simhash import op5_simhash
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secrets, op2_licenses, op3_quality, op4_fingerprints, op5_simhash, op8_pii, op9_mixing, op10_packing)
+    for f in (op1_secrets, op2_licenses, op3_quality, op4_fingerprints, op5_simhash, op7_neighbours, op8_pii, op9_mixing, op10_packing)
 }
 ORACLE: dict[str, str] = {"op4_fingerprints": OP4_SQL}

@@ -23,19 +23,24 @@ from tidewatch.plans import stage
 # Short notices of well-known licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license.",
+    "BSD-3-Clause": "Governed by a BSD-style license.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "To the extent possible under law, all copyright is waived under CC0 1.0 Universal.",
+    "CC0-1.0": "CC0 1.0 Universal.",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0.",
+    "MPL-2.0": "Mozilla Public License, version 2.0.",
     "Proprietary": "All rights reserved.",
 }
 LEAST = 0.8  # cosine of a header
+# Words of notices that ordinary prose holds too.
+EVERYDAY = frozenset(
+    "0 1 2 3 4 a all by code file general in is law mit of public source style subject terms "
+    "the this to under use version work possible extent".split()
+)
 TERM = r"[^a-z0-9]+"  # between terms, in lower case
 
 # ---- Templates
@@ -63,12 +68,13 @@ class Weights:
     def needed(self, least: float) -> list[str]:
         """Terms of which a text with such a cosine to any template holds at least one.
 
-        The lightest terms of a template that together fall short of the cosine are left out.
+        Terms of a template that together fall short of the cosine are left out, everyday words
+        first, then the lightest.
         """
         out = set()
         for vector in self.vectors.values():
             short = 0.0
-            for term, w in sorted(vector.items(), key=lambda x: (x[1], x[0])):
+            for term, w in sorted(vector.items(), key=lambda x: (x[0] not in EVERYDAY, x[1], x[0])):
                 short += w * w
                 if short >= least * least:
                     out.add(term)
@@ -78,26 +84,30 @@ class Weights:
 # ---- Lines
 
 
-def _may_match(line: Column, weights: Weights, needed: str, least: float) -> Column:
+def _any_of(found: list[str]) -> str:
+    """A pattern for whole terms in lower case."""
+    return r"(?<![a-z0-9])(?:" + "|".join(map(re.escape, found)) + r")(?![a-z0-9])"
+
+
+def _may_match(line: Column, weights: Weights, least: float) -> Column:
     """False only where no cosine can reach ``least``: too few known words among unknown ones.
 
     With ``k`` known words the known part of the vector is at most ``k`` heaviest weights long,
-    and every distinct unknown word adds one such weight to the rest.
+    and every distinct unknown word, of which there are at least the distinct words less ``k``,
+    adds one such weight to the rest.
     """
-    words = F.filter(F.split(F.lower(line), TERM), lambda t: t != "")
-    vocabulary = F.array(*map(F.lit, weights.idf))
-    known = F.size(F.filter(words, lambda t: F.array_contains(vocabulary, t)))
-    unknown = F.size(F.array_except(words, vocabulary))
-    enough = known.cast("double") * known * (1 - least * least) >= unknown * (least * least)
-    return F.when(line.rlike(needed), enough).otherwise(False)
+    folded = F.lower(line)
+    known = F.regexp_count(folded, F.lit(_any_of(list(weights.idf)))).cast("double")
+    distinct = F.size(F.array_distinct(F.split(folded, TERM))) - 2  # but for the empty ends
+    enough = known * known * (1 - least * least) >= (distinct - known) * (least * least)
+    return F.when(folded.rlike(_any_of(weights.needed(least))), enough).otherwise(False)
 
 
 def candidate_lines(text: Column, weights: Weights, least: float) -> Column:
     """``array<struct<text, line>>`` of the lines that may be headers; ``line`` counts from 0."""
-    needed = r"(?i)\b(?:" + "|".join(map(re.escape, weights.needed(least))) + r")\b"
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("text"), i.alias("line")))
-    hits = F.filter(lines, lambda x: _may_match(x["text"], weights, needed, least))
-    return F.when(text.rlike(needed), hits)
+    hits = F.filter(lines, lambda x: _may_match(x["text"], weights, least))
+    return F.when(F.lower(text).rlike(_any_of(weights.needed(least))), hits)
 
 
 def best_templates(lines: DataFrame, weights: Weights, least: float) -> DataFrame:
