@@ -11,9 +11,10 @@ from tidewatch.llm.pii import op8_pii
 from tidewatch.llm.quality import op3_quality
 from tidewatch.llm.secrets import op1_secrets
 from tidewatch.llm.simhash import op5_simhash
+from tidewatch.llm.suffixes import op6_suffixes
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secrets, op2_licenses, op3_quality, op4_fingerprints, op5_simhash, op7_neighbours, op8_pii, op9_mixing, op10_packing)
+    for f in (op1_secrets, op2_licenses, op3_quality, op4_fingerprints, op5_simhash, op6_suffixes, op7_neighbours, op8_pii, op9_mixing, op10_packing)
 }
 ORACLE: dict[str, str] = {"op4_fingerprints": OP4_SQL}
