@@ -6,7 +6,8 @@ expectation-maximisation over the counts of vote patterns estimates, kind by kin
 reliable each labeler is, without a label. The resulting probabilities train a logistic
 span classifier on votes and shape, which decides about every candidate. Votes and shapes
 take few values, so only a bounded table of counts leaves the workers. Matches of the
-base rules are always kept; accepted candidates that overlap none of their kind are added.
+base rules are always kept; accepted candidates that overlap no other span are added,
+longest first.
 """
 
 from __future__ import annotations
@@ -123,6 +124,7 @@ _AROUND = {
 _AGAINST = re.compile(r"(?i)\b(?:version|isbn|issn|order|invoice|page|id|build|release|section|chapter|doi)\W*$")
 WINDOW = 32  # characters around a span that its context labeler reads
 LABELERS = ("form", "digits", "gazetteer", "context", "edges")
+FAILED_CHECK = 1e-4  # greatest share of true spans whose check digits, ranges or counts fail
 SHAPES = 4  # classes of length
 
 
@@ -238,10 +240,12 @@ def learn(counts: list[tuple], rounds: int = 60) -> Model:
 def reliabilities(votes: np.ndarray, n: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation for labelers that are independent given the truth.
 
-    It starts from the majority of votes, and the counts are smoothed by a prior under which a
-    vote is right more often than wrong, so that few candidates cannot turn it around.
+    It starts from the majority of votes, with a veto for failed check digits and ranges, and
+    the counts are smoothed by a prior under which a vote is right more often than wrong,
+    so that few candidates cannot turn it around. Numbers that fail their check are next to
+    never real, whatever the other votes; that reliability is known and not estimated.
     """
-    share = (votes.sum(axis=1) > 0).astype(float) * 0.8 + 0.1
+    share = ((votes.sum(axis=1) > 0) & (votes[:, LABELERS.index("digits")] >= 0)).astype(float) * 0.8 + 0.1
     prior = np.array([[4.0, 1.0], [2.0, 2.0], [1.0, 4.0]])  # vote x truth
     for _ in range(rounds):
         table_ = np.empty((votes.shape[1], 3, 2))
@@ -250,6 +254,9 @@ def reliabilities(votes: np.ndarray, n: np.ndarray, rounds: int) -> tuple[np.nda
                 at = votes[:, j] == v
                 table_[j, v + 1] = prior[v + 1] + [(n[at] * (1 - share[at])).sum(), (n[at] * share[at]).sum()]
         table_ /= table_.sum(axis=1, keepdims=True)
+        check = table_[LABELERS.index("digits"), :, 1]
+        check[0] = min(check[0], FAILED_CHECK)
+        check /= check.sum()
         rate = ((n * share).sum() + 1) / (n.sum() + 2)
         odds = np.log(rate / (1 - rate)) * np.ones(len(n))
         for j in range(votes.shape[1]):
@@ -291,10 +298,13 @@ def found(text: str, model: Model) -> tuple[dict[str, list[Span]], list[tuple[st
     """Base spans by kind, and all spans by kind as listed, then start."""
     sure = base(text)
     out = [(kind, a, b) for kind in KINDS for a, b in sure[kind]]
-    for c in candidates(text):
-        if model.accepts(c) and not any(a < c.end and c.start < b for a, b in sure[c.kind]):
+    accepted = [c for c in candidates(text) if model.accepts(c)]
+    taken = [(a, b) for _, a, b in out]
+    for c in sorted(accepted, key=lambda c: (c.start - c.end, c.start, c.kind)):  # longest first
+        if not any(a < c.end and c.start < b for a, b in taken):
             out.append((c.kind, c.start, c.end))
-    return sure, sorted(set(out), key=lambda s: (KINDS.index(s[0]), s[1:]))
+            taken.append((c.start, c.end))
+    return sure, sorted(out, key=lambda s: (KINDS.index(s[0]), s[1:]))
 
 
 def detected(text: Column, model: Model) -> Column:
