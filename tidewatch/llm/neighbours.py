@@ -201,21 +201,21 @@ def linked_counts(found: DataFrame, groups: DataFrame, least: float) -> DataFram
 
 def audited(found: DataFrame, counts: DataFrame, least: float) -> tuple[int, int]:
     """Links found and links there are, for a sample of classes held against all others."""
-    asked = found.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(AUDIT).select("id", "label", "v").collect()
+    asked = found.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(AUDIT).select("id", F.xxhash64("label").alias("label"), "v").collect()
     if not asked:
         return 0, 0
     ids = np.array([r["id"] for r in asked])
-    labels = np.array([hash(r["label"]) for r in asked])
+    labels = np.array([r["label"] for r in asked])
     x = _units(np.array([r["v"] for r in asked]).ravel(), len(asked))
 
     @F.pandas_udf("long")
     def count(other: pd.Series, label: pd.Series, vectors: pd.Series, n: pd.Series) -> pd.Series:
         y = _units(np.concatenate([np.asarray(v) for v in vectors]), len(vectors))
-        linked = (y @ x.T >= least) & (label.map(hash).to_numpy()[:, None] == labels)
+        linked = (y @ x.T >= least) & (label.to_numpy()[:, None] == labels)
         linked &= other.to_numpy()[:, None] != ids
         return pd.Series(linked.sum(axis=1) * n.to_numpy())
 
-    there = found.agg(F.sum(count("id", "label", "v", "n"))).first()[0]
+    there = found.agg(F.sum(count("id", F.xxhash64("label"), "v", "n"))).first()[0]
     known = counts.filter(F.col("id").isin([int(i) for i in ids])).agg(F.sum("links")).first()[0]
     return int(known or 0), int(there or 0)
 
