@@ -39,7 +39,7 @@ CONTEXTS = 512  # distinct contexts of one string that are sorted in one task
 SHALLOW = 5  # machine words that the quicksort compares
 STEP = 13  # windows of a range
 _PIECE = 1 << 20  # bytes hashed at a time; positions in it take 20 bits
-_TOGETHER = 4096  # contexts sorted at a time
+_TEXTS = 500  # texts whose contexts are held at a time
 _NONE = -(1 << 63)
 
 # ---- Anchors
@@ -285,60 +285,56 @@ def shared_windows(
 
 # ---- Steps
 
-_CONTEXT = "pos:long,h:long,n:long,cs:long,left:binary,right:binary"
+def contexts(docs: DataFrame, asked: DataFrame, length: int, gram: int) -> DataFrame:
+    """``h, n, cs, k, tag, pos, left, right`` of each asked anchor, read from its text."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for first in range(0, len(batch), _TEXTS):
+                part = batch.iloc[first : first + _TEXTS]
+                counts = [len(p) for p in part["pos"]]
+                raw = [_utf8(t) for t in part["text"]]
+                places = [(t, a) for t, p in zip(raw, part["pos"], strict=True) for a in p.tolist()]
+                out = {c: np.concatenate(list(part[c])) for c in ("h", "n", "cs")}
+                out |= {c: np.repeat(part[c].to_numpy(), counts) for c in ("k", "tag")}
+                out["pos"] = np.concatenate(list(part["pos"]))
+                out["left"] = [t[max(0, a - (length - gram)) : a][::-1] for t, a in places]
+                out["right"] = [t[a : a + length] for t, a in places]
+                yield pd.DataFrame(out)
+
+    by_text = asked.groupBy("k", "tag").agg(F.collect_list(F.struct("pos", "h", "n", "cs")).alias("a"))
+    each = [F.col(f"a.{c}").alias(c) for c in ("pos", "h", "n", "cs")]
+    return (
+        docs.select("k", "tag", "text").join(by_text, ["k", "tag"]).select("k", "tag", "text", *each)
+        .mapInPandas(run, "h long, n long, cs long, k long, tag long, pos long, left binary, right binary")
+    )
 
-def contexts(docs: DataFrame, asked: DataFrame, length: int, gram: int) -> DataFrame:
-    """``k, tag`` and ``pos, h, n, cs, left, right`` of each asked anchor, read from its text."""
 
-    @F.pandas_udf(f"array<struct<{_CONTEXT}>>")
-    def cut(texts: pd.Series, wanted: pd.Series) -> pd.Series:
-        out = []
-        for text, places in zip(texts, wanted, strict=True):
-            raw = _utf8(text)
-            out.append(
-                [
-                    p | {"left": raw[max(0, p["pos"] - (length - gram)) : p["pos"]][::-1], "right": raw[p["pos"] : p["pos"] + length]}
-                    for p in map(dict, places)
-                ]
-            )
-        return pd.Series(out)
+def sorted_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """``k, tag, pos, low, high`` of the contexts that share a window, by suffix sorting.
 
-    by_text = asked.groupBy("k", "tag").agg(F.collect_list(F.struct("pos", "h", "n", "cs")).alias("wanted"))
-    texts = docs.select("k", "tag", "text").dropDuplicates(["k", "tag"])
-    cut_up = texts.join(by_text, ["k", "tag"]).select("k", "tag", F.explode(cut("text", "wanted")).alias("x"))
-    return cut_up.select("k", "tag", "x.*")
+    The contexts of a string follow each other in one partition; a task holds one batch
+    of rows and the string that goes on in the next.
+    """
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            goes_on = batch["h"] == batch["h"].iloc[-1] if len(batch) else batch["h"] == 0
+            held = batch[goes_on]
+            yield settled(batch[~goes_on])
+        if held is not None:
+            yield settled(held)
 
-def sorted_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
-    """``k, tag, pos, low, high`` of the contexts that share a window, by suffix sorting."""
-
-    @F.pandas_udf("array<struct<k:long,tag:long,pos:long,low:long,high:long>>")
-    def run(groups: pd.Series) -> pd.Series:
-        out: list[list[dict]] = []
-        held: list[tuple[int, dict]] = []
-
-        def settle() -> None:
-            members = [m for _, m in held]
-            number = np.array([g for g, _ in held])
-            low, high = shared_windows([m["left"] for m in members], [m["right"] for m in members], number, length, gram)
-            for (g, m), a, b in zip(held, low.tolist(), high.tolist(), strict=True):
-                if a >= 0 and m["n"] == 1:
-                    out[g].append({"k": m["k"], "tag": m["tag"], "pos": m["pos"], "low": a, "high": b})
-            held.clear()
-
-        for members in groups:
-            out.append([])
-            held.extend((len(out) - 1, m) for m in members)
-            if len(held) >= _TOGETHER:
-                settle()
-        if held:
-            settle()
-        return pd.Series(out)
-
-    member = F.struct("k", "tag", "pos", "n", "left", "right")
-    groups = found.groupBy("h").agg(F.collect_list(member).alias("members"))
-    return groups.select(F.explode(run("members")).alias("s")).select("s.*")
+    def settled(rows: pd.DataFrame) -> pd.DataFrame:
+        low, high = shared_windows(list(rows["left"]), list(rows["right"]), rows["h"].to_numpy(), length, gram)
+        out = rows[["k", "tag", "pos"]].assign(low=low, high=high)
+        return out[(low >= 0) & (rows["n"].to_numpy() == 1)]
+
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = found.drop("cs").repartition(tasks, "h").sortWithinPartitions("h")
+    return together.mapInPandas(run, "k long, tag long, pos long, low long, high long")
 
 
 def counted_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
@@ -346,29 +342,29 @@ def counted_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
     then the windows of the ranges whose core repeats."""
 
     def cores(step: int) -> Column:
-        @F.pandas_udf("array<struct<d:int,w:binary>>")
-        def run(lefts: pd.Series, rights: pd.Series, firsts: pd.Series) -> pd.Series:
+        @F.pandas_udf("struct<d:array<int>,w:array<binary>>")
+        def run(lefts: pd.Series, rights: pd.Series, firsts: pd.Series) -> pd.DataFrame:
             out = []
             for left, right, asked in zip(lefts, rights, firsts, strict=True):
                 text, at = left[::-1] + right, len(left)
-                rows = []
+                starts, digests = [], []
                 for first in asked:
                     # Windows that start first to first + step - 1 bytes before the anchor.
                     for d in range(first, min(first + STEP, length - gram + 1), step):
                         last = min(d + step - 1, length - gram)
                         if d > len(left) or length - last > len(right):
                             continue
-                        core = text[at - d : at - last + length]
-                        rows.append({"d": d, "w": xxhash.xxh3_128_digest(core, d)})
-                out.append(rows)
-            return pd.Series(out)
+                        starts.append(d)
+                        digests.append(xxhash.xxh3_128_digest(text[max(0, at - d) : at - last + length], d))
+                out.append((starts, digests))
+            return pd.DataFrame(out, columns=["d", "w"])
 
         return run("left", "right", "asked")
 
     def repeated(rows: DataFrame, step: int) -> DataFrame:
-        each = rows.select("h", "k", "tag", "pos", "n", F.explode(cores(step)).alias("x")).select(
-            "h", "k", "tag", "pos", "n", "x.*"
-        )
+        cut = rows.select("h", "k", "tag", "pos", "n", cores(step).alias("x"))
+        zipped = F.explode(F.arrays_zip("x.d", "x.w")).alias("x")
+        each = cut.select("h", "k", "tag", "pos", "n", zipped).select("h", "k", "tag", "pos", "n", "x.*")
         twice = each.groupBy("h", "w").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
         return stage(each.join(dealt(twice), ["h", "w"]).drop("w"), "repeated")
 
@@ -421,32 +417,31 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most:
     by_text = spans.groupBy("k", "tag").agg(F.collect_list(F.struct("pos", "low", "high")).alias("spans"))
 
     @F.pandas_udf("struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>")
-    def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, places: pd.Series, lows: pd.Series, highs: pd.Series) -> pd.DataFrame:
         rows = []
-        for text, places in zip(texts, found, strict=True):
+        for text, *spans_ in zip(texts, places, lows, highs, strict=True):
             raw = _utf8(text)
-            runs = _runs(len(raw), [] if places is None else places, length, gram)
+            runs = [] if spans_[0] is None else _runs(len(raw), *spans_, length, gram)
             kept = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in runs)], [*(s for s, _ in runs), len(raw)], strict=True))
             rows.append((len(raw), len(raw) - len(kept), len(runs), kept))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
     joined = keyed.join(by_text, ["k", "tag"], "left")
-    return joined.select("doc_id", cut("text", "spans").alias("r")).select("doc_id", "r.*")
+    return joined.select("doc_id", cut("text", "spans.pos", "spans.low", "spans.high").alias("r")).select("doc_id", "r.*")
 
 
-def _runs(size: int, spans, length: int, gram: int) -> list[tuple[int, int]]:
+def _runs(size: int, pos: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, gram: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the spans cover; ``low`` of -1 is a span's whole context."""
+    whole = low < 0
+    start = np.where(whole, np.maximum(0, pos - (length - gram)), pos - high)
+    end = np.where(whole, np.minimum(size, pos + length), pos - low + length)
+    order = np.argsort(start, kind="stable")
     out: list[tuple[int, int]] = []
-    for start, end in sorted(
-        (max(0, s["pos"] - (length - gram)), min(size, s["pos"] + length))
-        if s["low"] < 0
-        else (s["pos"] - s["high"], s["pos"] - s["low"] + length)
-        for s in spans
-    ):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
+    for a, b in zip(start[order].tolist(), end[order].tolist(), strict=True):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
-            out.append((start, end))
+            out.append((a, b))
     return out
 
 
