@@ -1,8 +1,8 @@
-import math
-
-import numpy as np
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch import presets
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,36 +31,23 @@ def events(spark):
 
 @pytest.fixture(scope="session")
 def weather(spark):
-    """200 hourly rows of random weather; snowfall is constant."""
+    """200 hourly rows with the weather columns; snowfall is constant."""
     return weather_rows(spark, 200)
 
 
-def weather_rows(spark, n, seed=42):
-    import datetime as dt
-
-    rng = np.random.default_rng(seed)
-    wave = 15 + 5 * np.sin(np.linspace(0, 4 * math.pi, n))
-    columns = {
-        "temperature_2m": wave + rng.normal(size=n),
-        "relative_humidity_2m": 60 + 10 * rng.normal(size=n),
-        "dew_point_2m": 8 + 3 * rng.normal(size=n),
-        "apparent_temperature": 13 + 5 * rng.normal(size=n),
-        "pressure_msl": 1013 + 5 * rng.normal(size=n),
-        "surface_pressure": 1010 + 5 * rng.normal(size=n),
-        "precipitation": np.abs(0.5 * rng.normal(size=n)),
-        "rain": np.abs(0.3 * rng.normal(size=n)),
-        "snowfall": np.zeros(n),
-        "cloud_cover": np.clip(50 + 20 * rng.normal(size=n), 0, 100),
-        "wind_speed_10m": np.abs(10 + 5 * rng.normal(size=n)),
-        "wind_direction_10m": rng.uniform(0, 360, size=n),
-        "wind_gusts_10m": np.abs(15 + 8 * rng.normal(size=n)),
-    }
-    start = dt.datetime(2024, 1, 1)
-    rows = [
-        (start + dt.timedelta(hours=i), *(float(v[i]) for v in columns.values())) for i in range(n)
+def weather_rows(spark, n):
+    """Weather columns filled from the first events: each a digest of the event, scaled
+    into a range of its own."""
+    events = spark.read.parquet(f"{SF}/events.parquet").filter(F.col("event_id") < n)
+    level = lambda c: F.pmod(F.xxhash64("event_id", "value", F.lit(c)), F.lit(10_007)) / 10_007
+    spans = {c: presets.REQUEST_LIMITS[c] for c in presets.WEATHER_COLUMNS}
+    columns = [
+        (low + level(c) * ((high or low + 2) - low)).alias(c)
+        for c, (low, high) in ((c, (low or 0.0, high)) for c, (low, high) in spans.items())
     ]
-    schema = "time timestamp_ntz, " + ", ".join(f"{c} double" for c in columns)
-    return spark.createDataFrame(rows, schema)
+    columns = [F.lit(0.0).alias("snowfall") if c == "snowfall" else x for c, x in zip(spans, columns)]
+    hour = F.timestamp_add("HOUR", F.col("event_id"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    return spark.createDataFrame(events.select(hour.alias("time"), *columns).collect())
 
 
 def rows_of(df):

@@ -13,7 +13,6 @@ from tidewatch.functions import clock_instant, clock_micros, instant_clock
 from tidewatch.plans import (
     before,
     dense_index,
-    drop_staged,
     exact_quantiles,
     fresh_path,
     order_statistics,
@@ -21,6 +20,7 @@ from tidewatch.plans import (
     over_series,
     row_index,
     row_positions,
+    scratch,
     selection,
     stage,
     staging,
@@ -208,17 +208,17 @@ class Session:
         return self.settings.get(key.replace(".", "_"), default)
 
 
-def test_root_is_the_setting_or_a_folder_of_a_local_session(spark):
+def test_root_is_the_setting_or_below_the_warehouse(spark):
     assert staging_root(Session(spark, spark_checkpoint_dir="s3://bucket/shared/")) == "s3://bucket/shared"
-    local = staging_root(Session(spark, spark_master="local[2]"))
-    assert local == staging_root(Session(spark, spark_master="local[2]"))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging_root(Session(spark, spark_master="yarn"))
+    below = staging_root(Session(spark, spark_sql_warehouse_dir="hdfs://n/warehouse"))
+    assert below == "hdfs://n/warehouse/staged"
 
 
-def test_drop_staged_removes_own_tables_only(spark, events, tmp_path, monkeypatch):
+def test_scratch_empties_its_own_tables_only(spark, events, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "staging_root", lambda spark: str(tmp_path))
-    stage(events, "copy")
-    (tmp_path / "tidewatch" / "other").mkdir()
-    drop_staged(spark)
-    assert [p.name for p in (tmp_path / "tidewatch").iterdir()] == ["other"]
+    kept = stage(events, "kept")
+    with scratch(spark):
+        inside = stage(events, "inside")
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert inside.count() == 1000
+    assert spark.read.schema(events.schema).parquet(path).count() == 0 and kept.count() == 1000

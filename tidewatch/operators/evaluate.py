@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import presets
+from tidewatch.functions.columns import as_long, clean
 from tidewatch.plans.selection import before, row_positions
 
 
@@ -17,17 +18,35 @@ def temporal_split(
     """First ``int(n * (1 - test_size))`` rows in time order, and the rest.
 
     The split point is found by counting, so both parts are filters on the order
-    columns that reach the scan.
+    columns that reach the scan. Rows without an order value come first.
     """
-    n = df.count()
+    rows, keys, n = _null_first(df, order_by)
     cut = int(n * (1 - test_size))
     if cut <= 0:
         return df.limit(0), df
     if cut >= n:
         return df, df.limit(0)
-    (position,) = row_positions(df, order_by, [cut])
-    earlier = before(df, order_by, position)
-    return df.filter(earlier), df.filter(~earlier)
+    (position,) = row_positions(rows, keys, [cut])
+    earlier = before(rows, keys, position)
+    return rows.filter(earlier).select(df.columns), rows.filter(~earlier).select(df.columns)
+
+
+def _null_first(df: DataFrame, order_by: Sequence[str]) -> tuple[DataFrame, list[str], int]:
+    """``df`` with order columns that have no NULL, their names, and the row count.
+
+    Only where a NULL occurs are the columns replaced by numbers of the same order, NULL
+    the least; otherwise they stay as they are and filters on them reach the scan.
+    """
+    holes = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"h{i}") for i, c in enumerate(order_by)]
+    n, *nulls = df.agg(F.count(F.lit(1)).alias("n"), *holes).first()
+    if not any(nulls):
+        return df, list(order_by), n
+    names = [f"_order_{i}" for i in range(len(order_by))]
+    numbers = [
+        F.coalesce(as_long(df, c), F.lit(-(1 << 63))).alias(name)
+        for c, name in zip(order_by, names)
+    ]
+    return df.select("*", *numbers), names, n
 
 
 def fold_bounds(n: int, folds: int = presets.CV_FOLDS) -> list[tuple[int, int]]:
@@ -42,18 +61,21 @@ def fold_bounds(n: int, folds: int = presets.CV_FOLDS) -> list[tuple[int, int]]:
 def expanding_folds(
     df: DataFrame, order_by: Sequence[str], folds: int = presets.CV_FOLDS
 ) -> list[tuple[DataFrame, DataFrame]]:
-    """(train, test) pairs: each test block follows all of its training rows."""
-    n = df.count()
+    """(train, test) pairs: each test block follows all of its training rows.
+
+    Rows without an order value come first.
+    """
+    rows, keys, n = _null_first(df, order_by)
     bounds = fold_bounds(n, folds)
     cuts = sorted({s for s, _ in bounds} | {e for _, e in bounds if e < n})
-    positions = dict(zip(cuts, row_positions(df, order_by, cuts)))
+    positions = dict(zip(cuts, row_positions(rows, keys, cuts)))
     pairs = []
     for start, end in bounds:
-        earlier = before(df, order_by, positions[start])
-        test = df.filter(~earlier)
+        earlier = before(rows, keys, positions[start])
+        test = rows.filter(~earlier)
         if end < n:
-            test = test.filter(before(df, order_by, positions[end]))
-        pairs.append((df.filter(earlier), test))
+            test = test.filter(before(rows, keys, positions[end]))
+        pairs.append((rows.filter(earlier).select(df.columns), test.select(df.columns)))
     return pairs
 
 
@@ -62,16 +84,19 @@ def regression_metrics(
 ) -> DataFrame:
     """MAE, RMSE and R2 (4 decimals) in one aggregate.
 
-    A constant target gives R2 = 1 for perfect predictions and 0 otherwise.
+    A constant target gives R2 = 1 for perfect predictions and 0 otherwise. Rows whose
+    target or prediction is NULL or NaN do not count.
     """
-    y, e = F.col(actual), F.col(actual) - F.col(prediction)
+    y = F.col(actual)
+    e = y - F.col(prediction)
     squared = F.sum(e * e)
     spread = F.var_pop(y) * F.count(y)
     constant = F.min(y) == F.max(y)
     r2 = F.when(constant, F.when(squared == 0, 1.0).otherwise(0.0)).otherwise(
         1 - F.try_divide(squared, spread)
     )
-    return df.filter(y.isNotNull() & F.col(prediction).isNotNull()).groupBy(*keys).agg(
+    known = clean(df, actual).isNotNull() & clean(df, prediction).isNotNull()
+    return df.filter(known).groupBy(*keys).agg(
         F.round(F.avg(F.abs(e)), 4).alias("mae"),
         F.round(F.sqrt(F.avg(e * e)), 4).alias("rmse"),
         F.round(r2, 4).alias("r2"),

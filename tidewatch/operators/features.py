@@ -145,13 +145,14 @@ class FeatureModel:
             F.count("value").alias("n"),
             F.avg("value").alias("mean"),
             F.stddev_pop("value").alias("std"),
+            (F.min("value") == F.max("value")).alias("constant"),
         )
         found = {columns[r["position"]]: r for r in moments.collect()}  # a row per column
         if not found:
             raise ValueError("no row has a value in every feature column")
         self.feature_columns = columns
         self.means = {c: found[c]["mean"] for c in columns}
-        self.stds = {c: found[c]["std"] for c in columns}
+        self.stds = {c: 0.0 if found[c]["constant"] else found[c]["std"] for c in columns}
         self.rows = found[columns[0]]["n"]
         return self
 
@@ -163,11 +164,8 @@ class FeatureModel:
         )
 
     def divisor(self, column: str) -> float:
-        """Scale of ``column``: its standard deviation, or 1 for a (nearly) constant one."""
-        eps = 2.220446049250313e-16
-        variance, n = self.stds[column] ** 2, getattr(self, "rows", 1)
-        noise = n * eps * variance + (n * self.means[column] * eps) ** 2
-        return 1.0 if variance <= noise else self.stds[column]
+        """Scale of ``column``: its standard deviation, or 1 for a constant one."""
+        return self.stds[column] or 1.0
 
     def transform(self, df: DataFrame, include_target: bool = True) -> DataFrame:
         """Key and order columns, scaled features and, if wanted, the raw target."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import clock, position_percentile
+from tidewatch.functions.columns import clean
 from tidewatch.plans.selection import exact_quantiles
 
 PREDICTION_LOG = (
@@ -16,8 +17,7 @@ PREDICTION_LOG = (
     "input_features map<string,double>, confidence struct<std:double,min:double,max:double>, "
     "actual double, error double"
 )
-# ISO time with optional microseconds, for log files.
-LOG_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+DATED_LOG = PREDICTION_LOG + ", log_date date"
 LATENCY_WINDOW = 1000
 
 
@@ -50,21 +50,31 @@ def last_rows(log: DataFrame, n: int, ties: Sequence[str] = ()) -> DataFrame:
 
 
 def in_period(log: DataFrame, days: float, as_of: datetime) -> DataFrame:
-    """Entries less than ``days`` old, or the whole log when there are none."""
+    """Entries less than ``days`` old, or the whole log when there are none.
+
+    A log filed by day is also filtered on the day, so that older days are not read.
+    """
     cutoff = as_of - timedelta(seconds=days * 86_400)
     recent = log.filter(F.col("timestamp") > clock(cutoff))
+    if "log_date" in log.columns:
+        recent = recent.filter(F.col("log_date") >= F.lit(cutoff.date()))
     return log if recent.isEmpty() else recent
 
 
+def known(column: str) -> Column:
+    """A number of the log with NaN read as NULL."""
+    return F.nanvl(F.col(column), F.lit(None).cast("double"))
+
+
 def prediction_stats(log: DataFrame) -> DataFrame:
     """Count, mean, population std, min, max and exact median (4 decimals)."""
     median = exact_quantiles(log, ["prediction"], [0.5])["prediction", 0.5]
     return log.agg(
-        F.count("prediction").alias("count"),
-        F.round(F.avg("prediction"), 4).alias("mean"),
-        F.round(F.stddev_pop("prediction"), 4).alias("std"),
-        F.round(F.min("prediction"), 4).alias("min"),
-        F.round(F.max("prediction"), 4).alias("max"),
+        F.count(known("prediction")).alias("count"),
+        F.round(F.avg(known("prediction")), 4).alias("mean"),
+        F.round(F.stddev_pop(known("prediction")), 4).alias("std"),
+        F.round(F.min(known("prediction")), 4).alias("min"),
+        F.round(F.max(known("prediction")), 4).alias("max"),
         F.round(F.lit(median).cast("double"), 4).alias("median"),
     )
 
@@ -83,17 +93,17 @@ def feature_stats(log: DataFrame) -> DataFrame:
 def confidence_stats(log: DataFrame) -> DataFrame:
     """Mean and maximum of the spread between trees."""
     return log.agg(
-        F.round(F.avg("confidence.std"), 4).alias("mean_std"),
-        F.round(F.max("confidence.std"), 4).alias("max_std"),
+        F.round(F.avg(known("confidence.std")), 4).alias("mean_std"),
+        F.round(F.max(known("confidence.std")), 4).alias("max_std"),
     )
 
 
 def error_stats(log: DataFrame) -> DataFrame:
     """Count, mean and maximum error over the rows with a known outcome."""
     return log.agg(
-        F.count("error").alias("count"),
-        F.round(F.avg("error"), 4).alias("mean_error"),
-        F.round(F.max("error"), 4).alias("max_error"),
+        F.count(known("error")).alias("count"),
+        F.round(F.avg(known("error")), 4).alias("mean_error"),
+        F.round(F.max(known("error")), 4).alias("max_error"),
     )
 
 
@@ -122,17 +132,17 @@ def monitoring_report(log: DataFrame, days: float = 1, as_of: datetime | None =
 
     median = exact_quantiles(recent, ["prediction"], [0.5])["prediction", 0.5]
     one_row = recent.agg(
-        F.count("prediction").alias("count"),
-        F.round(F.avg("prediction"), 4).alias("mean"),
-        F.round(F.stddev_pop("prediction"), 4).alias("std"),
-        F.round(F.min("prediction"), 4).alias("min"),
-        F.round(F.max("prediction"), 4).alias("max"),
+        F.count(known("prediction")).alias("count"),
+        F.round(F.avg(known("prediction")), 4).alias("mean"),
+        F.round(F.stddev_pop(known("prediction")), 4).alias("std"),
+        F.round(F.min(known("prediction")), 4).alias("min"),
+        F.round(F.max(known("prediction")), 4).alias("max"),
         F.round(F.lit(median).cast("double"), 4).alias("median"),
-        F.round(F.avg("confidence.std"), 4).alias("mean_std"),
-        F.round(F.max("confidence.std"), 4).alias("max_std"),
-        F.count("error").alias("with_actual"),
-        F.round(F.avg("error"), 4).alias("mean_error"),
-        F.round(F.max("error"), 4).alias("max_error"),
+        F.round(F.avg(known("confidence.std")), 4).alias("mean_std"),
+        F.round(F.max(known("confidence.std")), 4).alias("max_std"),
+        F.count(known("error")).alias("with_actual"),
+        F.round(F.avg(known("error")), 4).alias("mean_error"),
+        F.round(F.max(known("error")), 4).alias("max_error"),
     )
     sections = [
         ("prediction", ["count", "mean", "std", "min", "max", "median"]),
@@ -197,15 +207,16 @@ def latency_stats(
 
 
 def value_histogram(df: DataFrame, column: str) -> DataFrame:
-    """Exact count of each distinct value, in value order."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column)
+    """Exact count of each distinct value but NULL and NaN, in value order."""
+    counts = df.filter(clean(df, column).isNotNull()).groupBy(column)
     return counts.agg(F.count(F.lit(1)).alias("count")).orderBy(column)
 
 
 def feature_summary(log: DataFrame, feature: str, last: int = 500, ties: Sequence[str] = ()) -> DataFrame:
     """Mean, population std, min and max of one input feature in the last entries."""
     value = F.try_element_at("input_features", F.lit(feature))
-    newest = last_rows(log, last, ties).select(value.alias("value")).filter("value IS NOT NULL")
+    newest = last_rows(log, last, ties).select(value.alias("value"))
+    newest = newest.filter("value IS NOT NULL AND NOT isnan(value)")
     return newest.agg(
         F.count("value").alias("count"),
         F.round(F.avg("value"), 4).alias("mean"),
@@ -215,6 +226,23 @@ def feature_summary(log: DataFrame, feature: str, last: int = 500, ties: Sequenc
     )
 
 
+def feature_values(log: DataFrame, feature: str, last: int = 500, ties: Sequence[str] = ()) -> DataFrame:
+    """Histogram of one input feature over the last entries: count of each value."""
+    value = F.try_element_at("input_features", F.lit(feature))
+    return value_histogram(last_rows(log, last, ties).select(value.alias("value")), "value")
+
+
+def last_summary(log: DataFrame, last: int = 100, ties: Sequence[str] = ()) -> DataFrame:
+    """Total, mean, min and max (2 decimals) of the last predictions."""
+    value = known("prediction")
+    return last_rows(log, last, ties).agg(
+        F.count(value).alias("total"),
+        F.round(F.avg(value), 2).alias("mean"),
+        F.round(F.min(value), 2).alias("min"),
+        F.round(F.max(value), 2).alias("max"),
+    )
+
+
 def prediction_timeline(log: DataFrame, last: int = 100, ties: Sequence[str] = ()) -> DataFrame:
     """Timestamp and prediction of the last entries."""
     return last_rows(log, last, ties).select("timestamp", "prediction")

@@ -30,7 +30,10 @@ class ValidationError(ValueError):
 
 
 def null_report(df: DataFrame) -> DataFrame:
-    """Null count and fraction (4 decimals) per column; NaN counts as null."""
+    """Null count and fraction (4 decimals) per column; NaN counts as null.
+
+    The fraction is 0 in an empty table.
+    """
     row = _summary(df, {})
     return row.select(
         F.inline(
@@ -39,7 +42,9 @@ def null_report(df: DataFrame) -> DataFrame:
                     F.struct(
                         F.lit(c).alias("column"),
                         F.col(f"nulls_{i}").alias("null_count"),
-                        F.round(F.col(f"nulls_{i}") / F.col("rows"), 4).alias("null_fraction"),
+                        F.coalesce(
+                            F.round(F.try_divide(F.col(f"nulls_{i}"), F.col("rows")), 4), F.lit(0.0)
+                        ).alias("null_fraction"),
                     )
                     for i, c in enumerate(df.columns)
                 ]

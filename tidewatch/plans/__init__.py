@@ -7,19 +7,19 @@ from tidewatch.plans.selection import (
     order_statistics,
     row_positions,
 )
-from tidewatch.plans.staging import drop_staged, fresh_path, stage, staging_root
+from tidewatch.plans.staging import fresh_path, scratch, stage, staging_root
 
 __all__ = [
     "before",
     "chunked",
     "dense_index",
-    "drop_staged",
     "exact_quantiles",
     "fresh_path",
     "order_statistics",
     "over_series",
     "row_index",
     "row_positions",
+    "scratch",
     "stage",
     "staging_root",
 ]

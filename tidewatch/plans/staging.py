@@ -7,45 +7,52 @@ sampled bounds would come out differently.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}  # application id -> folder, for local sessions only
+_scope: ContextVar[dict[str, StructType] | None] = ContextVar("scope", default=None)
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables; a local session without one gets its own."""
+    """Shared folder for staged tables; without the setting, one below the warehouse."""
     root = spark.conf.get(SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder that all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="tidewatch-")
-    return _local_roots[app]
-
-
-def _own_folder(spark: SparkSession) -> str:
-    return f"{staging_root(spark)}/tidewatch/{spark.sparkContext.applicationId}"
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/staged"
+    return root.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{staging_root(spark)}/tidewatch/{spark.sparkContext.applicationId}"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet below the shared folder and read it back."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    if (held := _scope.get()) is not None:
+        held[path] = df.schema
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the staged tables of this application; DataFrames that read them end here."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are emptied at the end; nothing may read them any more.
+
+    Scopes nest, and those of other threads are apart.
+    """
+    held: dict[str, StructType] = {}
+    token = _scope.set(held)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path, schema in held.items():
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

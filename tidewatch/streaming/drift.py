@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import presets
 from tidewatch.operators import drift
+from tidewatch.plans.staging import scratch
 
 
 def start_drift(
@@ -28,10 +29,11 @@ def start_drift(
     """
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        report = drift.drift_from_log(baseline, batch, features, alpha, min_rows)
-        report.select(F.lit(batch_id).cast("long").alias("batch_id"), "*").coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        with scratch(batch.sparkSession):
+            report = drift.drift_from_log(baseline, batch, features, alpha, min_rows)
+            report.select(F.lit(batch_id).cast("long").alias("batch_id"), "*").coalesce(
+                1
+            ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         log.writeStream.foreachBatch(check)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import clock_instant, instant_clock
+from tidewatch.operators.monitor import known
 
 
 def _bounds() -> list[Column]:
@@ -26,14 +27,16 @@ def windowed_stats(log: DataFrame, window: str, watermark: str) -> DataFrame:
         .withWatermark("_at", watermark)
         .groupBy(F.window("_at", window).alias("w"))
         .agg(
-            F.count("prediction").alias("count"),
-            F.round(F.avg("prediction"), 4).alias("mean"),
-            F.round(F.stddev_pop("prediction"), 4).alias("std"),
-            F.round(F.min("prediction"), 4).alias("min"),
-            F.round(F.max("prediction"), 4).alias("max"),
-            F.round(F.avg("confidence.std"), 4).alias("mean_std"),
-            F.count("error").alias("with_actual"),
-            F.round(F.avg("error"), 4).alias("mean_error"),
+            F.count(known("prediction")).alias("count"),
+            F.round(F.avg(known("prediction")), 4).alias("mean"),
+            F.round(F.stddev_pop(known("prediction")), 4).alias("std"),
+            F.round(F.min(known("prediction")), 4).alias("min"),
+            F.round(F.max(known("prediction")), 4).alias("max"),
+            F.round(F.avg(known("confidence.std")), 4).alias("mean_std"),
+            F.round(F.max(known("confidence.std")), 4).alias("max_std"),
+            F.count(known("error")).alias("with_actual"),
+            F.round(F.avg(known("error")), 4).alias("mean_error"),
+            F.round(F.max(known("error")), 4).alias("max_error"),
         )
         .select(*_bounds(), "*")
         .drop("w")
@@ -45,7 +48,7 @@ def windowed_feature_stats(log: DataFrame, window: str, watermark: str) -> DataF
     timed = log.withColumn("_at", clock_instant(F.col("timestamp")))
     values = timed.withWatermark("_at", watermark).select(
         "_at", F.explode("input_features").alias("feature", "value")
-    )
+    ).filter("value IS NOT NULL AND NOT isnan(value)")
     return (
         values.groupBy(F.window("_at", window).alias("w"), "feature")
         .agg(

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.monitor import LOG_TIME_FORMAT, log_entries
+from tidewatch.operators.monitor import log_entries
 from tidewatch.operators.score import score_with_spread
+from tidewatch.sources import logs
 
 
 def scored_entries(
@@ -36,13 +37,13 @@ def scored_entries(
 
 
 def start_scoring(entries: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Append streamed log entries as JSON lines."""
+    """Append streamed log entries to the log, by day."""
     return (
-        entries.writeStream.format("json")
+        logs.dated(entries).writeStream.format("parquet")
+        .partitionBy(logs.LOG_DATE)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", log_path)
-        .option("timestampNTZFormat", LOG_TIME_FORMAT)
         .trigger(availableNow=True)
         .start()
     )

@@ -26,6 +26,9 @@ def _rounded(df, columns, digits=6):
     return [F.round(c, digits).alias(c) for c in columns]
 
 
+LARGE_MEAN = 1.7e9
+
+
 def fe_features(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     out = add_features(events, SERIES)
@@ -58,6 +61,14 @@ def fe_scaled(spark, sf_dir):
     return out.select("event_id", "value", *_rounded(out, model.feature_columns, 5))
 
 
+def fe_scaled_large_mean(spark, sf_dir):
+    """A small spread around a large mean is still scaled."""
+    out = FeatureModel(WITH_INPUT).fit_transform(
+        measured(spark, sf_dir).withColumn("k", F.col("k") + F.lit(LARGE_MEAN))
+    )
+    return out.select("event_id", *_rounded(out, ["k"], 3))
+
+
 def fe_state(spark, sf_dir):
     path = fresh_path(spark, "state")
     FeatureModel(WITH_INPUT).fit(measured(spark, sf_dir)).save(spark, path)
@@ -136,6 +147,7 @@ QUERIES = {
     "fe_global_blocked": fe_global_blocked,
     "fe_impute": fe_impute,
     "fe_scaled": fe_scaled,
+    "fe_scaled_large_mean": fe_scaled_large_mean,
     "fe_state": fe_state,
 }
 
@@ -151,5 +163,11 @@ WITH {MEASURED_SQL}
 SELECT event_id, coalesce(k, (SELECT median(k) FROM measured)) AS k FROM measured
 """,
     "fe_scaled": _scaled_sql(),
+    "fe_scaled_large_mean": f"""
+WITH {_COMPLETE_SQL},
+stats AS (SELECT avg(k) AS m, stddev_pop(k) AS s FROM complete)
+SELECT event_id, CASE WHEN round((k - m) / s, 3) = 0 THEN 0.0::DOUBLE ELSE round((k - m) / s, 3) END AS k
+FROM complete CROSS JOIN stats
+""",
     "fe_state": _state_sql(),
 }

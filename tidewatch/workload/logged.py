@@ -51,7 +51,7 @@ def requests(spark, sf_dir):
 
 
 def mon_log(spark, sf_dir):
-    """Written as JSON lines and read back."""
+    """Written by day and read back."""
     path = fresh_path(spark, "prediction_log")
     logs.append_log(prediction_log(spark, sf_dir), path)
     log = logs.read_log(spark, path)
@@ -95,6 +95,29 @@ def mon_hist(spark, sf_dir):
     return monitor.value_histogram(table(spark, sf_dir, "events"), "value")
 
 
+def mon_nan(spark, sf_dir):
+    """NaN predictions, spreads and errors count as missing."""
+    log, hour = prediction_log(spark, sf_dir), F.hour("timestamp")
+    nan = F.lit(float("nan"))
+    spread = F.when(hour == 6, nan).otherwise(F.col("confidence.std"))
+    broken = log.withColumns(
+        {
+            "prediction": F.when(hour == 5, nan).otherwise(F.col("prediction")),
+            "error": F.when(hour == 7, nan).otherwise(F.col("error")),
+            "confidence": F.when(F.col("confidence").isNotNull(), F.col("confidence").withField("std", spread)),
+        }
+    )
+    return monitor.monitoring_report(broken, days=1, as_of=AS_OF)
+
+
+def mon_feature_hist(spark, sf_dir):
+    return monitor.feature_values(prediction_log(spark, sf_dir), "k")
+
+
+def mon_last_summary(spark, sf_dir):
+    return monitor.last_summary(prediction_log(spark, sf_dir))
+
+
 def mon_summary(spark, sf_dir):
     return monitor.feature_summary(prediction_log(spark, sf_dir), "k")
 
@@ -139,7 +162,14 @@ def _features_sql(source: str) -> str:
     )
 
 
-def _report_sql() -> str:
+_NAN_SQL = """broken AS (
+  SELECT "timestamp", k, hour, value, CASE WHEN hour("timestamp") <> 5 THEN prediction END AS prediction,
+         CASE WHEN hour("timestamp") <> 6 THEN confidence_std END AS confidence_std,
+         CASE WHEN hour("timestamp") <> 7 THEN error END AS error
+  FROM log)"""
+
+
+def _report_sql(source: str = "log", before: str = "") -> str:
     one = [
         ("prediction", m, v)
         for m, v in (
@@ -160,7 +190,7 @@ def _report_sql() -> str:
     ]
     parts += [f"SELECT 'feature', feature, '{m}', {m} FROM feats" for m in ("mean", "std", "min", "max")]
     return (
-        f"WITH {LOG_SQL}, recent AS (SELECT * FROM log WHERE \"timestamp\" > TIMESTAMP '2024-01-30'),\n"
+        f"WITH {LOG_SQL}, {before} recent AS (SELECT * FROM {source} WHERE \"timestamp\" > TIMESTAMP '2024-01-30'),\n"
         f"feats AS ({_features_sql('recent')})\n" + "\nUNION ALL\n".join(parts)
     )
 
@@ -175,6 +205,9 @@ QUERIES = {
     "mon_requests": mon_requests,
     "mon_latency": mon_latency,
     "mon_hist": mon_hist,
+    "mon_nan": mon_nan,
+    "mon_feature_hist": mon_feature_hist,
+    "mon_last_summary": mon_last_summary,
     "mon_summary": mon_summary,
     "mon_recent": mon_recent,
     "mon_timeline": mon_timeline,
@@ -183,6 +216,14 @@ QUERIES = {
 ORACLE = {
     "mon_log": f"WITH {LOG_SQL} SELECT \"timestamp\", model_version, prediction, k, confidence_std, actual, error FROM log",
     "mon_report": _report_sql(),
+    "mon_nan": _report_sql("broken", _NAN_SQL + ","),
+    "mon_feature_hist": f"""WITH {LOG_SQL},
+newest AS (SELECT k FROM log ORDER BY "timestamp" DESC LIMIT 500)
+SELECT k AS value, count(*) AS "count" FROM newest WHERE k IS NOT NULL GROUP BY k""",
+    "mon_last_summary": f"""WITH {LOG_SQL},
+newest AS (SELECT prediction FROM log ORDER BY "timestamp" DESC LIMIT 100)
+SELECT count(prediction) AS total, round(avg(prediction), 2) AS mean, round(min(prediction), 2) AS min,
+       round(max(prediction), 2) AS max FROM newest""",
     "mon_period_fallback": f"WITH {LOG_SQL} SELECT {_STATS} FROM log",
     "mon_features": f"WITH {LOG_SQL} {_features_sql('log')}",
     "mon_confidence": f"""WITH {LOG_SQL}

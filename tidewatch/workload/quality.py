@@ -42,6 +42,21 @@ def val_findings(spark, sf_dir):
     return validate.findings(lines(spark, sf_dir), REQUIRED, 0.1, RANGES)
 
 
+def val_empty(spark, sf_dir):
+    """A table without rows has the one finding that says so."""
+    return validate.findings(lines(spark, sf_dir).filter("l_quantity < 0"), REQUIRED, 0.1, RANGES)
+
+
+def val_empty_nulls(spark, sf_dir):
+    return validate.null_report(lines(spark, sf_dir).filter("l_quantity < 0"))
+
+
+def val_all_null(spark, sf_dir):
+    """Discounts of a table that has only undiscounted lines are all missing."""
+    none = lines(spark, sf_dir).filter("l_discount IS NULL").select("l_orderkey", "l_discount")
+    return validate.findings(none, ["l_orderkey"], 1.0)
+
+
 def val_verdict(spark, sf_dir):
     return validate.verdict(lines(spark, sf_dir), REQUIRED, 0.1, RANGES)
 
@@ -312,6 +327,9 @@ def _report_sql() -> str:
 QUERIES = {
     "val_nulls": val_nulls,
     "val_findings": val_findings,
+    "val_empty": val_empty,
+    "val_empty_nulls": val_empty_nulls,
+    "val_all_null": val_all_null,
     "val_verdict": val_verdict,
     "val_request_split": val_request_split,
     "prof_shape": prof_shape,
@@ -329,6 +347,14 @@ QUERIES = {
 ORACLE = {
     "val_nulls": _nulls_sql(),
     "val_findings": f"{_FINDINGS} SELECT * EXCLUDE (broken) FROM f WHERE broken",
+    "val_empty": """SELECT 'empty' AS "check", '' AS "column", 'error' AS severity, 'DataFrame is empty' AS message,
+       n::DOUBLE AS observed, NULL::DOUBLE AS threshold
+FROM (SELECT count(*) AS n FROM lineitem WHERE l_quantity < 0) WHERE n = 0""",
+    "val_empty_nulls": f"""SELECT unnest({[c for c, _ in LINE_COLUMNS]}) AS "column", count(*) AS null_count,
+       0.0::DOUBLE AS null_fraction FROM lineitem WHERE l_quantity < 0""",
+    "val_all_null": """SELECT 'all_null' AS "check", 'l_discount' AS "column", 'error' AS severity,
+       'Column ''l_discount'' is entirely null' AS message, 1.0::DOUBLE AS observed, 1.0::DOUBLE AS threshold
+FROM (SELECT count(*) AS n FROM lineitem WHERE l_discount = 0) WHERE n > 0""",
     "val_verdict": f"""{_FINDINGS}
 SELECT (SELECT count(*) FROM lines) AS row_count, {len(LINE_COLUMNS)} AS column_count,
        CAST(count(*) FILTER (broken AND severity = 'error') AS INTEGER) AS error_count,

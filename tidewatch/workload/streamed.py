@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import drift
 from tidewatch.operators.features import FeatureSpec
-from tidewatch.operators.monitor import LOG_TIME_FORMAT, PREDICTION_LOG
 from tidewatch.plans.staging import fresh_path
 from tidewatch.sources import logs
 from tidewatch.streaming import drift as drift_stream
@@ -54,8 +53,16 @@ def st_monitor(spark, sf_dir):
     """Daily statistics of the closed days; the last day stays open."""
     landed, out, checkpoint = (fresh_path(spark, n) for n in ("landed", "out", "cp"))
     logs.append_log(prediction_log(spark, sf_dir), landed)
-    reader = spark.readStream.schema(PREDICTION_LOG).option("timestampNTZFormat", LOG_TIME_FORMAT)
-    stats = monitor_stream.windowed_stats(reader.json(landed), "1 day", "1 hour")
+    stats = monitor_stream.windowed_stats(logs.stream_log(spark, landed), "1 day", "1 hour")
+    monitor_stream.start_append(stats, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def st_feature_stats(spark, sf_dir):
+    """Daily statistics of each input feature over the closed days."""
+    landed, out, checkpoint = (fresh_path(spark, n) for n in ("landed", "out", "cp"))
+    logs.append_log(prediction_log(spark, sf_dir), landed)
+    stats = monitor_stream.windowed_feature_stats(logs.stream_log(spark, landed), "1 day", "1 hour")
     monitor_stream.start_append(stats, out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
 
@@ -67,9 +74,9 @@ def st_drift(spark, sf_dir):
     drift.Baseline.of(first, ["k", "value"]).save(base)
     log = prediction_log(spark, sf_dir).filter(F.col("timestamp") >= at(HALF))
     for part in ("timestamp < timestamp_ntz'2024-01-23'", "timestamp >= timestamp_ntz'2024-01-23'"):
-        log.filter(part).write.mode("append").parquet(landed)
+        logs.append_log(log.filter(part), landed)
         drift_stream.start_drift(
-            spark.readStream.schema(PREDICTION_LOG).parquet(landed),
+            logs.stream_log(spark, landed),
             drift.Baseline.load(spark, base), ["k", "value"], out, checkpoint,
         ).awaitTermination()
     # A log column k exists for error events too, unlike in the measured baseline.
@@ -107,6 +114,7 @@ def st_score(spark, sf_dir):
 QUERIES = {
     "st_ingest": st_ingest,
     "st_monitor": st_monitor,
+    "st_feature_stats": st_feature_stats,
     "st_drift": st_drift,
     "st_features": st_features,
     "st_score": st_score,
@@ -124,9 +132,18 @@ SELECT date_trunc('day', "timestamp")::TIMESTAMP AS window_start,
        date_trunc('day', "timestamp")::TIMESTAMP + INTERVAL 1 DAY AS window_end,
        count(prediction) AS "count", round(avg(prediction), 4) AS mean, round(stddev_pop(prediction), 4) AS std,
        round(min(prediction), 4) AS min, round(max(prediction), 4) AS max,
-       round(avg(confidence_std), 4) AS mean_std, count(error) AS with_actual, round(avg(error), 4) AS mean_error
+       round(avg(confidence_std), 4) AS mean_std, round(max(confidence_std), 4) AS max_std,
+       count(error) AS with_actual, round(avg(error), 4) AS mean_error, round(max(error), 4) AS max_error
 FROM log GROUP BY 1, 2
 HAVING date_trunc('day', "timestamp")::TIMESTAMP + INTERVAL 1 DAY <= (SELECT max("timestamp") FROM log) - INTERVAL 1 HOUR""",
+    "st_feature_stats": f"""
+WITH {LOG_SQL},
+long AS (SELECT date_trunc('day', "timestamp")::TIMESTAMP AS d, unnest(['k', 'hour', 'value']) AS feature,
+                unnest([k, hour("timestamp")::DOUBLE, value]) AS v FROM log)
+SELECT d AS window_start, d + INTERVAL 1 DAY AS window_end, feature, round(avg(v), 4) AS mean,
+       round(stddev_pop(v), 4) AS std, round(min(v), 2) AS min, round(max(v), 2) AS max
+FROM long WHERE v IS NOT NULL GROUP BY d, feature
+HAVING d + INTERVAL 1 DAY <= (SELECT max("timestamp") FROM log) - INTERVAL 1 HOUR""",
     "st_features": FEATURE_ORACLE["fe_features"],
     "st_drift": f"""
 WITH {LOG_SQL}, {MEASURED_SQL},

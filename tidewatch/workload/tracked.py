@@ -33,7 +33,7 @@ def registry_events(spark, sf_dir):
         ).otherwise(F.create_map(F.lit("mae"), F.lit(9.5))).alias("metrics"),
         F.create_map(F.lit("name"), F.col("s_name")).alias("training_info"),
     )
-    promotions = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(
+    promotions = table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").alias("event_ts"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
         F.lit("promote").alias("kind"),
@@ -145,7 +145,7 @@ reg AS (
   FROM supplier),
 prod AS (
   SELECT coalesce(
-    (SELECT l_suppkey + 1 FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey <> 0
+    (SELECT l_suppkey + 1 FROM lineitem WHERE l_suppkey <> 0
      ORDER BY l_shipdate DESC, l_orderkey * 10 + l_linenumber DESC LIMIT 1),
     (SELECT min(version) FROM reg)) AS version)
 """
@@ -164,11 +164,12 @@ runs AS (
 
 
 def _fingerprint_sql(name: str, columns: list[str]) -> str:
-    cells = ", ".join(f"coalesce({c}::VARCHAR, '\\N')" for c in columns)
+    cells = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns)
+    names = "[" + ",".join(f'"{c}"' for c in columns) + "]"
     part = lambda start: f"sum(('0x' || substr(h, {start}, 8))::UBIGINT)::HUGEINT"
     return f"""
 SELECT '{name}' AS name, n AS row_count, {len(columns)} AS column_count,
-       substr(sha256(concat_ws(':', n::VARCHAR, a::VARCHAR, b::VARCHAR)), 1, 12) AS data_hash
+       substr(sha256(concat_ws(':', '{names}', n::VARCHAR, a::VARCHAR, b::VARCHAR)), 1, 12) AS data_hash
 FROM (SELECT count(*) AS n, {part(1)} AS a, {part(9)} AS b
       FROM (SELECT md5(concat_ws('|', {cells})) AS h FROM {name}))"""
 

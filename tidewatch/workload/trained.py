@@ -23,7 +23,10 @@ def tr_split(spark, sf_dir):
 
 
 def tr_folds(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return _fold_sums(table(spark, sf_dir, "events").select("event_id", "ts"))
+
+
+def _fold_sums(events):
     parts = None
     for k, (before, block) in enumerate(evaluate.expanding_folds(events, ORDER, 5)):
         for name, rows in (("train", before), ("test", block)):
@@ -37,17 +40,44 @@ def tr_folds(spark, sf_dir):
     return parts
 
 
+def _some_times_missing(spark, sf_dir):
+    ts = F.when(F.col("event_id") % 10 != 3, F.col("ts"))
+    return table(spark, sf_dir, "events").select("event_id", ts.alias("ts"))
+
+
+def tr_split_nulls(spark, sf_dir):
+    """Rows without a time come first and are kept."""
+    first, rest = evaluate.temporal_split(_some_times_missing(spark, sf_dir), ORDER, 0.2)
+    return first.select("event_id", F.lit("train").alias("part")).unionByName(
+        rest.select("event_id", F.lit("test").alias("part"))
+    )
+
+
+def tr_folds_nulls(spark, sf_dir):
+    return _fold_sums(_some_times_missing(spark, sf_dir))
+
+
 def tr_metrics(spark, sf_dir):
     """Error of predicting each value by the mean of the user's three values before it."""
+    return evaluate.regression_metrics(_guessed(spark, sf_dir), "value", "prediction", ["event_type"])
+
+
+def tr_metrics_nan(spark, sf_dir):
+    """Rows with a NaN prediction do not count."""
+    guess = F.when(F.col("event_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("prediction"))
+    broken = _guessed(spark, sf_dir).withColumn("prediction", guess)
+    return evaluate.regression_metrics(broken, "value", "prediction", ["event_type"])
+
+
+def _guessed(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    guessed = over_series(
+    return over_series(
         events,
         ["user_id"],
         ORDER,
         3,
         lambda w: [F.avg("value").over(w.rowsBetween(-3, -1)).alias("prediction")],
     )
-    return evaluate.regression_metrics(guessed, "value", "prediction", ["event_type"])
 
 
 def _matrix(spark, sf_dir):
@@ -111,11 +141,42 @@ _NUMBERED = """
 n AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) - 1 AS i,
              count(*) OVER () AS total FROM events)
 """
+_NUMBERED_NULLS = """
+e AS (SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN ts END AS ts FROM events),
+n AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts NULLS FIRST, event_id) - 1 AS i,
+             count(*) OVER () AS total FROM e)
+"""
+_SPLIT_SQL = "SELECT event_id, CASE WHEN i < floor(total * (1 - 0.2::DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM n"
+_FOLDS_SQL = """
+f AS (SELECT n.*, k, total - (5 - k) * (total // 6) AS lo, total - (4 - k) * (total // 6) AS hi
+      FROM n CROSS JOIN range(5) AS r(k)),
+p AS (SELECT *, CASE WHEN i < lo THEN 'train' ELSE 'test' END AS part FROM f WHERE i < hi)
+SELECT CAST(k AS INTEGER) AS fold, part, count(*) AS "rows", min(ts) AS first_ts, max(ts) AS last_ts,
+       CAST(sum(event_id) AS BIGINT) AS id_sum
+FROM p GROUP BY k, part
+"""
+
+
+def _metrics_sql(condition: str) -> str:
+    return f"""
+WITH g AS (
+  SELECT event_id, event_type, value AS y, avg(value) OVER (
+           PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS p
+  FROM events)
+SELECT event_type, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2
+FROM g WHERE p IS NOT NULL AND {condition} GROUP BY event_type
+"""
+
+
 
 QUERIES = {
     "tr_split": tr_split,
     "tr_folds": tr_folds,
+    "tr_split_nulls": tr_split_nulls,
+    "tr_folds_nulls": tr_folds_nulls,
     "tr_metrics": tr_metrics,
+    "tr_metrics_nan": tr_metrics_nan,
     "tr_cv_best": tr_cv_best,
     "tr_score": tr_score,
     "tr_spread": tr_spread,
@@ -125,28 +186,12 @@ QUERIES = {
 }
 
 ORACLE = {
-    "tr_split": f"""
-WITH {_NUMBERED}
-SELECT event_id, CASE WHEN i < floor(total * (1 - 0.2::DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM n
-""",
-    "tr_folds": f"""
-WITH {_NUMBERED},
-f AS (SELECT n.*, k, total - (5 - k) * (total // 6) AS lo, total - (4 - k) * (total // 6) AS hi
-      FROM n CROSS JOIN range(5) AS r(k)),
-p AS (SELECT *, CASE WHEN i < lo THEN 'train' ELSE 'test' END AS part FROM f WHERE i < hi)
-SELECT CAST(k AS INTEGER) AS fold, part, count(*) AS "rows", min(ts) AS first_ts, max(ts) AS last_ts,
-       CAST(sum(event_id) AS BIGINT) AS id_sum
-FROM p GROUP BY k, part
-""",
-    "tr_metrics": """
-WITH g AS (
-  SELECT event_type, value AS y, avg(value) OVER (
-           PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS p
-  FROM events)
-SELECT event_type, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
-       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2
-FROM g WHERE p IS NOT NULL GROUP BY event_type
-""",
+    "tr_split": f"WITH {_NUMBERED} {_SPLIT_SQL}",
+    "tr_split_nulls": f"WITH {_NUMBERED_NULLS} {_SPLIT_SQL}",
+    "tr_folds": f"WITH {_NUMBERED}, {_FOLDS_SQL}",
+    "tr_folds_nulls": f"WITH {_NUMBERED_NULLS}, {_FOLDS_SQL}",
+    "tr_metrics": _metrics_sql("true"),
+    "tr_metrics_nan": _metrics_sql("event_id % 5 <> 0"),
     "tr_rank": """
 WITH b AS (
   SELECT CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS ordinal, p_brand AS feature,
