@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import mixing, packing, quality, secrets, simhash
+from tidewatch.llm import copies, mixing, packing, quality, secrets
 from tidewatch.llm.common import table
 from tidewatch.plans import stage
 
@@ -19,8 +19,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies, five-word shingles 0.8 alike."""
+    return copies.one_of_each(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,78 @@
+import random
+
+import numpy as np
+from tests.llm.helpers import clashing, column, documents, odd
+
+from tidewatch.llm import copies
+
+
+def shingles(text, k=5):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = low.split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def jaccard(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def groups(pairs, ids):
+    name = {i: i for i in ids}
+    while True:
+        before = dict(name)
+        for a, b in pairs:
+            name[a] = name[b] = min(name[a], name[b])
+        if name == before:
+            return name
+
+
+def test_near_copies_match_brute_force(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    texts = []
+    for _ in range(25):
+        base = [rng.choice(words) for _ in range(rng.randrange(60, 260))]
+        texts.append(" ".join(base))
+        for changes in (1, 2, 3, 30):
+            copy = list(base)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = "changed"
+            texts.append(" ".join(copy))
+    texts += [texts[0], texts[0].upper(), "", None, "two words", "two  words"]
+    alike = {(i, j): jaccard(texts[i], texts[j]) for i in range(len(texts)) for j in range(i)}
+    sure = groups([p for p, v in alike.items() if v >= 0.85], range(len(texts)))
+    may = groups([p for p, v in alike.items() if v >= 0.75], range(len(texts)))
+    got = dict(copies.near_copies(documents(spark, list(enumerate(texts)))).collect())
+    for i in got:
+        assert got[i] in (sure[i], may[i]) or got[got[i]] == got[i]
+        assert all(got[i] == got[j] for j in got if sure[i] == sure[j])
+        assert all(may[i] == may[j] for j in got if got[i] == got[j])
+    assert len(set(sure.values())) > 20
+
+
+def test_sketches_estimate_the_similarity():
+    rng = random.Random(2)
+    base = [str(rng.randrange(5000)) for _ in range(2000)]
+    for step in (50, 25, 12):
+        other = [w if i % step else "x" + w for i, w in enumerate(base)]
+        a, b = (np.frombuffer(copies.sketch(" ".join(t))[3], np.uint16) for t in (base, other))
+        guess = ((a == b) & (a > 0)).sum() / ((a > 0) | (b > 0)).sum()
+        assert abs(guess - jaccard(" ".join(base), " ".join(other))) < 0.07
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = clashing(odd(spark))
+    kept = copies.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert column(kept, "doc_id") == sorted([(1,), (4,), (6,), (7,), (8,), (None,)], key=repr)
+    twice = documents(spark, [(1, "same words here"), (1, "same words here"), (2, "same words here")])
+    assert column(copies.one_of_each(twice), "doc_id") == [(1,)]
+    assert copies.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_large_groups_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(copies, "BLOCK", 8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(["x" if j == 2 * i else w for j, w in enumerate(base)])) for i in range(50)]
+    assert {c for _, c in copies.near_copies(documents(spark, rows)).collect()} == {0}

@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 from tests.conftest import SF
-from tests.llm.helpers import WORD, clashing, column, documents, odd
+from tests.llm.helpers import WORD, clashing, column, odd
 
 from tidewatch.llm import simhash as sh
 
@@ -88,15 +88,6 @@ def test_odd_rows(spark):
     assert sh.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_one_row_of_each_group_stays(spark):
-    docs = clashing(odd(spark))
-    kept = sh.one_of_each(docs)
-    assert kept.columns == docs.columns
-    assert column(kept, "doc_id") == sorted([(1,), (4,), (6,), (7,), (8,), (None,)], key=repr)
-    twice = documents(spark, [(1, "same words here"), (1, "same words here"), (2, "same words here")])
-    assert column(sh.one_of_each(twice), "doc_id") == [(1,)]
-
-
 def test_hash_is_the_engines_own(spark):
     words = ["one two three", "é", ""]
     got = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()

@@ -1,0 +1,163 @@
+"""Near copies at a similarity, by SimHash and BK-trees.
+
+Two texts are near copies if their sets of word shingles are alike: by default five words
+and a Jaccard similarity of 0.8. Texts that alike agree on a band of minhashes all but
+surely, so bands shard the texts; in a shard, a BK-tree of SimHash fingerprints is followed
+within a wide radius. Candidates are connected into groups, and within a group every two
+members are held against each other, block by block, on a sketch of their shingles.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidewatch.llm.common import dealt
+from tidewatch.llm.components import components
+from tidewatch.llm.simhash import Tree, dealt_shards, shingle_hashes, simhash
+from tidewatch.plans import stage
+
+SHINGLE = 5
+LEAST = 0.8
+BANDS, ROWS = 16, 4  # of minhashes; alike texts share a band with odds of 0.9998
+RADIUS = 20  # bits; 64-bit fingerprints of texts 0.8 alike differ in 10 +- 3
+BINS = 512  # of a sketch
+BLOCK = 256  # members of a group that meet another block at once
+_FACTORS = np.random.default_rng(29).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
+_SKETCH = "set_id:long,bits:long,bands:array<long>,bins:binary"
+
+
+def sketch(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, list[int], bytes]:
+    """A hash of the shingle set, the fingerprint, a hash per band of minhashes, and the
+    least hash in each bin, 0 for an empty bin."""
+    parts = list(shingle_hashes(text, shingle))
+    each = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+    set_id = xxhash.xxh3_64_intdigest(each.tobytes())
+    with np.errstate(over="ignore"):
+        least = np.full(len(_FACTORS), ~np.uint64(0))
+        for i in range(0, len(each), 4096):
+            mixed = each[i : i + 4096, None] * _FACTORS[:, 0] + _FACTORS[:, 1]
+            least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0))
+    bands = [xxhash.xxh3_64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(BANDS, ROWS))]
+    bins = np.full(BINS, 0, np.uint16)
+    # Sorted by hash, the first of a bin is its least; bins come from other bits.
+    place, first = np.unique((each % np.uint64(BINS)).astype(np.int64), return_index=True)
+    bins[place] = (each[first] >> np.uint64(20)).astype(np.uint16) | np.uint16(1)
+    return set_id, simhash(parts), bands, bins.tobytes()
+
+
+def _signed(values) -> np.ndarray:
+    return np.array(values, dtype=np.uint64).view(np.int64)
+
+
+def _forest(n: int, pairs) -> tuple[np.ndarray, np.ndarray]:
+    """``(member, root)`` of each group that the pairs ``(i, js)`` of places connect."""
+    label = np.arange(n)
+    for i, js in pairs:
+        met = np.unique(label[np.append(js, i)])
+        if len(met) > 1:
+            label[np.isin(label, met)] = met[0]
+    moved = np.flatnonzero(label != np.arange(n))
+    return moved, label[moved]
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """``a, b``: enough links between ``id, bits, bands`` to connect all candidates."""
+
+    @F.pandas_udf("struct<a:array<long>,b:array<long>>")
+    def search(trees: pd.Series, tree_ids: pd.Series, queries: pd.Series, query_ids: pd.Series) -> pd.DataFrame:
+        out = []
+        for tree, ids, asked, asked_ids in zip(trees, tree_ids, queries, query_ids, strict=True):
+            every, place = np.unique(np.concatenate((ids, asked_ids)), return_inverse=True)
+            of_tree, of_query = place[: len(ids)], place[len(ids) :]
+            tree, first, same = np.unique(np.asarray(tree), return_index=True, return_inverse=True)
+            met = Tree(tree.view(np.uint64)).within(np.asarray(asked).view(np.uint64), RADIUS)
+            pairs = [(of_tree[first[node]], of_query[near]) for node, near in met]
+            pairs += [(of_tree[first[node]], [of_tree[i]]) for i, node in enumerate(same)]
+            moved, root = _forest(len(every), pairs)
+            out.append((every[moved], every[root]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    keyed = texts.select("id", "bits", F.posexplode("bands").alias("t", "k"))
+    found = dealt_shards(keyed, "bits", "id").select(
+        search("tree.bits", "tree.id", "queries.bits", "queries.id").alias("e")
+    )
+    return found.select(F.explode(F.arrays_zip("e.a", "e.b")).alias("e")).select("e.*").distinct()
+
+
+def alike(groups: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """``a, b``: enough links to connect members ``node`` of a component that are alike."""
+    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = groups.join(sketches, groups["node"] == sketches["id"]).select("component", "id", "bins")
+    blocks = (
+        members.join(dealt(sizes), "component")
+        .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .groupBy("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .agg(F.collect_list(F.struct("id", "bins")).alias("m"))
+    )
+
+    @F.pandas_udf("struct<a:array<long>,b:array<long>>")
+    def meet(ids: pd.Series, sketches_: pd.Series) -> pd.DataFrame:
+        out = []
+        for one, bins in zip(ids, sketches_, strict=True):
+            one, x = np.asarray(one), np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
+            moved, root = _forest(len(one), ((i, near) for i, near in enumerate(_near(x, least))))
+            out.append((one[moved], one[root]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    found = blocks.select(meet("m.id", "m.bins").alias("e"))
+    return found.select(F.explode(F.arrays_zip("e.a", "e.b")).alias("e")).select("e.*").distinct()
+
+
+def _near(bins: np.ndarray, least: float):
+    """For each sketch the places of later ones whose bins agree often enough."""
+    full = bins > 0
+    for i in range(len(bins)):
+        either = (full[i] | full[i:]).sum(axis=1)
+        same = ((bins[i] == bins[i:]) & full[i]).sum(axis=1)
+        yield i + np.flatnonzero(same >= least * np.maximum(either, 1))
+
+
+def near_copies(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, component_id`` per row of ``docs``: the least id of its near copies' group.
+
+    Texts with the same shingle set, such as all without words, are copies. The similarity
+    is estimated on 512 bins, with a deviation below 0.02; it is all but exact for short texts.
+    """
+
+    @F.pandas_udf(f"struct<{_SKETCH}>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        set_ids, bits, bands, bins = zip(*(sketch(t, shingle) for t in texts), strict=True)
+        return pd.DataFrame(
+            {"set_id": _signed(set_ids), "bits": _signed(bits), "bands": list(_signed(bands)), "bins": bins}
+        )
+
+    sketched = stage(docs.select("doc_id", run("text").alias("s")).select("doc_id", "s.*"), "sketches")
+    sets = stage(
+        sketched.groupBy("set_id").agg(F.min(F.struct("doc_id", "bits", "bands")).alias("r"))
+        .select("set_id", F.col("r.doc_id").alias("id"), "r.bits", "r.bands"),
+        "sets",
+    )
+    groups = stage(components(candidates(sets), "a", "b"), "groups")
+    chosen = sketched.select(F.col("doc_id").alias("id"), "bins")
+    near = components(alike(groups, chosen, least), "a", "b")
+    named = sets.join(dealt(near), F.col("id") == F.col("node"), "left").select(
+        "set_id", F.coalesce("component", "id").alias("component_id")
+    )
+    return sketched.select("doc_id", "set_id").join(stage(named, "named"), "set_id").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
+    """The row with the least ``doc_id`` of every group, all columns kept; repeats go.
+
+    Of several rows with that ``doc_id`` one stays. Rows with a NULL ``doc_id`` cannot be
+    named, so they take no part and stay.
+    """
+    named = docs.filter(F.col("doc_id").isNotNull())
+    winners = near_copies(named, least, shingle).filter("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))

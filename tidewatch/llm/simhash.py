@@ -13,6 +13,7 @@ each block's queries. A tree reports a spanning forest of its links, never all p
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -36,25 +37,29 @@ _STEP = 1 << 16  # shingles hashed at a time
 # ---- Fingerprints
 
 
-def simhash(text: str | None, shingle: int = SHINGLE) -> int:
-    """Unsigned fingerprint of a whole text; 0 where it has no word."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """XXH64 of each word shingle, repeats included, some at a time; fewer words are one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII rules
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(shingle, len(words))
     starts, ends = starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist()
-    ones = np.zeros(BITS, np.int64)
     for i in range(0, len(starts), _STEP):
-        hashes = [
-            xxhash.xxh64_intdigest(joined[a:b], SEED)
-            for a, b in zip(starts[i : i + _STEP], ends[i : i + _STEP], strict=True)
-        ]
-        rows = np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8)
+        pairs = zip(starts[i : i + _STEP], ends[i : i + _STEP], strict=True)
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in pairs], dtype=np.uint64)
+
+
+def simhash(parts: Iterable[np.ndarray]) -> int:
+    """Unsigned fingerprint of shingle hashes; 0 where there is none."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in parts:
+        rows = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
         ones += np.unpackbits(rows, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(starts)).tobytes(), "big")
+        n += len(hashes)
+    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big") if n else 0
 
 
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
@@ -62,7 +67,7 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
-        bits = np.array([simhash(t, shingle) for t in texts], dtype=np.uint64)
+        bits = np.array([simhash(shingle_hashes(t, shingle)) for t in texts], dtype=np.uint64)
         return pd.Series(bits.view(np.int64))
 
     return run(text)
@@ -132,18 +137,25 @@ def shards(prints: DataFrame, bits: str, radius: int, parts: int) -> DataFrame:
         *[F.struct(F.lit(i).alias("t"), F.col(bits).bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)]
     )
     keyed = prints.select(bits, F.explode(keys).alias("s")).select(bits, "s.t", "s.k")
+    return dealt_shards(keyed, bits)
+
+
+def dealt_shards(keyed: DataFrame, bits: str, *more: str) -> DataFrame:
+    """``tree, queries``: fingerprints, and ``more`` of them, that share a key ``t, k``.
+
+    A key of more than ``SHARD`` rows is cut into blocks, every two of which meet in a row.
+    """
     shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    block = F.pmod(F.xxhash64(bits, F.lit(SEED)), F.col("blocks")).cast("int")
-    blocks = F.ceil(F.col("n") / F.lit(SHARD)).cast("int")
+    entry = F.struct(F.col(bits).alias("bits"), *more) if more else F.col(bits)
     return (
         keyed.join(dealt(shared), ["t", "k"])
-        .withColumn("blocks", blocks)
-        .withColumn("block", block)
+        .withColumn("blocks", F.ceil(F.col("n") / F.lit(SHARD)).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64(bits, *more, F.lit(SEED)), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .groupBy("t", "k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         .agg(
-            F.collect_list(F.when(F.col("block") <= F.col("other"), F.col(bits))).alias("tree"),
-            F.collect_list(F.when(F.col("block") >= F.col("other"), F.col(bits))).alias("queries"),
+            F.collect_list(F.when(F.col("block") <= F.col("other"), entry)).alias("tree"),
+            F.collect_list(F.when(F.col("block") >= F.col("other"), entry)).alias("queries"),
         )
         .select("tree", "queries")
     )
@@ -185,19 +197,6 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return hashed.join(classes, "bits").select("doc_id", "bits", as_hex(F.col("bits")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """The row with the least ``doc_id`` of every group, all columns kept; repeats go.
-
-    Of several rows with that ``doc_id`` one stays. Rows with a NULL ``doc_id`` cannot be
-    named, so they take no part and stay.
-    """
-    named = docs.filter(F.col("doc_id").isNotNull())
-    groups = near_duplicates(named, radius, shingle)
-    winners = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
-
-
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
