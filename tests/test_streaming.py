@@ -42,35 +42,43 @@ def test_ingest_writes_each_file_once(spark, events, tmp_path):
 
 @pytest.mark.parametrize("cuts", [[0.5], [0.1, 0.11, 0.9]])
 def test_features_equal_batch(spark, events, tmp_path, cuts):
-    landed, out, checkpoint = folders(tmp_path, "landed", "out", "cp")
+    landed, out, base, checkpoint = folders(tmp_path, "landed", "out", "base", "cp")
     plain = events.drop("props")
     start, span = dt.datetime(2024, 1, 1), dt.timedelta(days=30)
     edges = [start + c * span for c in (0.0, *cuts, 1.1)]
+    stream = feature_stream.FeatureStream(SPEC, out, base, dt.timedelta(0))
     for low, high in zip(edges, edges[1:]):
         part = plain.filter(F.col("ts").between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
         part.repartition(3).write.mode("append").parquet(landed)
-        stream = ingest_stream.read_stream(spark, landed, SCHEMA, "parquet")
-        built = feature_stream.streaming_features(stream, "event_type", "ts", "event_id", "value")
-        monitor_stream.start_append(built, out, checkpoint).awaitTermination()
+        source = ingest_stream.read_stream(spark, landed, SCHEMA, "parquet")
+        stream.start(source, checkpoint).awaitTermination()
     columns = [F.round(c, 6).alias(c) for c in SPEC.feature_columns]
     found = spark.read.parquet(out)
-    assert found.filter("late").count() == 0
+    assert spark.read.parquet(f"{base}/late").count() == 0
     assert rows_of(found.select("event_id", *columns)) == rows_of(add_features(plain, SPEC).select("event_id", *columns))
 
 
 def test_late_rows_are_set_aside(spark, tmp_path):
-    landed, out, checkpoint = folders(tmp_path, "landed", "out", "cp")
+    landed, out, base, checkpoint = folders(tmp_path, "landed", "out", "base", "cp")
     at = dt.datetime(2024, 1, 1)
-    row = lambda i, hours, v: (i, at + dt.timedelta(hours=hours), 0, "k", v)
-    for batch in ([row(1, 1, 1.0), row(2, 5, 2.0)], [row(3, 3, 9.0), row(4, 6, 3.0)], [row(5, 2, 9.0)]):
-        spark.createDataFrame(batch, SCHEMA).coalesce(1).write.mode("append").parquet(landed)
-        stream = ingest_stream.read_stream(spark, landed, SCHEMA, "parquet")
-        built = feature_stream.streaming_features(stream, "event_type", "ts", "event_id", "value", (1,), (3,))
-        monitor_stream.start_append(built, out, checkpoint).awaitTermination()
-    rows = {r["event_id"]: r for r in spark.read.parquet(out).collect()}
-    assert {i for i, r in rows.items() if r["late"]} == {3, 5}
-    assert rows[4]["value_lag_1"] == 2.0 and rows[4]["value_roll_mean_3"] == 2.0
-    assert rows[3]["value_lag_1"] is None
+    row = lambda i, hours, v: (i, None if hours is None else at + dt.timedelta(hours=hours), 0, "k", v)
+    spec = FeatureSpec(target="value", order_by=("ts", "event_id"), keys=("event_type",), lags=(1,), windows=(3,))
+    stream = feature_stream.FeatureStream(spec, out, base, dt.timedelta(hours=1))
+    arrivals = (
+        [row(1, 1, 1.0), row(2, 3, 2.0)],
+        [row(3, 2, 9.0), row(4, 4, 3.0), row(8, None, 0.0)],  # 3 is at the watermark
+        [row(5, 3.5, 4.0), row(6, 1, 5.0)],  # 5 came before 4 is final
+    )
+    for rows in arrivals:
+        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(landed)
+        source = ingest_stream.read_stream(spark, landed, SCHEMA, "parquet")
+        stream.start(source, checkpoint).awaitTermination()
+    assert {r["event_id"] for r in spark.read.parquet(out).collect()} == {1, 2}
+    stream.finish(spark, source.schema)
+    found = {r["event_id"]: (r["value_lag_1"], r["value_roll_mean_3"]) for r in spark.read.parquet(out).collect()}
+    assert found == {1: (None, 1.0), 2: (1.0, 1.5), 5: (2.0, 7 / 3), 4: (4.0, 3.0)}
+    late = spark.read.parquet(f"{base}/late").collect()
+    assert sorted(r["event_id"] for r in late) == [3, 6, 8]
 
 
 def test_monitoring_of_closed_windows_equals_batch(spark, events, tmp_path):

@@ -167,12 +167,17 @@ class FeatureModel:
         """Scale of ``column``: its standard deviation, or 1 for a constant one."""
         return self.stds[column] or 1.0
 
-    def transform(self, df: DataFrame, include_target: bool = True) -> DataFrame:
-        """Key and order columns, scaled features and, if wanted, the raw target."""
+    def transform(
+        self, df: DataFrame, include_target: bool = True, keep: Sequence[str] = ()
+    ) -> DataFrame:
+        """Key and order columns, scaled features and, if wanted, the raw target.
+
+        ``keep`` names imputed columns that come along unscaled in the struct ``inputs``.
+        """
         self._require_fitted("transform")
-        return self._scale(self.complete_rows(df), include_target)
+        return self._scale(self.complete_rows(df), include_target, keep)
 
-    def _scale(self, rows: DataFrame, include_target: bool) -> DataFrame:
+    def _scale(self, rows: DataFrame, include_target: bool, keep: Sequence[str] = ()) -> DataFrame:
         spec = self.spec
         labels = [c for c in (*spec.keys, *spec.order_by) if c not in self.feature_columns]
         scaled = [
@@ -180,7 +185,8 @@ class FeatureModel:
             for c in self.feature_columns
         ]
         target = [F.col(f"`{spec.target}`")] if include_target else []
-        return rows.select(*dict.fromkeys(labels), *scaled, *target)
+        raw = [F.struct(*[F.col(f"`{c}`").alias(c) for c in keep]).alias("inputs")] if keep else []
+        return rows.select(*dict.fromkeys(labels), *scaled, *target, *raw)
 
     def fit_transform(self, df: DataFrame, include_target: bool = True) -> DataFrame:
         """Fit and transform; the window stage runs once and its rows are staged."""

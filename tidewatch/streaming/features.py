@@ -1,79 +1,110 @@
-"""Lag and rolling features over a stream, with the recent values kept as state."""
+"""Lag and rolling features over a stream, independent of how it is cut into batches.
+
+Rows wait until the watermark, the newest time seen less the allowed lateness, has passed
+them; then no earlier row can come any more and their features are final. Each micro-batch
+computes the features of the rows that became final, with the batch operator and after
+the kept last rows of each key. What waits and what is kept is written under the batch id, and
+so are the results: a replayed batch overwrites its own tables.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tidewatch import presets
-from tidewatch.operators.features import hour_columns
-
-
-def streaming_features(
-    stream: DataFrame,
-    key: str,
-    time_column: str,
-    id_column: str,
-    target: str,
-    lags: Sequence[int] = presets.LAGS,
-    windows: Sequence[int] = presets.ROLLING_WINDOWS,
-) -> DataFrame:
-    """Same columns as the batch features, for one new row at a time.
-
-    The state of a key is its last ``max(lags, windows - 1)`` target values and the
-    order key of the newest row. Rows are sorted by (time, id) inside a micro-batch,
-    whose size ``maxFilesPerTrigger`` bounds. A row older than the newest one seen
-    for its key comes out with ``late`` set and no features.
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidewatch.functions import clock
+from tidewatch.operators.features import FeatureSpec, add_features
+from tidewatch.plans.staging import scratch
+
+
+@dataclass(frozen=True)
+class FeatureStream:
+    """Where a feature stream keeps its tables and how late a row may come.
+
+    ``out`` gets the features, ``base``/late the rows without a time or not after the watermark
+    of the batch before theirs, ``base``/state what goes on from batch to batch.
     """
-    depth = max([*lags, *[w - 1 for w in windows], 1])
-    names = [f"{target}_lag_{n}" for n in lags]
-    for w in windows:
-        names += [f"{target}_roll_mean_{w}", f"{target}_roll_std_{w}"]
-    base = [stream.schema[c] for c in (key, time_column, id_column, target)]
-    output = T.StructType(
-        [*base, T.StructField("late", T.BooleanType())]
-        + [T.StructField(n, T.DoubleType()) for n in names]
-    )
-    state_schema = "values array<double>, newest_ts long, newest_id long"
-
-    def update(
-        _: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        past, newest = [], None
-        if state.exists:
-            values, ts, row_id = state.get
-            past, newest = list(values), (ts, row_id)
-        rows = pd.concat(list(batches), ignore_index=True).sort_values([time_column, id_column])
-        stamps = rows[time_column].astype("datetime64[us]").astype("int64")
-        late = np.zeros(len(rows), dtype=bool)
-        if newest is not None:
-            late = ((stamps < newest[0]) | (
-                (stamps == newest[0]) & (rows[id_column] <= newest[1])
-            )).to_numpy()
-        fresh = rows[~late]
-        series = pd.Series(past + fresh[target].astype(float).tolist(), dtype=float)
-        out = {}
-        for n in lags:
-            out[f"{target}_lag_{n}"] = series.shift(n)
-        for w in windows:
-            rolling = series.rolling(w, min_periods=1)
-            out[f"{target}_roll_mean_{w}"] = rolling.mean()
-            out[f"{target}_roll_std_{w}"] = rolling.std().fillna(0.0)
-        features = pd.DataFrame(out).iloc[len(past) :].set_index(fresh.index)
-        result = rows[[key, time_column, id_column, target]].assign(late=late).join(features)
-        if len(fresh):
-            last = fresh.index[-1]
-            tail = [None if pd.isna(v) else float(v) for v in series.iloc[-depth:]]
-            state.update((tail, int(stamps[last]), int(fresh.at[last, id_column])))
-        yield result[[f.name for f in output.fields]]
-
-    featured = stream.groupBy(key).applyInPandasWithState(
-        update, output, state_schema, "append", GroupStateTimeout.NoTimeout
-    )
-    return featured.select("*", *hour_columns(time_column))
+
+    spec: FeatureSpec
+    out: str
+    base: str
+    lateness: timedelta
+
+    def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Process what is there, batch by batch."""
+        return (
+            stream.writeStream.foreachBatch(self._update)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def finish(self, spark: SparkSession, schema: StructType) -> None:
+        """Write the features of all rows that still wait, as one more batch.
+
+        For the end of a stream.
+        """
+        done = spark.read.parquet(f"{self.base}/state/marks").agg(F.max("batch")).first()[0]
+        self._advance(spark.createDataFrame([], schema), done + 1, final=True)
+
+    def _update(self, rows: DataFrame, batch: int) -> None:
+        self._advance(rows, batch, final=False)
+
+    def _advance(self, rows: DataFrame, batch: int, final: bool) -> None:
+        spark, time = rows.sparkSession, F.col(self.spec.order_by[0])
+        columns = rows.columns
+        with scratch(spark):
+            mark, newest, waiting, kept = self._state(spark, batch - 1, rows)
+            late = time.isNull() if mark is None else F.coalesce(time <= clock(mark), F.lit(True))
+            self._write(rows.filter(late), f"{self.base}/late", batch)
+            there = waiting.unionByName(rows.filter(~late))
+            seen = there.agg(F.max(time)).first()[0]
+            newest = max((t for t in (newest, seen) if t is not None), default=None)
+            mark = newest if final or newest is None else max(mark or datetime.min, newest - self.lateness)
+            done = F.lit(False) if mark is None else F.coalesce(time <= clock(mark), F.lit(False))
+
+            ready = there.filter(done).withColumn("_new", F.lit(True))
+            series = kept.withColumn("_new", F.lit(False)).unionByName(ready)
+            featured = add_features(series, self.spec).filter("_new").drop("_new")
+            self._write(featured, self.out, batch)
+            state = f"{self.base}/state"
+            self._write(there.filter(~done), f"{state}/waiting", batch)
+            self._write(self._last(series).select(columns), f"{state}/kept", batch)
+            marks = spark.createDataFrame([(mark, newest)], "mark timestamp_ntz, newest timestamp_ntz")
+            self._write(marks.coalesce(1), f"{state}/marks", batch)
+            if batch > 1:  # a replay starts from the batch before, never from an older one
+                for name in ("waiting", "kept"):
+                    self._write(rows.limit(0), f"{state}/{name}", batch - 2)
+
+    def _last(self, series: DataFrame) -> DataFrame:
+        """The last rows of each key that later windows look back to.
+
+        The limit on the row number is applied before the shuffle as well, so a hot key
+        sends few rows.
+        """
+        order = [F.col(c).desc() for c in self.spec.order_by]
+        number = F.row_number().over(Window.partitionBy(*self.spec.keys).orderBy(*order))
+        return series.withColumn("_number", number).filter(F.col("_number") <= self.spec.history)
+
+    def _state(self, spark: SparkSession, batch: int, like: DataFrame):
+        if batch < 0:
+            return None, None, like.limit(0), like.limit(0)
+        state = f"{self.base}/state"
+        read = lambda name: spark.read.schema(like.schema).parquet(f"{state}/{name}/batch={batch}")
+        marks = spark.read.parquet(f"{state}/marks/batch={batch}").first()
+        return marks["mark"], marks["newest"], read("waiting"), read("kept")
+
+    @staticmethod
+    def _write(rows: DataFrame, folder: str, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+
+def read_features(spark: SparkSession, stream: FeatureStream, columns: Sequence[str | Column] = ("*",)) -> DataFrame:
+    """All features written so far."""
+    return spark.read.parquet(stream.out).drop("batch").select(*columns)

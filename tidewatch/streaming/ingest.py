@@ -12,19 +12,25 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch import presets
 from tidewatch.operators import validate
 
+MAX_BYTES = 64 << 30
+
 
 def read_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str,
     file_format: str = "json",
-    max_files: int = 1000,
+    max_bytes: int = MAX_BYTES,
+    max_files: int | None = None,
 ) -> DataFrame:
     """New files below ``path`` as a stream with a declared schema.
 
-    ``max_files`` bounds a micro-batch, also when a long backlog is read.
+    ``max_bytes`` bounds a micro-batch, also when a long backlog is read; ``max_files``
+    bounds it by the number of files instead.
     """
     reader = spark.readStream.format(file_format).schema(schema)
+    if max_files is None:
+        return reader.option("maxBytesPerTrigger", max_bytes).load(path)
     return reader.option("maxFilesPerTrigger", max_files).load(path)
 
 

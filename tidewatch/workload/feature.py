@@ -104,7 +104,7 @@ WITH f AS (SELECT event_id, event_type, {_window_sql('PARTITION BY event_type')}
 SELECT event_id, event_type, {_round_sql(SERIES.feature_columns)} FROM f
 """
 
-_COMPLETE_SQL = f"""
+COMPLETE_SQL = f"""
 {MEASURED_SQL.strip()},
 filled AS (
   SELECT event_id, ts, event_type, value,
@@ -122,7 +122,7 @@ def _scaled_sql() -> str:
         x = f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 5)"
         scaled.append(f"CASE WHEN {x} = 0 THEN 0.0::DOUBLE ELSE {x} END AS {c}")
     return f"""
-WITH {_COMPLETE_SQL},
+WITH {COMPLETE_SQL},
 stats AS (SELECT {', '.join(stats)} FROM complete)
 SELECT event_id, value, {', '.join(scaled)} FROM complete CROSS JOIN stats
 """
@@ -138,7 +138,7 @@ def _state_sql() -> str:
         median = "(SELECT median(k) FROM measured)" if c == "k" else "CAST(NULL AS DOUBLE)"
         mean = f"CASE WHEN round(avg({c}), 5) = 0 THEN 0.0::DOUBLE ELSE round(avg({c}), 5) END"
         rows.append(f"SELECT '{c}', {i}, {median}, {mean}, round(stddev_pop({c}), 5) FROM complete")
-    return f"WITH {_COMPLETE_SQL}\n" + "\nUNION ALL\n".join(rows)
+    return f"WITH {COMPLETE_SQL}\n" + "\nUNION ALL\n".join(rows)
 
 
 QUERIES = {
@@ -164,7 +164,7 @@ SELECT event_id, coalesce(k, (SELECT median(k) FROM measured)) AS k FROM measure
 """,
     "fe_scaled": _scaled_sql(),
     "fe_scaled_large_mean": f"""
-WITH {_COMPLETE_SQL},
+WITH {COMPLETE_SQL},
 stats AS (SELECT avg(k) AS m, stddev_pop(k) AS s FROM complete)
 SELECT event_id, CASE WHEN round((k - m) / s, 3) = 0 THEN 0.0::DOUBLE ELSE round((k - m) / s, 3) END AS k
 FROM complete CROSS JOIN stats

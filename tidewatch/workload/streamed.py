@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from tidewatch.operators import drift
-from tidewatch.operators.features import FeatureSpec
 from tidewatch.plans.staging import fresh_path
 from tidewatch.sources import logs
 from tidewatch.streaming import drift as drift_stream
@@ -85,17 +86,41 @@ def st_drift(spark, sf_dir):
     )
 
 
+def _featured(spark, landed, lateness, **bound):
+    """The landed files streamed to their end; ``bound`` says how they are cut into batches."""
+    out, base, checkpoint = (fresh_path(spark, n) for n in ("out", "base", "cp"))
+    stream = feature_stream.FeatureStream(SERIES, out, base, lateness)
+    source = ingest_stream.read_stream(spark, landed, EVENTS, "parquet", **bound)
+    stream.start(source, checkpoint).awaitTermination()
+    stream.finish(spark, source.schema)
+    rows = feature_stream.read_features(spark, stream)
+    rounded = [F.round(c, 6).alias(c) for c in SERIES.feature_columns]
+    return rows.select("event_id", "event_type", *rounded), spark.read.parquet(f"{base}/late")
+
+
 def st_features(spark, sf_dir):
-    """Two arrivals; the second continues from the state the first one left."""
-    landed, out, checkpoint = (fresh_path(spark, n) for n in ("landed", "out", "cp"))
+    """The later half arrives first; read one file at a time and all at once."""
+    landed = fresh_path(spark, "landed")
     events = table(spark, sf_dir, "events").drop("props")
-    for _ in _land(events, landed, _halves()):
-        stream = ingest_stream.read_stream(spark, landed, EVENTS, "parquet")
-        built = feature_stream.streaming_features(stream, "event_type", "ts", "event_id", "value")
-        monitor_stream.start_append(built, out, checkpoint).awaitTermination()
-    rows = spark.read.parquet(out)
-    columns = FeatureSpec(**SERIES.__dict__).feature_columns
-    return rows.select("event_id", "event_type", *[F.round(c, 6).alias(c) for c in columns])
+    for _ in _land(events.coalesce(1), landed, reversed(_halves())):
+        pass
+    month = timedelta(days=31)
+    each, _ = _featured(spark, landed, month, max_files=1)
+    whole, _ = _featured(spark, landed, month)
+    return each.withColumn("cut", F.lit("each")).unionByName(whole.withColumn("cut", F.lit("whole")))
+
+
+def st_features_late(spark, sf_dir):
+    """Some rows of the first half arrive after the second one, with a day allowed."""
+    landed = fresh_path(spark, "landed")
+    events = table(spark, sf_dir, "events").drop("props").coalesce(1)
+    first, second = _halves()
+    tardy = F.col("event_id") % 50 == 7
+    for _ in _land(events, landed, [first & ~tardy, second, first & tardy]):
+        pass
+    rows, late = _featured(spark, landed, timedelta(days=1), max_files=1)
+    flagged = late.select("event_id", "event_type", F.lit(True).alias("late"))
+    return rows.withColumn("late", F.lit(False)).unionByName(flagged, allowMissingColumns=True)
 
 
 def st_score(spark, sf_dir):
@@ -117,6 +142,7 @@ QUERIES = {
     "st_feature_stats": st_feature_stats,
     "st_drift": st_drift,
     "st_features": st_features,
+    "st_features_late": st_features_late,
     "st_score": st_score,
 }
 
@@ -144,7 +170,12 @@ SELECT d AS window_start, d + INTERVAL 1 DAY AS window_end, feature, round(avg(v
        round(stddev_pop(v), 4) AS std, round(min(v), 2) AS min, round(max(v), 2) AS max
 FROM long WHERE v IS NOT NULL GROUP BY d, feature
 HAVING d + INTERVAL 1 DAY <= (SELECT max("timestamp") FROM log) - INTERVAL 1 HOUR""",
-    "st_features": FEATURE_ORACLE["fe_features"],
+    "st_features": f"SELECT f.*, cut FROM ({FEATURE_ORACLE['fe_features']}) f, (VALUES ('each'), ('whole')) c(cut)",
+    "st_features_late": f"""
+WITH marked AS (SELECT *, event_id % 50 = 7 AND ts < {HALF_SQL} AS late FROM events),
+first AS ({FEATURE_ORACLE["fe_features"].replace("FROM events", "FROM (SELECT * FROM marked WHERE NOT late)")})
+SELECT *, false AS late FROM first
+UNION ALL BY NAME SELECT event_id, event_type, true AS late FROM marked WHERE late""",
     "st_drift": f"""
 WITH {LOG_SQL}, {MEASURED_SQL},
 base AS (SELECT k, value FROM measured WHERE ts < {HALF_SQL}),
