@@ -111,9 +111,10 @@ def candidate_lines(text: Column, weights: Weights, least: float) -> Column:
 
 
 def best_templates(lines: DataFrame, weights: Weights, least: float) -> DataFrame:
-    """``text, score, license, words`` for each distinct line whose cosine reaches ``least``.
+    """``digest, score, license, words`` for each distinct line whose cosine reaches ``least``.
 
-    Of equal scores the greater name. The weights are a table with a row per template and term.
+    Lines ``digest, text`` are known by their digest, so terms do not carry a copy of their line. Of
+    equal scores the greater name. The weights are a table with a row per template and term.
     """
     spark = lines.sparkSession
     idf = spark.createDataFrame(list(weights.idf.items()), "term string, idf double")
@@ -122,23 +123,23 @@ def best_templates(lines: DataFrame, weights: Weights, least: float) -> DataFram
         "term string, license string, weight double",
     )
     counted = (
-        lines.select("text").distinct()
-        .select("text", F.explode(F.split(F.lower("text"), TERM)).alias("term"))
+        lines.groupBy("digest").agg(F.first("text").alias("text"))
+        .select("digest", F.explode(F.split(F.lower("text"), TERM)).alias("term"))
         .filter("term <> ''")
-        .groupBy("text", "term")
+        .groupBy("digest", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
         .join(F.broadcast(idf), "term", "left")
         .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(weights.unknown)))
     )
-    norms = counted.groupBy("text").agg(F.sum(F.col("w") * F.col("w")).alias("square"), F.sum("tf").alias("words"))
+    norms = counted.groupBy("digest").agg(F.sum(F.col("w") * F.col("w")).alias("square"), F.sum("tf").alias("words"))
     dots = (
         counted.join(F.broadcast(vectors), "term")
-        .groupBy("text", "license")
+        .groupBy("digest", "license")
         .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     )
     score = F.round(F.col("dot") / F.sqrt("square"), 9)
-    best = dots.join(norms, "text").groupBy("text", "words").agg(F.max(F.struct(score.alias("score"), "license")).alias("b"))
-    return best.select("text", "words", "b.*").filter(F.col("score") >= least)
+    best = dots.join(norms, "digest").groupBy("digest", "words").agg(F.max(F.struct(score.alias("score"), "license")).alias("b"))
+    return best.select("digest", "words", "b.*").filter(F.col("score") >= least)
 
 
 # ---- Directories
@@ -165,10 +166,12 @@ def licensed(docs: DataFrame, path: Column, templates: dict[str, str] = TEMPLATE
         ),
         "seen",
     )
-    lines = seen.select("doc_id", "path", F.explode("lines").alias("l")).select("doc_id", "path", "l.*")
+    lines = seen.select("doc_id", "path", F.explode("lines").alias("l")).select(
+        "doc_id", "path", "l.text", F.sha2("l.text", 256).alias("digest")
+    )
     best = stage(best_templates(lines, weights, least), "best")
     own = (
-        lines.join(best, "text")
+        lines.select("doc_id", "path", "digest").join(best, "digest")
         .groupBy("doc_id", "path")
         .agg(F.max(F.struct("score", "license")).alias("best"), F.sum("words").alias("header_words"))
     )
