@@ -81,11 +81,11 @@ def test_importances_find_the_strong_feature(linear, model):
     builtin = {r["feature"]: r["importance"] for r in
                importance.builtin_importance(linear, model, ["a", "b", "c"]).collect()}
     assert sum(builtin.values()) == pytest.approx(1, abs=1e-5)
-    permuted = importance.permutation_importance(linear, model, ["a", "b", "c"], "y", repeats=3)
+    permuted = importance.permutation_importance(linear, model, ["a", "b", "c"], "y", ["i"], repeats=3)
     means = {r["feature"]: r["perm_mean"] for r in permuted.collect()}
     for found in (builtin, means):
         assert found["a"] > found["b"] > found["c"]
-    again = importance.permutation_importance(linear, model, ["a", "b", "c"], "y", repeats=3)
+    again = importance.permutation_importance(linear, model, ["a", "b", "c"], "y", ["i"], repeats=3)
     assert rows_of(again) == rows_of(permuted)
 
 

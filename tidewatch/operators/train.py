@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import presets
 from tidewatch.operators.evaluate import expanding_folds
+from tidewatch.plans.staging import scratch, stage
 
 CV_RESULTS = "combination int, params map<string,string>, fold int, mae double"
 
@@ -31,15 +32,19 @@ def fit_forest(
     seed: int = presets.SEED,
 ) -> RandomForestRegressionModel:
     """Forest over all features per split, as regression forests commonly use."""
-    forest = RandomForestRegressor(
+    forest = _forest(target, params, seed)
+    data = assemble(df.select(*features, target), features).select("features", target)
+    return forest.fit(data)
+
+
+def _forest(target: str, params: Mapping[str, Any] | None, seed: int) -> RandomForestRegressor:
+    return RandomForestRegressor(
         featuresCol="features",
         labelCol=target,
         featureSubsetStrategy="all",
         seed=seed,
         **dict(params or {}),
     )
-    data = assemble(df.select(*features, target), features).select("features", target)
-    return forest.fit(data)
 
 
 def combinations(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
@@ -59,27 +64,26 @@ def cross_validate(
 ) -> DataFrame:
     """Mean absolute error of every (combination, fold).
 
-    Each fold trains on the rows before its test block only. ``parallelism``
-    submits that many fits to Spark at a time.
+    Each fold trains on the rows before its test block only. A fold is assembled and
+    staged once for all combinations. ``parallelism`` submits that many fits to Spark at a time.
     """
-    pairs = expanding_folds(df, order_by, folds)
-    tasks = [
-        (c, params, k)
-        for c, params in enumerate(combinations(grid))
-        for k in range(len(pairs))
-    ]
-
-    def run(task):
-        c, params, k = task
-        train, test = pairs[k]
-        model = fit_forest(train, features, target, params, seed)
-        scored = model.transform(assemble(test.select(*features, target), features))
-        mae = scored.agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
-        return c, {name: str(v) for name, v in params.items()}, k, mae
-
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(run, tasks, chunksize=1)
-    return df.sparkSession.createDataFrame(rows, CV_RESULTS)
+    spark = df.sparkSession
+    rows = []
+    with scratch(spark):
+        for k, parts in enumerate(expanding_folds(df, order_by, folds)):
+            train, test = (
+                stage(assemble(part, features).select("features", target), "fold") for part in parts
+            )
+
+            def run(task, k=k, train=train, test=test):
+                c, params = task
+                scored = _forest(target, params, seed).fit(train).transform(test)
+                mae = scored.agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
+                return c, {name: str(v) for name, v in params.items()}, k, mae
+
+            with ThreadPool(parallelism) as pool:
+                rows += pool.map(run, enumerate(combinations(grid)), chunksize=1)
+    return spark.createDataFrame(rows, CV_RESULTS)
 
 
 def best_combination(results: DataFrame) -> DataFrame:

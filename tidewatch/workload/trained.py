@@ -11,7 +11,7 @@ from tidewatch.workload.feature import WITH_INPUT
 from tidewatch.workload.tables import measured, table
 
 ORDER = ["ts", "event_id"]
-FOREST = {"numTrees": 5, "maxDepth": 4}
+FOREST = {"numTrees": 50, "maxDepth": 10}
 
 
 def tr_split(spark, sf_dir):
@@ -118,7 +118,7 @@ def tr_importance(spark, sf_dir):
 
 def tr_perm(spark, sf_dir):
     model, rest, features = fitted(spark, sf_dir)
-    return importance.permutation_importance(rest, model, features, "value", repeats=2)
+    return importance.permutation_importance(rest, model, features, "value", ORDER, repeats=5)
 
 
 def tr_rank(spark, sf_dir):
