@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import clock_instant, clock_micros, instant_clock
+from tidewatch.functions.columns import as_long
 from tidewatch.plans import (
     before,
     dense_index,
@@ -57,18 +58,15 @@ def test_blocked_windows_equal_one_global_window(events, block_rows):
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)
 
 
-@pytest.mark.parametrize("hot_rows, single", [(0, 0), (0, 8), (200, 8), (10_000, 8)])
-def test_hot_keys_equal_plain_keyed_windows(events, monkeypatch, hot_rows, single):
-    monkeypatch.setattr(ordering, "SINGLE_HOT_KEYS", single)
+@pytest.mark.parametrize("hot_rows", [0, 200, 10_000])
+def test_hot_keys_equal_plain_keyed_windows(events, hot_rows):
     window = Window.partitionBy("event_type").orderBy(*ORDER)
     expected = events.select("event_id", *build(window))
     found = over_series(events, ["event_type"], ORDER, 24, build, hot_rows, block_rows=64)
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)
 
 
-@pytest.mark.parametrize("single", [0, 8])
-def test_null_key_is_a_series_of_its_own(events, monkeypatch, single):
-    monkeypatch.setattr(ordering, "SINGLE_HOT_KEYS", single)
+def test_null_key_is_a_series_of_its_own(events):
     keyed = events.withColumn("key", F.nullif("event_type", F.lit("click")))
     window = Window.partitionBy("key").orderBy(*ORDER)
     expected = keyed.select("event_id", *build(window))
@@ -81,9 +79,28 @@ def short(window):
             F.round(F.avg("value").over(window.rowsBetween(-3, 0)), 6).alias("mean")]
 
 
+def as_axis(df):
+    return as_long(df, ORDER[0]).cast("double")
+
+
+def test_hot_keys_take_a_constant_number_of_jobs(spark, events):
+    """More hot keys do not mean more passes over the table."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(keys):
+        spark.sparkContext.setJobGroup(f"hot{keys}", "")
+        keyed = events.withColumn("key", F.col("event_id") % keys)
+        rows = over_series(keyed, ["key"], ORDER, 3, short, hot_rows=0, block_rows=60)
+        expected = keyed.select("event_id", *short(Window.partitionBy("key").orderBy(*ORDER)))
+        assert rows_of(rows.select(*expected.columns)) == rows_of(expected)
+        return len(tracker.getJobIdsForGroup(f"hot{keys}"))
+
+    assert abs(jobs(2) - jobs(9)) <= 3
+
+
 @pytest.mark.parametrize("block_rows", [1, 200, 10_000])
 def test_blocks_cut_by_time_equal_one_global_window(events, block_rows):
-    cut = ordering._cut_by_time(events, ORDER, 3, short, block_rows)
+    cut = ordering._cut_along(events, as_axis(events), events.count(), [], ORDER, 3, short, block_rows)
     expected = events.select("event_id", *short(Window.orderBy(*ORDER)))
     assert rows_of(cut.select(*expected.columns)) == rows_of(expected)
     plan = cut._jdf.queryExecution().executedPlan().toString()
@@ -95,7 +112,7 @@ def test_crowded_instants_fall_back_to_row_numbers(events):
     crowded = events.withColumn(
         "ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-09").cast("timestamp_ntz")).otherwise(F.col("ts"))
     )
-    assert ordering._cut_by_time(crowded, ORDER, 1, short, 60) is None
+    assert ordering._cut_along(crowded, as_axis(crowded), crowded.count(), [], ORDER, 1, short, 60) is None
     expected = crowded.select("event_id", *short(Window.orderBy(*ORDER)))
     found = over_series(crowded, [], ORDER, 3, short, block_rows=60)
     assert rows_of(found.select(*expected.columns)) == rows_of(expected)

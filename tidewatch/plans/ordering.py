@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.columns import as_long, clock, is_ordinal
+from tidewatch.functions.columns import as_long, is_ordinal
 from tidewatch.plans.staging import stage
 
 # A key with more rows than this is windowed in blocks instead of in one task.
@@ -26,8 +26,8 @@ HOT_KEY_ROWS = 20_000_000
 BLOCK_ROWS = 2_000_000
 # Cuts that a series may get; a longer series gets larger blocks.
 MAX_BLOCKS = 50_000
-# Up to this many hot keys are cut one by one, more of them together.
-SINGLE_HOT_KEYS = 8
+# Whole numbers below this have an exact double.
+_EXACT = float(1 << 53)
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -100,53 +100,61 @@ def over_series(
     block_rows = max(BLOCK_ROWS if block_rows is None else block_rows, history + 1)
     keys, order_by = list(keys), list(order_by)
 
-    def one_series(rows: DataFrame) -> DataFrame:
-        cut = _cut_by_time(rows, order_by, history, build, block_rows)
+    def windowed(rows: DataFrame, axis: Column | None, n: int) -> DataFrame:
+        cut = None if axis is None else _cut_along(rows, axis, n, keys, order_by, history, build, block_rows)
+        rows = rows.select(df.columns)
         return _blocked(rows, keys, order_by, history, build, block_rows) if cut is None else cut
 
+    time = order_by[0]
+    clocked = is_ordinal(df, time)
+    at = as_long(df, time).cast("double") if clocked else F.lit(None).cast("double")
     if not keys:
-        return one_series(df)
+        return windowed(df, at if clocked else None, df.count() if clocked else 0)
 
     # At most rows / hot_rows keys can be hot, which bounds this collect.
-    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys).collect()
+    sizes = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(at).alias("_low"), F.max(at).alias("_high")
+    )
+    hot = sizes.filter(F.col("_n") > hot_rows).orderBy(*keys).collect()
     if not hot:
         return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order_by)))
-    hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
-    renamed = F.broadcast(hot_keys.toDF(*[f"_hot_{k}" for k in keys]))
+    schema = T.StructType(
+        [T.StructField(f"_hot_{k}", df.schema[k].dataType) for k in keys]
+        + [T.StructField("_start", T.DoubleType()), T.StructField("_low", T.DoubleType())]
+    )
+    # Hot keys follow each other on one axis, so they are cut together: a block, and the rows
+    # carried into it, may reach over the end of a key, and windows do not.
+    places, start = [], 0.0
+    for row in hot:
+        places.append((*[row[k] for k in keys], start, row["_low"]))
+        start += (row["_high"] or 0.0) - (row["_low"] or 0.0) + 1
+    table = F.broadcast(df.sparkSession.createDataFrame(places, schema))
     match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    cold = df.join(renamed, match, "left_anti")
+    cold = df.join(table, match, "left_anti")
     parts = [cold.select("*", *build(Window.partitionBy(*keys).orderBy(*order_by)))]
-    if len(hot) <= SINGLE_HOT_KEYS:
-        for row in hot:
-            own = [F.col(k).eqNullSafe(_constant(row[k], df.schema[k].dataType)) for k in keys]
-            parts.append(one_series(df.filter(reduce(and_, own))))
-    else:
-        rows = df.join(renamed, match, "left_semi")
-        parts.append(_blocked(rows, keys, order_by, history, build, block_rows))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _constant(value: object, kind: T.DataType) -> Column:
-    return clock(value) if isinstance(kind, T.TimestampNTZType) else F.lit(value).cast(kind)
+    rows = df.join(table, match).select(*df.columns, (F.col("_start") + at - F.col("_low")).alias("_axis"))
+    exact = clocked and start < _EXACT and all(row["_low"] is not None for row in hot)
+    parts.append(windowed(rows, F.col("_axis") if exact else None, sum(row["_n"] for row in hot)))
+    names = parts[0].columns
+    return reduce(DataFrame.unionByName, [p.select(names) for p in parts])
 
 
-def _cut_by_time(
+def _cut_along(
     df: DataFrame,
+    axis: Column,
+    n: int,
+    keys: list[str],
     order_by: list[str],
     history: int,
     build: Callable[[WindowSpec], list[Column]],
     block_rows: int,
 ) -> DataFrame | None:
-    """Blocks cut at values of the first order column: one shuffle, nothing staged.
+    """Blocks cut at values of a numeric axis: one shuffle, nothing staged.
 
-    Returns None for a series that this cannot cut: one too short, one whose first
-    order column has no number, or one with so many rows at an instant that a block
+    ``axis`` grows with the order of the rows. Returns None for a series that this
+    cannot cut: one too short, or one with so many rows at an instant that a block
     would outgrow its task.
     """
-    time = order_by[0]
-    if not is_ordinal(df, time):
-        return None
-    n = df.count()
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = max(min(block_rows, n // tasks), 50 * history, n // MAX_BLOCKS, 1)
     blocks = n // rows
@@ -155,7 +163,7 @@ def _cut_by_time(
 
     # A sample proposes block starts and, a tenth of a block earlier, where the carried
     # rows start. A pass over all rows counts what lies between before any is used.
-    times = df.select(as_long(df, time).cast("double").alias("_t"))
+    times = df.select(axis.alias("_t"))
     wanted = 100 * blocks
     source = times if n <= max(wanted, 1_000_000) else times.sample(wanted / n, seed=11)
     places = [x for j in range(1, blocks) for x in ((j - 0.1) / blocks, j / blocks)]
@@ -182,16 +190,15 @@ def _cut_by_time(
     if not kept or size > 4 * max(rows, block_rows):
         return None
 
-    cut = _segment(df.select("*", as_long(df, time).cast("double").alias("_t")), kept)
+    cut = _segment(df.select("*", axis.alias("_t")), kept)
     segment = F.col("_segment").cast("int")
     own = F.struct(F.floor(segment / 2).cast("int").alias("_blk"), F.lit(False).alias("_carried"))
     carried = F.struct(((segment + 1) / 2).cast("int").alias("_blk"), F.lit(True).alias("_carried"))
     copies = F.when(segment % 2 == 1, F.array(own, carried)).otherwise(F.array(own))
-    window = Window.partitionBy("_blk").orderBy(*order_by)
+    window = Window.partitionBy("_blk", *keys).orderBy(*order_by)
     spread = cut.select(*df.columns, F.inline(copies))
-    return (
-        spread.select("*", *build(window)).filter(~F.col("_carried")).drop("_blk", "_carried")
-    )
+    whole = spread.select("*", *build(window)).filter(~F.col("_carried"))
+    return whole.drop("_blk", "_carried", "_axis")
 
 
 def _segment(df: DataFrame, pairs: list[tuple[float, float]]) -> DataFrame:

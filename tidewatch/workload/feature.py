@@ -35,6 +35,16 @@ def fe_features(spark, sf_dir):
     return out.select("event_id", "event_type", *_rounded(out, SERIES.feature_columns))
 
 
+SHORT = FeatureSpec(target="value", order_by=("ts", "event_id"), keys=("event_type",), lags=(1, 2), windows=(3,))
+
+
+def fe_hot_keys_cut(spark, sf_dir):
+    """Every key is hot and its history short, so all are cut by time."""
+    events = table(spark, sf_dir, "events")
+    out = add_features(events, SHORT, hot_rows=100, block_rows=200)
+    return out.select("event_id", "event_type", *_rounded(out, SHORT.feature_columns))
+
+
 def fe_global_blocked(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
     out = add_features(events, ONE_SERIES, block_rows=4096)
@@ -144,6 +154,7 @@ def _state_sql() -> str:
 QUERIES = {
     "fe_features": fe_features,
     "fe_hot_keys": fe_hot_keys,
+    "fe_hot_keys_cut": fe_hot_keys_cut,
     "fe_global_blocked": fe_global_blocked,
     "fe_impute": fe_impute,
     "fe_scaled": fe_scaled,
@@ -154,6 +165,15 @@ QUERIES = {
 ORACLE = {
     "fe_features": _KEYED_SQL,
     "fe_hot_keys": _KEYED_SQL,
+    "fe_hot_keys_cut": f"""
+WITH f AS (
+  SELECT event_id, event_type, {_HOUR_SQL},
+         lag(value, 1) OVER w AS value_lag_1, lag(value, 2) OVER w AS value_lag_2,
+         avg(value) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS value_roll_mean_3,
+         coalesce(stddev_samp(value) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 0.0) AS value_roll_std_3
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))
+SELECT event_id, event_type, {_round_sql(SHORT.feature_columns)} FROM f
+""",
     "fe_global_blocked": f"""
 WITH f AS (SELECT event_id, {_window_sql('')} FROM events)
 SELECT event_id, {_round_sql(ONE_SERIES.feature_columns)} FROM f
