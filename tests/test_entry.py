@@ -3,6 +3,7 @@
 import inspect
 
 import __spark_entry__ as entry
+from tidewatch.workload import queries as tidewatch_queries
 from tests.conftest import SF
 
 
@@ -14,7 +15,8 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(queries)
-    unchecked = set(queries) - set(oracles)
+    assert set(tidewatch_queries()) <= set(queries)
+    unchecked = set(tidewatch_queries()) - set(oracles)
     assert unchecked == {
         "tr_cv_best", "tr_score", "tr_spread", "tr_importance", "tr_perm", "job_train", "job_retrain", "st_score"
     }
