@@ -19,7 +19,7 @@ from tidewatch.workload.feature import ORACLE as FEATURE_ORACLE
 from tidewatch.workload.feature import SERIES
 from tidewatch.workload.logged import LOG_SQL, prediction_log
 from tidewatch.workload.tables import HALF, HALF_SQL, MEASURED_SQL, at, measured, table
-from tidewatch.workload.trained import fitted
+from tidewatch.workload.trained import STUMP_SQL, fitted, stump
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
 
@@ -136,6 +136,20 @@ def st_score(spark, sf_dir):
     )
 
 
+def st_score_stump(spark, sf_dir):
+    """The same with a tree of one split."""
+    landed, log, checkpoint = (fresh_path(spark, n) for n in ("landed", "log", "cp"))
+    model, rows = stump(spark, sf_dir)
+    rows.write.parquet(landed)
+    stream = ingest_stream.read_stream(spark, landed, rows.schema, "parquet")
+    entries = score_stream.scored_entries(stream, model, ["hour"], "ts", 1, "value")
+    score_stream.start_scoring(entries, log, checkpoint).awaitTermination()
+    return logs.read_log(spark, log).select(
+        "timestamp", "model_version", F.round("prediction", 3).alias("prediction"),
+        F.col("input_features.hour").alias("hour"), F.col("confidence.std").alias("std"), "actual",
+    )
+
+
 QUERIES = {
     "st_ingest": st_ingest,
     "st_monitor": st_monitor,
@@ -144,9 +158,13 @@ QUERIES = {
     "st_features": st_features,
     "st_features_late": st_features_late,
     "st_score": st_score,
+    "st_score_stump": st_score_stump,
 }
 
 ORACLE = {
+    "st_score_stump": f"""WITH {STUMP_SQL}
+SELECT ts AS "timestamp", 1 AS model_version, round(p, 3) AS prediction, hour(ts)::DOUBLE AS hour,
+       0.0::DOUBLE AS std, value AS actual FROM scored""",
     "st_ingest": f"""
 SELECT CAST(ts >= {HALF_SQL} AS INTEGER) AS batch, 'events' AS source, count(*) AS row_count, 5 AS column_count,
        0 AS error_count, CAST(max(value) > 100 AS INTEGER) AS warning_count, true AS is_valid,

@@ -94,7 +94,7 @@ def fitted(spark, sf_dir):
 def tr_cv_best(spark, sf_dir):
     rows, features = _matrix(spark, sf_dir)
     grid = {"numTrees": [3], "maxDepth": [2, 4], "minInstancesPerNode": [1, 4]}
-    results = train.cross_validate(rows, features, "value", ORDER, grid, folds=3)
+    results = train.cross_validate(rows, features, "value", ORDER, grid)
     best = train.best_combination(results)
     return best.select("combination", F.to_json("params").alias("params"), "folds", "cv_score")
 
@@ -111,6 +111,47 @@ def tr_spread(spark, sf_dir):
     return scored.select("event_id", F.round("prediction", 4).alias("prediction"), "confidence.*")
 
 
+# One tree of one split on all rows, which SQL can find as well.
+STUMP = {"numTrees": 1, "maxDepth": 1, "bootstrap": False}
+
+
+def hourly(spark, sf_dir):
+    """Events with the hour of day as their only feature."""
+    hour = F.hour("ts").cast("double").alias("hour")
+    return table(spark, sf_dir, "events").select("event_id", "ts", "value", hour)
+
+
+def stump(spark, sf_dir):
+    first, rest = evaluate.temporal_split(hourly(spark, sf_dir), ORDER)
+    return train.fit_forest(first, ["hour"], "value", STUMP), rest
+
+
+def tr_score_stump(spark, sf_dir):
+    model, rest = stump(spark, sf_dir)
+    scored = score.score(rest, model, ["hour"])
+    return scored.select("event_id", "ts", "value", F.round("prediction", 4).alias("prediction"))
+
+
+def tr_spread_stump(spark, sf_dir):
+    """Trees that agree have no spread."""
+    model, rest = stump(spark, sf_dir)
+    scored = score.score_with_spread(rest, model, ["hour"])
+    return scored.select("event_id", F.round("prediction", 4).alias("prediction"), "confidence.*")
+
+
+def tr_importance_stump(spark, sf_dir):
+    model, rest = stump(spark, sf_dir)
+    found = importance.builtin_importance(rest, model, ["hour"])
+    return found.withColumn("rows", F.lit(rest.count()).cast("long"))
+
+
+def tr_cv_stump(spark, sf_dir):
+    """Error of the stump on each of five folds."""
+    grid = {name: [value] for name, value in STUMP.items()}
+    found = train.cross_validate(hourly(spark, sf_dir), ["hour"], "value", ORDER, grid, folds=5)
+    return found.select("combination", "fold", F.round("mae", 6).alias("mae"))
+
+
 def tr_importance(spark, sf_dir):
     model, rest, features = fitted(spark, sf_dir)
     return importance.builtin_importance(rest, model, features)
@@ -157,6 +198,30 @@ FROM p GROUP BY k, part
 """
 
 
+def _stump_sql(rows: str) -> str:
+    """``best``: threshold and means of the split of ``rows`` (fold, x, y) with the least error."""
+    return f"""
+xs AS (SELECT DISTINCT fold, x FROM {rows}),
+cuts AS (SELECT fold, (x + lead(x) OVER (PARTITION BY fold ORDER BY x)) / 2 AS t FROM xs),
+splits AS (
+  SELECT fold, t, avg(y) FILTER (x <= t) AS low, avg(y) FILTER (x > t) AS high,
+         count(*) FILTER (x <= t) * var_pop(y) FILTER (x <= t)
+         + count(*) FILTER (x > t) * var_pop(y) FILTER (x > t) AS cost
+  FROM {rows} JOIN cuts USING (fold) WHERE t IS NOT NULL GROUP BY fold, t),
+best AS (SELECT fold, arg_min(t, cost) AS t, arg_min(low, cost) AS low, arg_min(high, cost) AS high
+         FROM splits GROUP BY fold)"""
+
+
+_HOURLY_SQL = """
+n AS (SELECT event_id, ts, value, hour(ts)::DOUBLE AS x, row_number() OVER (ORDER BY ts, event_id) - 1 AS i,
+             count(*) OVER () AS total FROM events)"""
+STUMP_SQL = f"""{_HOURLY_SQL},
+early AS (SELECT 0 AS fold, x, value AS y FROM n WHERE i < floor(total * (1 - 0.2::DOUBLE))),
+{_stump_sql("early")},
+scored AS (SELECT event_id, ts, value, CASE WHEN x <= t THEN low ELSE high END AS p
+           FROM n CROSS JOIN best WHERE i >= floor(total * (1 - 0.2::DOUBLE)))"""
+
+
 def _metrics_sql(condition: str) -> str:
     return f"""
 WITH g AS (
@@ -179,6 +244,10 @@ QUERIES = {
     "tr_metrics_nan": tr_metrics_nan,
     "tr_cv_best": tr_cv_best,
     "tr_score": tr_score,
+    "tr_score_stump": tr_score_stump,
+    "tr_spread_stump": tr_spread_stump,
+    "tr_importance_stump": tr_importance_stump,
+    "tr_cv_stump": tr_cv_stump,
     "tr_spread": tr_spread,
     "tr_importance": tr_importance,
     "tr_perm": tr_perm,
@@ -192,6 +261,20 @@ ORACLE = {
     "tr_folds_nulls": f"WITH {_NUMBERED_NULLS}, {_FOLDS_SQL}",
     "tr_metrics": _metrics_sql("true"),
     "tr_metrics_nan": _metrics_sql("event_id % 5 <> 0"),
+    "tr_score_stump": f"WITH {STUMP_SQL} SELECT event_id, ts, value, round(p, 4) AS prediction FROM scored",
+    "tr_spread_stump": f"""WITH {STUMP_SQL}
+SELECT event_id, round(p, 4) AS prediction, 0.0::DOUBLE AS std, round(p, 2) AS min, round(p, 2) AS max FROM scored""",
+    "tr_importance_stump": f"""WITH {STUMP_SQL}
+SELECT 0 AS ordinal, 'hour' AS feature, 1.0::DOUBLE AS importance, count(*) AS "rows" FROM scored""",
+    "tr_cv_stump": f"""
+WITH {_HOURLY_SQL},
+f AS (SELECT n.*, k AS fold, total - (5 - k) * (total // 6) AS lo, total - (4 - k) * (total // 6) AS hi
+      FROM n CROSS JOIN range(5) AS r(k)),
+early AS (SELECT fold, x, value AS y FROM f WHERE i < lo),
+{_stump_sql("early")}
+SELECT 0 AS combination, CAST(fold AS INTEGER) AS fold,
+       round(avg(abs(value - CASE WHEN x <= t THEN low ELSE high END)), 6) AS mae
+FROM f JOIN best USING (fold) WHERE i >= lo AND i < hi GROUP BY fold""",
     "tr_rank": """
 WITH b AS (
   SELECT CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS ordinal, p_brand AS feature,
