@@ -86,6 +86,16 @@ def test_odd_rows(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0 and mixing.mixed_rows(docs.limit(0)).count() == 0
 
 
+def test_ids_stay_exact_beside_null(spark):
+    big = (1 << 60) + 1
+    rows = [(None, "a b c"), (None, None), *[(big + i, "w " * (1 + i % 7)) for i in range(40)]]
+    out = mixing.mixed(documents(spark, rows), share=0.7).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out) == sorted(
+        (i is None, i or 0) for i, _ in rows
+    )
+    assert abs(sum(r["taken"] for r in out) - out[0]["target"]) <= 2
+
+
 def test_many_blocks_of_one_source(spark):
     rows = [(i, "w " * (1 + i * 7919 % 90), "hot" if i % 3 else "b") for i in range(1500)]
     out = mixing.mixed(documents(spark, rows), share=0.7).collect()

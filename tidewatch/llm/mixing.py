@@ -3,8 +3,8 @@
 Every document of a source is wanted ``rate`` times, the source's target over its size.
 The whole part is taken outright; the fraction is an inclusion probability. The flight
 phase moves the probabilities of a block of documents along vectors of the null space
-of two constraints, the number of documents and the number of words, until each
-document but at most two is decided; both totals stay as they were at every step.
+of two constraints, the number of documents and the number of words, until all but
+a few documents are decided; both totals stay as they were at every step.
 Undecided documents of several blocks meet in the blocks of the next level, so a hot
 source is never in one task. The last block of a source stops at a few undecided
 documents, and the landing phase rounds these to the whole numbers that leave its words
@@ -25,6 +25,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_COPIES = 2.0
 BLOCK = 256  # documents per flight
+REST = 6  # documents at most that other blocks leave undecided
 LANDING = 12  # documents of a source at most that the landing rounds
 _EPS = 1e-9
 
@@ -101,6 +102,8 @@ def mixed(docs: DataFrame, seed: int = 17, **aims) -> DataFrame:
         .withColumn("p", F.greatest(rate - F.col("base"), F.lit(0.0)))
         .withColumn("p", F.when((F.col("p") < _EPS) | (F.col("size") == 0), 0.0).otherwise(F.col("p")))
     )
+    # As text, ids pass through pandas with their NULLs and all their digits.
+    rated = rated.withColumn("doc_id", F.col("doc_id").cast("string"))
     open_ = F.col("p") > 0
     fixed = rated.filter(~open_).withColumn("extra", F.lit(0)).drop("p")
     undecided = rated.filter(open_)
@@ -128,7 +131,7 @@ def mixed(docs: DataFrame, seed: int = 17, **aims) -> DataFrame:
         level += 1
     copies = F.col("base") + F.col("extra")
     return decided.select(
-        "doc_id",
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "source",
         "size",
         "source_size",
@@ -143,7 +146,7 @@ def _waiting(undecided: DataFrame) -> DataFrame:
 
 
 _FLOWN = (
-    "doc_id long, source string, size long, source_size long, target double, base int, "
+    "doc_id string, source string, size long, source_size long, target double, base int, "
     "p double, open boolean, extra int"
 )
 
@@ -155,7 +158,7 @@ def _flight(seed: int):
         rng = np.random.default_rng(seed)
         order = rng.permutation(len(block))
         size = block["size"].to_numpy(float)[order]
-        p = fly(block["p"].to_numpy(float)[order], size, rng, LANDING if last else 2)
+        p = fly(block["p"].to_numpy(float)[order], size, rng, LANDING if last else REST)
         if last:
             p = land(p, size)
         block.loc[order, "p"] = p
