@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewatch.llm.fingerprints import OP4_SQL, op4_fingerprints
-from tidewatch.llm.licenses import op2_licenses
+from tidewatch.llm.licenses import OP2_SQL, op2_licenses
 from tidewatch.llm.mixing import op9_mixing
 from tidewatch.llm.neighbours import op7_neighbours
 from tidewatch.llm.packing import op10_packing
@@ -17,4 +17,4 @@ QUERIES = {
     f.__name__: f
     for f in (op1_secrets, op2_licenses, op3_quality, op4_fingerprints, op5_simhash, op6_suffixes, op7_neighbours, op8_pii, op9_mixing, op10_packing)
 }
-ORACLE: dict[str, str] = {"op4_fingerprints": OP4_SQL}
+ORACLE: dict[str, str] = {"op2_licenses": OP2_SQL, "op4_fingerprints": OP4_SQL}

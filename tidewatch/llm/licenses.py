@@ -226,3 +226,51 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses of every document; its source and language are its directories."""
     docs = table(spark, sf_dir, "documents")
     return licensed(docs, F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+
+
+def _op2_sql() -> str:
+    weights = Weights(TEMPLATES)
+    idf = ", ".join(f"('{t}', {w!r}::DOUBLE)" for t, w in weights.idf.items())
+    vectors = ", ".join(
+        f"('{t}', '{name}', {w!r}::DOUBLE)" for name, v in weights.vectors.items() for t, w in v.items()
+    )
+    return f"""
+WITH idf(term, idf) AS (VALUES {idf}),
+vectors(term, license, weight) AS (VALUES {vectors}),
+d AS (
+  SELECT *, regexp_replace(path, '/?[^/]*$', '') AS directory
+  FROM (SELECT doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, text FROM documents)),
+lines AS (SELECT doc_id, path, directory, unnest(string_split(text, chr(10))) AS line FROM d),
+terms AS (
+  SELECT line, term, count(*) AS tf
+  FROM (SELECT line, unnest(regexp_split_to_array(lower(line), '{TERM}')) AS term FROM (SELECT DISTINCT line FROM lines))
+  WHERE term <> '' GROUP BY line, term),
+weighted AS (
+  SELECT line, term, tf, tf * coalesce(idf, {weights.unknown!r}::DOUBLE) AS w FROM terms LEFT JOIN idf USING (term)),
+norms AS (SELECT line, sum(w * w) AS square, sum(tf) AS words FROM weighted GROUP BY line),
+dots AS (SELECT line, license, sum(w * weight) AS dot FROM weighted JOIN vectors USING (term) GROUP BY line, license),
+best AS (
+  SELECT line, words, max({{'score': round(dot / sqrt(square), 9), 'license': license}}) AS b
+  FROM dots JOIN norms USING (line) GROUP BY line, words
+  HAVING max(round(dot / sqrt(square), 9)) >= {LEAST}),
+own AS (
+  SELECT doc_id, path, directory, max(b) AS best, sum(words) AS header_words
+  FROM lines JOIN best USING (line) GROUP BY doc_id, path, directory),
+files AS (
+  SELECT own.* FROM own JOIN d USING (doc_id)
+  WHERE 2 * header_words >= len(regexp_extract_all(lower(text), '[a-z0-9]+'))),
+speaks AS (SELECT directory AS ancestor, max(best) AS said FROM files GROUP BY directory),
+nearest AS (
+  SELECT directory, arg_max(ancestor, length(ancestor)) AS ancestor, arg_max(said.license, length(ancestor)) AS license
+  FROM (SELECT DISTINCT directory FROM d) JOIN speaks
+    ON directory = ancestor OR starts_with(directory, ancestor || '/') OR ancestor = ''
+  GROUP BY directory)
+SELECT d.doc_id, d.path, best.license AS own_license, best.score AS own_score,
+       CASE WHEN best IS NULL THEN nearest.license END AS inherited_license,
+       CASE WHEN best IS NULL THEN nearest.ancestor END AS inherited_from,
+       coalesce(best.license, nearest.license) AS license
+FROM d LEFT JOIN own USING (doc_id, path) LEFT JOIN nearest ON d.directory = nearest.directory
+"""
+
+
+OP2_SQL = _op2_sql()
