@@ -25,6 +25,7 @@ LEAST = 0.8
 BANDS, ROWS = 16, 4  # of minhashes; alike texts share a band with odds of 0.9998
 RADIUS = 20  # bits; 64-bit fingerprints of texts 0.8 alike differ in 10 +- 3
 BINS = 512  # of a sketch
+MARGIN = 0.02  # below the threshold that a sketch's estimate may fall
 BLOCK = 256  # members of a group that meet another block at once
 _FACTORS = np.random.default_rng(29).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 _SKETCH = "set_id:long,bits:long,bands:array<long>,bins:binary"
@@ -105,7 +106,7 @@ def alike(groups: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
         out = []
         for one, bins in zip(ids, sketches_, strict=True):
             one, x = np.asarray(one), np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
-            moved, root = _forest(len(one), ((i, near) for i, near in enumerate(_near(x, least))))
+            moved, root = _forest(len(one), ((i, near) for i, near in enumerate(_near(x, least - MARGIN))))
             out.append((one[moved], one[root]))
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -126,7 +127,8 @@ def near_copies(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -
     """``doc_id, component_id`` per row of ``docs``: the least id of its near copies' group.
 
     Texts with the same shingle set, such as all without words, are copies. The similarity
-    is estimated on 512 bins, with a deviation below 0.02; it is all but exact for short texts.
+    is estimated on 512 bins, with a deviation below 0.02, which the threshold allows for; it is
+    all but exact for short texts.
     """
 
     @F.pandas_udf(f"struct<{_SKETCH}>")
