@@ -56,6 +56,16 @@ def test_saturated_lists_are_enlarged(spark, monkeypatch):
     assert got == want
 
 
+def test_a_tight_group_of_many_parts_is_one(spark):
+    rng = np.random.default_rng(8)
+    center = rng.normal(size=16)
+    rows = [(i, [float(x) for x in np.float32(center + 1e-4 * rng.normal(size=16))], 0) for i in range(1000)]
+    assert len({tuple(v) for _, v, _ in rows}) == 1000 > 3 * nb.GROUP
+    unit = np.array([v for _, v, _ in rows]) / np.linalg.norm([v for _, v, _ in rows], axis=1, keepdims=True)
+    assert (unit @ unit.T).min() >= nb.LEAST
+    assert result(nb.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == {i: (999, 0) for i in range(1000)}
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1),

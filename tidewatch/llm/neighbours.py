@@ -60,11 +60,18 @@ def _gathered(rows: DataFrame, keys: list, *more: str) -> DataFrame:
     )
 
 
-def _dealt_out(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``salt`` such that no group of ``keys`` and salt is much over ``GROUP`` rows."""
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > GROUP)
-    parts = F.coalesce(F.ceil(F.col("members") / GROUP), F.lit(1))
-    return rows.join(dealt(sizes), keys, "left").withColumn("salt", F.pmod(F.xxhash64("id"), parts)).drop("members")
+def _dealt_out(rows: DataFrame, keys: list[str], *seeds: int) -> DataFrame:
+    """``salt`` such that no group of ``keys`` and salt is much over ``GROUP`` rows.
+
+    The salt depends on the keys and ``seeds``, so other members meet each time, and the least
+    id of a group has every salt, so its links hold the parts of a tight group together.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("shared"))
+    parts = F.coalesce(F.ceil(F.col("members") / GROUP), F.lit(1)).cast("long")
+    one = F.array(F.pmod(F.xxhash64("id", *keys, *map(F.lit, seeds)), parts))
+    salts = F.when(F.col("id") == F.col("shared"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(one)
+    joined = rows.join(dealt(sizes.filter(F.col("members") > GROUP)), keys, "left")
+    return joined.withColumn("salt", F.explode(salts)).drop("members", "shared")
 
 
 # ---- Neighbour lists
@@ -123,11 +130,11 @@ def seeded(found: DataFrame, total: int, dims: int, seed: int) -> DataFrame:
         return pd.Series(list((signs * weights).sum(axis=2)))
 
     keyed = found.select("id", "v", "label", F.posexplode(codes("v")).alias("t", "code"))
-    groups = _dealt_out(keyed.withColumn("bar", F.lit(-1.0)), ["label", "t", "code"])
+    groups = _dealt_out(keyed.withColumn("bar", F.lit(-1.0)), ["label", "t", "code"], seed)
     return _met(_gathered(groups, ["label", "t", "code", "salt"], "bar"), LIST)
 
 
-def descend(found: DataFrame, lists: DataFrame) -> DataFrame:
+def descend(found: DataFrame, lists: DataFrame, seed: int, turn: int) -> DataFrame:
     """One round: members of the lists around each class meet there; improved lists."""
     full = F.when(F.size("near") >= LIST, -F.element_at("near", -1)["d"]).otherwise(-1.0)
     bars = lists.select(F.col("a").alias("id"), full.alias("bar"))
@@ -137,7 +144,7 @@ def descend(found: DataFrame, lists: DataFrame) -> DataFrame:
         .unionByName(edges.select(F.col("b").alias("pivot"), F.col("a").alias("id")))
         .distinct()
     )
-    members = _dealt_out(around, ["pivot"]).join(found.select("id", "v"), "id").join(bars, "id")
+    members = _dealt_out(around, ["pivot"], seed, turn).join(found.select("id", "v"), "id").join(bars, "id")
     met = _met(_gathered(members, ["pivot", "salt"], "bar"), LIST)
     return _lists(_edges(lists).unionByName(met))
 
@@ -149,12 +156,12 @@ def neighbour_lists(found: DataFrame, total: int, dims: int, seed: int, before:
         pairs = pairs.unionByName(_edges(before))
     lists = stage(_lists(pairs), "lists")
     known = -1
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         now = _edges(lists).filter(F.col("s") >= LEAST).count()
         if now == known:
             break
         known = now
-        lists = stage(descend(found, lists), "lists")
+        lists = stage(descend(found, lists, seed, turn), "lists")
     return lists
 
 
