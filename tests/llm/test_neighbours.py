@@ -66,6 +66,17 @@ def test_a_tight_group_of_many_parts_is_one(spark):
     assert result(nb.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == {i: (999, 0) for i in range(1000)}
 
 
+def test_full_lists_do_not_split_components(spark):
+    rng = np.random.default_rng(9)
+    rows, center = [], 0.123 * np.eye(16)
+    for k in range(6):  # tight groups of more than LIST members, 0.985 alike with each other
+        middle = np.eye(16)[15] + center[k]
+        rows += [(12 * k + i, [float(x) for x in np.float32(middle + 0.001 * rng.normal(size=16))], 0) for i in range(12)]
+    want = brute(rows)
+    assert set(want.values()) == {(71, 0)}
+    assert result(nb.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == want
+
+
 def test_odd_vectors(spark):
     rows = [
         (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1),

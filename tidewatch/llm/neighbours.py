@@ -4,8 +4,8 @@ Equal vectors of a label are one class and are compared once. Each class keeps a
 nearest classes. Sign codes of random directions seed the lists; then neighbours meet
 their neighbours' neighbours at the class that they share, and better ones replace worse ones
 until the links found no longer grow. A list that is full of links may hide more of
-them, so it is enlarged to its whole component, whose members are compared block by block
-and only counted. A sample of vectors is held against all others; where links
+them, so wherever classes meet, links that connect all the linked ones are kept beside the lists;
+whole components are then compared block by block and their links only counted. A sample of vectors is held against all others; where links
 were missed, seeding and descent go on with other directions.
 """
 
@@ -79,8 +79,25 @@ def _dealt_out(rows: DataFrame, keys: list[str], *seeds: int) -> DataFrame:
 _PAIRS = "struct<a:array<long>,b:array<long>,s:array<double>>"
 
 
-def _met(groups: DataFrame, keep: int) -> DataFrame:
-    """``a, b, s``: for each member its ``keep`` most alike members that beat its ``bar``."""
+def _forest(linked: np.ndarray) -> tuple[list[int], list[int]]:
+    """Places of links that connect all that a symmetric matrix of links connects."""
+    new, a, b = np.ones(len(linked), bool), [], []
+    for start in range(len(linked)):
+        pending = [start] if new[start] else []
+        new[start] = False
+        while pending:
+            at = pending.pop()
+            near = np.flatnonzero(linked[at] & new).tolist()
+            new[near] = False
+            a += [at] * len(near)
+            b += near
+            pending += near
+    return a, b
+
+
+def _met(groups: DataFrame, keep: int, least: float) -> DataFrame:
+    """``a, b, s``: for each member its ``keep`` most alike members that beat its ``bar``, and
+    enough pairs that are ``least`` alike to connect all such members of the group."""
 
     @F.pandas_udf(_PAIRS)
     def meet(ids: pd.Series, flats: pd.Series, bars: pd.Series) -> pd.DataFrame:
@@ -96,8 +113,10 @@ def _met(groups: DataFrame, keep: int) -> DataFrame:
                 best = np.tile(np.arange(len(one)), (len(one), 1))
             s = np.take_along_axis(likeness, best, axis=1)
             good = (s > np.asarray(bar, float)[:, None]) & (s > -1.5)
-            rows = np.nonzero(good)[0]
-            out.append((one[rows], one[best[good]], s[good]))
+            i, j = _forest(likeness >= least)
+            rows = np.append(np.nonzero(good)[0], np.array(i, np.int64))
+            near = np.append(best[good], np.array(j, np.int64))
+            out.append((one[rows], one[near], likeness[rows, near]))
         return pd.DataFrame(out, columns=["a", "b", "s"])
 
     found = groups.filter(F.size("ids") > 1).select(meet("ids", "flat", "bar").alias("p"))
@@ -116,7 +135,7 @@ def _edges(lists: DataFrame) -> DataFrame:
     return lists.select("a", F.explode("near").alias("e")).select("a", F.col("e.b").alias("b"), (-F.col("e.d")).alias("s"))
 
 
-def seeded(found: DataFrame, total: int, dims: int, seed: int) -> DataFrame:
+def seeded(found: DataFrame, total: int, dims: int, seed: int, least: float) -> DataFrame:
     """Pairs ``a, b, s`` of classes with the same sign code, over ``TABLES`` codes."""
     bits = max(1, int(np.ceil(np.log2(max(2, total / BUCKET)))))
     planes = np.random.default_rng(seed).normal(size=(dims, TABLES * bits))
@@ -131,11 +150,11 @@ def seeded(found: DataFrame, total: int, dims: int, seed: int) -> DataFrame:
 
     keyed = found.select("id", "v", "label", F.posexplode(codes("v")).alias("t", "code"))
     groups = _dealt_out(keyed.withColumn("bar", F.lit(-1.0)), ["label", "t", "code"], seed)
-    return _met(_gathered(groups, ["label", "t", "code", "salt"], "bar"), LIST)
+    return _met(_gathered(groups, ["label", "t", "code", "salt"], "bar"), LIST, least)
 
 
-def descend(found: DataFrame, lists: DataFrame, seed: int, turn: int) -> DataFrame:
-    """One round: members of the lists around each class meet there; improved lists."""
+def descend(found: DataFrame, lists: DataFrame, seed: int, turn: int, least: float) -> DataFrame:
+    """One round: pairs ``a, b, s`` of the members of the lists around each class, which meet there."""
     full = F.when(F.size("near") >= LIST, -F.element_at("near", -1)["d"]).otherwise(-1.0)
     bars = lists.select(F.col("a").alias("id"), full.alias("bar"))
     edges = _edges(lists).select("a", "b")
@@ -144,25 +163,30 @@ def descend(found: DataFrame, lists: DataFrame, seed: int, turn: int) -> DataFra
         .unionByName(edges.select(F.col("b").alias("pivot"), F.col("a").alias("id")))
         .distinct()
     )
-    members = _dealt_out(around, ["pivot"], seed, turn).join(found.select("id", "v"), "id").join(bars, "id")
-    met = _met(_gathered(members, ["pivot", "salt"], "bar"), LIST)
-    return _lists(_edges(lists).unionByName(met))
+    members = _dealt_out(around, ["pivot"], seed, turn).join(found.select("id", "v"), "id").join(bars, "id", "left")
+    return _met(_gathered(members.fillna(-1.0, ["bar"]), ["pivot", "salt"], "bar"), LIST, least)
 
 
-def neighbour_lists(found: DataFrame, total: int, dims: int, seed: int, before: DataFrame | None) -> DataFrame:
-    """Lists after seeding and as many rounds of descent as find new links."""
-    pairs = seeded(found, total, dims, seed)
+def neighbour_lists(
+    found: DataFrame, total: int, dims: int, seed: int, before: DataFrame | None, least: float
+) -> tuple[DataFrame, DataFrame]:
+    """Lists after seeding and as many rounds of descent as find new links, and ``a, b``: links
+    that connect all the linked classes that met, also where a list has no place for them."""
+    pairs = stage(seeded(found, total, dims, seed, least), "pairs")
+    links = pairs.filter(F.col("s") >= least).select("a", "b")
     if before is not None:
         pairs = pairs.unionByName(_edges(before))
     lists = stage(_lists(pairs), "lists")
     known = -1
     for turn in range(ROUNDS):
-        now = _edges(lists).filter(F.col("s") >= LEAST).count()
+        now = _edges(lists).filter(F.col("s") >= least).count()
         if now == known:
             break
         known = now
-        lists = stage(descend(found, lists, seed, turn), "lists")
-    return lists
+        pairs = stage(descend(found, lists, seed, turn, least), "pairs")
+        links = links.unionByName(pairs.filter(F.col("s") >= least).select("a", "b"))
+        lists = stage(_lists(_edges(lists).unionByName(pairs)), "lists")
+    return lists, links
 
 
 # ---- Links
@@ -243,20 +267,21 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     good = rows.filter("ok").drop("ok")
     found = stage(classes(good), "classes")
     shape = found.groupBy(F.size("v").alias("dims")).count().collect()  # a row per vector length
-    counts = groups = None
+    counts = groups = links = None
     for attempt in range(RETRIES if shape else 0):
         lists = None if attempt == 0 else lists  # noqa: F821
         parts = [
             neighbour_lists(
                 found.filter(F.size("v") == r["dims"]), r["count"], r["dims"], 11 + attempt,
                 None if lists is None else lists.join(found.filter(F.size("v") == r["dims"]).select(F.col("id").alias("a")), "a", "left_semi"),
+                least,
             )
             for r in shape
         ]
-        lists = parts[0]
-        for p in parts[1:]:
-            lists = lists.unionByName(p)
-        links = _edges(lists).filter(F.col("s") >= least)
+        lists, more = parts[0]
+        for part, part_links in parts[1:]:
+            lists, more = lists.unionByName(part), more.unionByName(part_links)
+        links = more if links is None else links.unionByName(more)
         groups = stage(components(links, "a", "b"), "groups")
         counts = stage(linked_counts(found, groups, least), "counts")
         known, there = audited(found, counts, least) if len(shape) == 1 else (0, 0)
