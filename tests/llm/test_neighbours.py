@@ -96,3 +96,17 @@ def test_audit_counts_links(spark):
     found = nb.classes(spark.createDataFrame(rows, SCHEMA).selectExpr("vec_id", "cast(label AS string) AS label", "embedding AS v"))
     none = spark.createDataFrame([], "id long, links long")
     assert nb.audited(found, none, 0.98) == (0, pytest.approx(20 * 19))
+
+
+@pytest.mark.parametrize("odd_length", [False, True])
+def test_a_short_search_ends_in_comparing_all(spark, monkeypatch, odd_length):
+    monkeypatch.setattr(nb, "seeded", lambda *a: spark.createDataFrame([], "a long, b long, s double"))
+    monkeypatch.setattr(nb, "RETRIES", 1)
+    monkeypatch.setattr(nb, "GROUP", 16)  # labels of several blocks
+    rng = np.random.default_rng(4)
+    centers = rng.normal(size=(5, 8))
+    rows = [(i, [float(x) for x in np.float32(centers[i % 5] + 0.03 * rng.normal(size=8))], i % 2) for i in range(100)]
+    rows += [(100, rows[0][1], 0), (101, [1.0, 2.0], 0)][: 1 + odd_length]
+    want = brute(rows)
+    assert len({c for _, c in want.values()}) >= 10 and max(n for n, _ in want.values()) >= 8
+    assert result(nb.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == want

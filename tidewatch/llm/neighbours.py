@@ -5,8 +5,9 @@ nearest classes. Sign codes of random directions seed the lists; then neighbours
 their neighbours' neighbours at the class that they share, and better ones replace worse ones
 until the links found no longer grow. A list that is full of links may hide more of
 them, so wherever classes meet, links that connect all the linked ones are kept beside the lists;
-whole components are then compared block by block and their links only counted. A sample of vectors is held against all others; where links
-were missed, seeding and descent go on with other directions.
+whole components are then compared block by block and their links only counted. For each vector
+length a sample is held against all others; where links were missed, seeding and descent go on
+with other directions, and at last all vectors of a label are compared block by block.
 """
 
 from __future__ import annotations
@@ -192,14 +193,13 @@ def neighbour_lists(
 # ---- Links
 
 
-def linked_counts(found: DataFrame, groups: DataFrame, least: float) -> DataFrame:
-    """``id, links``: how many vectors of other classes in its component each class links.
+def _held_together(members: DataFrame, least: float) -> DataFrame:
+    """``id, links, a, b`` arrays: every two members ``id, v, n`` of a ``component`` are compared.
 
     Members of a component are dealt into blocks, and every two blocks meet in a row of
-    their own, which gives counts only.
+    their own, which gives the counts of each member's links, and links that connect all linked ones.
     """
-    members = found.join(groups, found["id"] == groups["node"]).select("id", "v", "n", "component")
-    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
+    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
     blocks = (
         members.join(dealt(sizes), "component")
         .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
@@ -212,7 +212,7 @@ def linked_counts(found: DataFrame, groups: DataFrame, least: float) -> DataFram
         "n", "block",
     )
 
-    @F.pandas_udf("struct<id:array<long>,links:array<long>>")
+    @F.pandas_udf("struct<id:array<long>,links:array<long>,a:array<long>,b:array<long>>")
     def count(ids: pd.Series, flats: pd.Series, ns: pd.Series, of: pd.Series) -> pd.DataFrame:
         out = []
         for one, flat, n, block in zip(ids, flats, ns, of, strict=True):
@@ -222,12 +222,46 @@ def linked_counts(found: DataFrame, groups: DataFrame, least: float) -> DataFram
             if block.min() != block.max():  # within a block they meet elsewhere
                 linked &= block[:, None] != block
             linked &= one[:, None] != one
-            out.append((one, linked @ n))
-        return pd.DataFrame(out, columns=["id", "links"])
+            i, j = _forest(linked)
+            out.append((one, linked @ n, one[i], one[j]))
+        return pd.DataFrame(out, columns=["id", "links", "a", "b"])
+
+    return paired.select(count("ids", "flat", "n", "block").alias("c")).select("c.*")
+
+
+def _summed(compared: DataFrame) -> DataFrame:
+    zipped = F.explode(F.arrays_zip("id", "links"))
+    return compared.select(zipped.alias("c")).select("c.*").groupBy("id").agg(F.sum("links").alias("links"))
+
+
+def linked_counts(found: DataFrame, groups: DataFrame, least: float) -> DataFrame:
+    """``id, links``: how many vectors of other classes in its component each class links."""
+    members = found.join(groups, found["id"] == groups["node"]).select("id", "v", "n", "component")
+    return _summed(_held_together(members, least))
+
+
+def all_compared(found: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Groups ``node, component`` and counts ``id, links``, from every two classes of a label."""
+    compared = stage(_held_together(found.select("id", "v", "n", F.col("label").alias("component")), least), "compared")
+    links = compared.select(F.explode(F.arrays_zip("a", "b")).alias("e")).select("e.*")
+    return stage(components(links, "a", "b"), "groups"), stage(_summed(compared), "counts")
+
 
-    counted = paired.select(count("ids", "flat", "n", "block").alias("c"))
-    zipped = F.explode(F.arrays_zip("c.id", "c.links"))
-    return counted.select(zipped.alias("c")).select("c.*").groupBy("id").agg(F.sum("links").alias("links"))
+def searched(found: DataFrame, total: int, dims: int, least: float) -> tuple[DataFrame, DataFrame]:
+    """Groups ``node, component`` and counts ``id, links`` of classes of one length.
+
+    Where ``RETRIES`` searches stay short of the audit's links, all classes of a label are compared.
+    """
+    lists = links = None
+    for attempt in range(RETRIES):
+        lists, more = neighbour_lists(found, total, dims, 11 + attempt, lists, least)
+        links = more if links is None else links.unionByName(more)
+        groups = stage(components(links, "a", "b"), "groups")
+        counts = stage(linked_counts(found, groups, least), "counts")
+        known, there = audited(found, counts, least)
+        if known >= RECALL * there:
+            return groups, counts
+    return all_compared(found, least)
 
 
 def audited(found: DataFrame, counts: DataFrame, least: float) -> tuple[int, int]:
@@ -267,26 +301,11 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     good = rows.filter("ok").drop("ok")
     found = stage(classes(good), "classes")
     shape = found.groupBy(F.size("v").alias("dims")).count().collect()  # a row per vector length
-    counts = groups = links = None
-    for attempt in range(RETRIES if shape else 0):
-        lists = None if attempt == 0 else lists  # noqa: F821
-        parts = [
-            neighbour_lists(
-                found.filter(F.size("v") == r["dims"]), r["count"], r["dims"], 11 + attempt,
-                None if lists is None else lists.join(found.filter(F.size("v") == r["dims"]).select(F.col("id").alias("a")), "a", "left_semi"),
-                least,
-            )
-            for r in shape
-        ]
-        lists, more = parts[0]
-        for part, part_links in parts[1:]:
-            lists, more = lists.unionByName(part), more.unionByName(part_links)
-        links = more if links is None else links.unionByName(more)
-        groups = stage(components(links, "a", "b"), "groups")
-        counts = stage(linked_counts(found, groups, least), "counts")
-        known, there = audited(found, counts, least) if len(shape) == 1 else (0, 0)
-        if known >= RECALL * there:
-            break
+    counts = groups = None
+    for r in shape:
+        mine, links = searched(found.filter(F.size("v") == r["dims"]), r["count"], r["dims"], least)
+        groups = mine if groups is None else groups.unionByName(mine)
+        counts = links if counts is None else counts.unionByName(links)
     if counts is None:
         named = found.select("label", "v", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     else:
