@@ -76,3 +76,14 @@ def test_large_groups_meet_in_blocks(spark, monkeypatch):
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(["x" if j == 2 * i else w for j, w in enumerate(base)])) for i in range(50)]
     assert {c for _, c in copies.near_copies(documents(spark, rows)).collect()} == {0}
+
+
+def test_the_threshold_is_exact_for_long_texts(spark):
+    texts = []
+    for k in range(24):  # a text and a start of it: 1600 or 1599 of 2000 shingles
+        base = [f"t{k}w{i}" for i in range(2004)]
+        texts += [" ".join(base), " ".join(base[: 1604 - k % 2])]
+    alike = [(2 * k, 2 * k + 1) for k in range(24) if jaccard(texts[2 * k], texts[2 * k + 1]) >= copies.LEAST]
+    assert len(alike) == 12
+    got = dict(copies.near_copies(documents(spark, list(enumerate(texts)))).collect())
+    assert got == groups(alike, range(len(texts)))

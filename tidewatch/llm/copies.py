@@ -4,7 +4,8 @@ Two texts are near copies if their sets of word shingles are alike: by default f
 and a Jaccard similarity of 0.8. Texts that alike agree on a band of minhashes all but
 surely, so bands shard the texts; in a shard, a BK-tree of SimHash fingerprints is followed
 within a wide radius. Candidates are connected into groups, and within a group every two
-members are held against each other, block by block, on a sketch of their shingles.
+members are held against each other, block by block: a sketch of their shingles leaves out what is
+far from alike, and the whole sets of shingle hashes decide.
 """
 
 from __future__ import annotations
@@ -25,17 +26,18 @@ LEAST = 0.8
 BANDS, ROWS = 16, 4  # of minhashes; alike texts share a band with odds of 0.9998
 RADIUS = 20  # bits; 64-bit fingerprints of texts 0.8 alike differ in 10 +- 3
 BINS = 512  # of a sketch
-MARGIN = 0.02  # below the threshold that a sketch's estimate may fall
+MARGIN = 0.1  # below the threshold that a sketch's estimate may fall: over four deviations
 BLOCK = 256  # members of a group that meet another block at once
+BLOCK_BYTES = 1 << 20  # of their shingle hashes, about
 _FACTORS = np.random.default_rng(29).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
-_SKETCH = "set_id:long,bits:long,bands:array<long>,bins:binary"
+_SKETCH = "set_id:long,bits:long,bands:array<long>"
 
 
 def sketch(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, list[int], bytes]:
     """A hash of the shingle set, the fingerprint, a hash per band of minhashes, and the
     least hash in each bin, 0 for an empty bin."""
     parts = list(shingle_hashes(text, shingle))
-    each = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+    each = _distinct(parts)
     set_id = xxhash.xxh3_64_intdigest(each.tobytes())
     with np.errstate(over="ignore"):
         least = np.full(len(_FACTORS), ~np.uint64(0))
@@ -43,11 +45,20 @@ def sketch(text: str | None, shingle: int = SHINGLE) -> tuple[int, int, list[int
             mixed = each[i : i + 4096, None] * _FACTORS[:, 0] + _FACTORS[:, 1]
             least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=0))
     bands = [xxhash.xxh3_64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(BANDS, ROWS))]
+    return set_id, simhash(parts), bands, _bins(each).tobytes()
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """The set of shingle hashes, in order."""
+    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+
+
+def _bins(each: np.ndarray) -> np.ndarray:
     bins = np.full(BINS, 0, np.uint16)
     # Sorted by hash, the first of a bin is its least; bins come from other bits.
     place, first = np.unique((each % np.uint64(BINS)).astype(np.int64), return_index=True)
     bins[place] = (each[first] >> np.uint64(20)).astype(np.uint16) | np.uint16(1)
-    return set_id, simhash(parts), bands, bins.tobytes()
+    return bins
 
 
 def _signed(values) -> np.ndarray:
@@ -89,54 +100,80 @@ def candidates(texts: DataFrame) -> DataFrame:
     return found.select(F.explode(F.arrays_zip("e.a", "e.b")).alias("e")).select("e.*").distinct()
 
 
-def alike(groups: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """``a, b``: enough links to connect members ``node`` of a component that are alike."""
-    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = groups.join(sketches, groups["node"] == sketches["id"]).select("component", "id", "bins")
+def alike(groups: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
+    """``a, b``: enough links to connect members ``node`` of a component that are alike.
+
+    Members are ``id, text`` of ``docs``; every two blocks of a component meet in a row of their own.
+    """
+
+    @F.pandas_udf("binary")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([_distinct(list(shingle_hashes(t, shingle))).tobytes() for t in texts], dtype=object)
+
+    named = docs.join(dealt(groups), F.col("id") == F.col("node"))
+    members = stage(named.select("component", "id", hashes("text").alias("set")), "members")
+    many = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.length("set")) / BLOCK_BYTES, F.lit(1.0))
+    sizes = members.groupBy("component").agg(F.ceil(many).cast("int").alias("blocks"))
     blocks = (
         members.join(dealt(sizes), "component")
         .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .groupBy("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .agg(F.collect_list(F.struct("id", "bins")).alias("m"))
+        .agg(F.collect_list(F.struct("id", "block", "set")).alias("m"))
     )
 
     @F.pandas_udf("struct<a:array<long>,b:array<long>>")
-    def meet(ids: pd.Series, sketches_: pd.Series) -> pd.DataFrame:
+    def meet(ids: pd.Series, of: pd.Series, sets: pd.Series) -> pd.DataFrame:
         out = []
-        for one, bins in zip(ids, sketches_, strict=True):
-            one, x = np.asarray(one), np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
-            moved, root = _forest(len(one), ((i, near) for i, near in enumerate(_near(x, least - MARGIN))))
+        for one, block, held in zip(ids, of, sets, strict=True):
+            one = np.asarray(one)
+            moved, root = _linked([np.frombuffer(x, np.uint64) for x in held], np.asarray(block), least)
             out.append((one[moved], one[root]))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    found = blocks.select(meet("m.id", "m.bins").alias("e"))
+    found = blocks.select(meet("m.id", "m.block", "m.set").alias("e"))
     return found.select(F.explode(F.arrays_zip("e.a", "e.b")).alias("e")).select("e.*").distinct()
 
 
-def _near(bins: np.ndarray, least: float):
-    """For each sketch the places of later ones whose bins agree often enough."""
+def _linked(sets: list[np.ndarray], block: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """``(member, root)`` of each group that pairs with a similarity of ``least`` connect.
+
+    Where there are two blocks, only members of different ones meet. A pair that others connect
+    already is not looked at.
+    """
+    bins = np.stack([_bins(x) for x in sets])
     full = bins > 0
-    for i in range(len(bins)):
+    crossed = block.min() != block.max()
+    label = np.arange(len(sets))
+    for i in range(len(sets)):
         either = (full[i] | full[i:]).sum(axis=1)
         same = ((bins[i] == bins[i:]) & full[i]).sum(axis=1)
-        yield i + np.flatnonzero(same >= least * np.maximum(either, 1))
+        near = i + np.flatnonzero(same >= (least - MARGIN) * np.maximum(either, 1))
+        if crossed:
+            near = near[block[near] != block[i]]
+        for j in near:
+            if label[j] != label[i] and _similarity(sets[i], sets[j]) >= least:
+                label[label == label[j]] = label[i]
+    moved = np.flatnonzero(label != np.arange(len(sets)))
+    return moved, label[moved]
+
+
+def _similarity(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both)
 
 
 def near_copies(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, component_id`` per row of ``docs``: the least id of its near copies' group.
 
-    Texts with the same shingle set, such as all without words, are copies. The similarity
-    is estimated on 512 bins, with a deviation below 0.02, which the threshold allows for; it is
-    all but exact for short texts.
+    Texts with the same shingle set, such as all without words, are copies. The similarity that
+    decides is that of the whole sets of 64-bit shingle hashes.
     """
 
     @F.pandas_udf(f"struct<{_SKETCH}>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        set_ids, bits, bands, bins = zip(*(sketch(t, shingle) for t in texts), strict=True)
-        return pd.DataFrame(
-            {"set_id": _signed(set_ids), "bits": _signed(bits), "bands": list(_signed(bands)), "bins": bins}
-        )
+        set_ids, bits, bands, _ = zip(*(sketch(t, shingle) for t in texts), strict=True)
+        return pd.DataFrame({"set_id": _signed(set_ids), "bits": _signed(bits), "bands": list(_signed(bands))})
 
     sketched = stage(docs.select("doc_id", run("text").alias("s")).select("doc_id", "s.*"), "sketches")
     sets = stage(
@@ -145,8 +182,8 @@ def near_copies(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE) -
         "sets",
     )
     groups = stage(components(candidates(sets), "a", "b"), "groups")
-    chosen = sketched.select(F.col("doc_id").alias("id"), "bins")
-    near = components(alike(groups, chosen, least), "a", "b")
+    chosen = docs.select(F.col("doc_id").alias("id"), "text")
+    near = components(alike(groups, chosen, least, shingle), "a", "b")
     named = sets.join(dealt(near), F.col("id") == F.col("node"), "left").select(
         "set_id", F.coalesce("component", "id").alias("component_id")
     )
