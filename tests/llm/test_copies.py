@@ -87,3 +87,18 @@ def test_the_threshold_is_exact_for_long_texts(spark):
     assert len(alike) == 12
     got = dict(copies.near_copies(documents(spark, list(enumerate(texts)))).collect())
     assert got == groups(alike, range(len(texts)))
+
+
+def test_lines_that_repeat_do_not_hide_copies(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(40):  # other words, then a line of ten words often, with one word edited
+        other = [f"o{k}w{i}" for i in range(rng.randrange(100, 400))]
+        line = [f"l{k}w{i}" for i in range(10)]
+        edited = ["edited" if i == 4 else w for i, w in enumerate(line)]
+        times = rng.randrange(30, 100)
+        texts += [" ".join(other + line * times), " ".join(other + edited * times)]
+    alike = [(2 * k, 2 * k + 1) for k in range(40)]
+    assert all(jaccard(texts[a], texts[b]) >= copies.LEAST for a, b in alike)
+    got = dict(copies.near_copies(documents(spark, list(enumerate(texts)))).collect())
+    assert got == groups(alike, range(len(texts)))
