@@ -106,3 +106,20 @@ def test_combined_ranking(spark):
     assert both == {"x": (0.5, 1), "y": (1.5, 2), "z": (1.5, 3)}
     alone = {r["feature"]: r["position"] for r in importance.combined_ranking(features, perm).collect()}
     assert alone == {"y": 1, "x": 2, "z": 3}
+
+
+def test_queries_search_the_whole_grid(spark, monkeypatch):
+    from tests.conftest import SF
+    from tidewatch import presets
+    from tidewatch.workload import stored, trained
+
+    asked = []
+
+    def search(df, features, target, order_by, grid=presets.PARAM_GRID, *more, **named):
+        asked.append(grid)
+        return spark.createDataFrame([(0, {}, 0, 1.0)], train.CV_RESULTS)
+
+    monkeypatch.setattr(train, "cross_validate", search)
+    assert trained.tr_cv_best(spark, SF).count() == 1
+    assert asked == [presets.PARAM_GRID]
+    assert stored.JOB_PLAN.grid == presets.PARAM_GRID and len(train.combinations(stored.JOB_PLAN.grid)) == 27

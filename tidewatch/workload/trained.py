@@ -93,8 +93,7 @@ def fitted(spark, sf_dir):
 
 def tr_cv_best(spark, sf_dir):
     rows, features = _matrix(spark, sf_dir)
-    grid = {"numTrees": [3], "maxDepth": [2, 4], "minInstancesPerNode": [1, 4]}
-    results = train.cross_validate(rows, features, "value", ORDER, grid)
+    results = train.cross_validate(rows, features, "value", ORDER)
     best = train.best_combination(results)
     return best.select("combination", F.to_json("params").alias("params"), "folds", "cv_score")
 
