@@ -84,3 +84,23 @@ def test_odd_rows(spark):
     assert out.count() == 10 and all(not r["s"] for r in out.collect())
     assert secrets.redacted(docs).columns == docs.columns
     assert secrets.redacted(docs.limit(0)).count() == 0
+
+
+def test_private_keys_go_whole():
+    rule = next(r for r in secrets.MORE if r.kind == "pem")
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = ["MIIEowIBAAKCAQEA" + "aB3/" * 12] * 5 + ["Zm9v+A=="]
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", ""]
+    keys = [
+        "\n".join([head, *body, tail]), "\r\n".join([head, *body, tail]), "\\n".join([head, *body, tail]),
+        "\n".join([head, *fields, *body, tail]), "\n    ".join([head, *body, tail]), "\n".join([head, *body[:5]]),
+        head + tail, head,
+    ]
+    for key in keys:
+        text = f"before {key}\nafter it. {tail} x"
+        assert rule.spans(text) == [(7, 7 + len(key))], key
+        assert secrets._cover(text, secrets.scanner(secrets.RULES)([text])[0], "[secret]") == f"before [secret]\nafter it. {tail} x"
+    two = keys[0] + "\n" + keys[0]
+    assert rule.spans(two) == [(0, len(keys[0])), (len(keys[0]) + 1, len(two))]
+    plain = secrets.Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+    assert secrets.query(rule) == secrets.query(plain)

@@ -53,9 +53,17 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", re.ASCII, 0, 18),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
+# A heading, then header fields and base64 lines to the END line, where there is one, or else the base64
+# lines that follow. Lines may be indented, quoted, or end in an escaped line feed.
+_BREAK = r"""(?:[\x20\t>#*+"',]|\r|\n|\\[rnt])*+"""
+_PEM = (
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+    rf"(?:{_BREAK}(?:[A-Za-z]+-[A-Za-z]+:[^\n\\]*+(?:\n|\\n)|[A-Za-z0-9+/=]++(?={_BREAK}-----END )|[A-Za-z0-9+/=]{{16,}}+))*+"
+    rf"(?:{_BREAK}-----END (?:[A-Z]+ )*PRIVATE KEY-----)?"
+)
 # Published formats of well-known issuers.
 MORE = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", _PEM),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
