@@ -11,6 +11,7 @@ from tidewatch.llm.pii import op8_pii
 from tidewatch.llm.quality import op3_quality
 from tidewatch.llm.secrets import op1_secrets
 from tidewatch.llm.simhash import op5_simhash
+from tidewatch.llm.spelling import op13_spelling
 from tidewatch.llm.suffixes import op6_suffixes
 from tidewatch.llm.transducer import op12_bpe
 from tidewatch.llm.whitening import op11_whitening
@@ -19,7 +20,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_secrets, op2_licenses, op3_quality, op4_fingerprints, op5_simhash, op6_suffixes, op7_neighbours,
-        op8_pii, op9_mixing, op10_packing, op11_whitening, op12_bpe,
+        op8_pii, op9_mixing, op10_packing, op11_whitening, op12_bpe, op13_spelling,
     )
 }
 ORACLE: dict[str, str] = {"op2_licenses": OP2_SQL, "op4_fingerprints": OP4_SQL}
