@@ -92,3 +92,31 @@ def test_hash_is_the_engines_own(spark):
     words = ["one two three", "é", ""]
     got = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w")).collect()
     assert [r[0] & (1 << 64) - 1 for r in got] == [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+
+
+def test_blocks_of_a_hot_shard_get_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(sh, "SHARD", 8)
+    held = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keyed = spark.range(200).selectExpr("id bits", "0 t", "0L k")
+        met = sh.dealt_shards(keyed, "bits")
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(t#" in plan and ", high#" in plan and ", low#" in plan.split("hashpartitioning(t#")[1]
+        tasks = met.select(F.spark_partition_id().alias("p"), F.size("tree").alias("n")).collect()
+        assert len({r["p"] for r in tasks}) == 4 and len(tasks) == 25 * 26 // 2
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+
+
+def test_one_row_of_each_group_is_a_defined_one(spark):
+    docs = clashing(odd(spark))
+    more = docs.withColumn("lang", F.lit("aa")).unionByName(docs).withColumn("list", F.array(F.lit(1)))
+    kept = sh.one_of_each(more.repartition(5)).collect()
+    named = [r for r in kept if r["doc_id"] is not None]
+    prints = [(r["doc_id"], brute_bits(r["text"])) for r in docs.collect() if r["doc_id"] is not None]
+    assert sorted(r["doc_id"] for r in named) == sorted(set(brute_groups(prints).values()))
+    assert {r["lang"] for r in named} == {"aa"} and len(kept) - len(named) == 2
+    assert kept[0].__fields__ == more.columns

@@ -51,9 +51,13 @@ def _units(flat: np.ndarray, n: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _gathered(rows: DataFrame, keys: list, *more: str) -> DataFrame:
-    """``ids``, their vectors end to end in ``flat``, and further arrays, a row per group."""
-    found = rows.groupBy(*keys).agg(F.collect_list(F.struct("id", "v", *more)).alias("m"))
+def _gathered(rows: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """``ids``, their vectors end to end in ``flat``, and further arrays, a row per group.
+
+    The exchange is an explicit one: rows that a join has dealt by some of the keys would stay
+    as they are, and all parts of a large group would be one task's.
+    """
+    found = rows.repartition(*keys).groupBy(*keys).agg(F.collect_list(F.struct("id", "v", *more)).alias("m"))
     return found.select(
         F.col("m.id").alias("ids"),
         F.flatten("m.v").alias("flat"),
@@ -204,13 +208,10 @@ def _held_together(members: DataFrame, least: float) -> DataFrame:
         members.join(dealt(sizes), "component")
         .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("side", F.col("block") <= F.col("other"))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
     )
-    paired = _gathered(
-        blocks,
-        ["component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")],
-        "n", "block",
-    )
+    paired = _gathered(blocks, ["component", "low", "high"], "n", "block")
 
     @F.pandas_udf("struct<id:array<long>,links:array<long>,a:array<long>,b:array<long>>")
     def count(ids: pd.Series, flats: pd.Series, ns: pd.Series, of: pd.Series) -> pd.DataFrame:

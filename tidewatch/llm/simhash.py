@@ -21,6 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.common import dealt, table
 from tidewatch.llm.components import components
@@ -152,7 +153,11 @@ def dealt_shards(keyed: DataFrame, bits: str, *more: str) -> DataFrame:
         .withColumn("blocks", F.ceil(F.col("n") / F.lit(SHARD)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64(bits, *more, F.lit(SEED)), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .groupBy("t", "k", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        # Without this exchange the blocks of a key would stay in the task of the join on the key.
+        .repartition("t", "k", "low", "high")
+        .groupBy("t", "k", "low", "high")
         .agg(
             F.collect_list(F.when(F.col("block") <= F.col("other"), entry)).alias("tree"),
             F.collect_list(F.when(F.col("block") >= F.col("other"), entry)).alias("queries"),
@@ -197,6 +202,21 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return hashed.join(classes, "bits").select("doc_id", "bits", as_hex(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """The row with the least ``doc_id`` of every group, all columns kept; the others go.
+
+    Of several rows with that ``doc_id`` the first in the order of their plain columns stays. Rows
+    with a NULL ``doc_id`` cannot be named, so they take no part and stay.
+    """
+    named = docs.filter(F.col("doc_id").isNotNull())
+    firsts = near_duplicates(named, radius, shingle).filter("doc_id = component_id").select("doc_id").distinct()
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    order = F.struct(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, nested)])
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("row")
+    kept = named.join(dealt(firsts), "doc_id", "left_semi").groupBy("doc_id").agg(row)
+    return kept.select("row.*").unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
