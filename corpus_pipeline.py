@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import copies, mixing, packing, quality, secrets
+from tidewatch.llm import mixing, packing, quality, secrets, simhash
 from tidewatch.llm.common import table
 from tidewatch.plans import stage
 
@@ -19,8 +19,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, five-word shingles 0.8 alike."""
-    return copies.one_of_each(docs)
+    """One document of each group whose SimHash fingerprints of three-word shingles differ in at
+    most three bits."""
+    return simhash.one_of_each(docs, radius=simhash.RADIUS, shingle=simhash.SHINGLE)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", good),
-    ("near-duplicates", distinct),
+    ("SimHash near-dedup", distinct),
     ("secret scan", clean),
     ("mixing", mix),
     ("packing", pack),
