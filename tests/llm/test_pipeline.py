@@ -7,7 +7,7 @@ from tests.llm.helpers import clashing, odd
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_packing import check
 from tests.llm.test_secrets import brute as base_secrets
-from tests.llm.test_copies import groups, jaccard
+from tests.llm.test_simhash import brute_bits, brute_groups
 from tests.llm.helpers import WORD
 
 from tidewatch.llm import quality
@@ -29,15 +29,8 @@ def test_stages_on_the_smallest_tables(spark):
     assert np.mean([r["doc_id"] in {k["doc_id"] for k in kept.collect()} for r in before if marked.get(r["doc_id"]) == 1]) > 0.97
 
     one = stage(distinct(spark, kept, SF), "t")
-    rows = kept.collect()
-    same = {i: set() for i in (0.77, 0.83)}
-    for least in same:
-        pairs = [
-            (a["doc_id"], b["doc_id"]) for i, a in enumerate(rows) for b in rows[:i]
-            if a["lang"] == b["lang"] and jaccard(a["text"], b["text"]) >= least
-        ]
-        same[least] = set(groups(pairs, [r["doc_id"] for r in rows]).values())
-    assert same[0.77] <= {r["doc_id"] for r in one.collect()} <= same[0.83]
+    prints = [(r["doc_id"], brute_bits(r["text"])) for r in kept.collect()]
+    assert sorted(r["doc_id"] for r in one.collect()) == sorted({g for g in brute_groups(prints).values()})
 
     blank = stage(clean(spark, one, SF), "t")
     texts = {r["doc_id"]: r["text"] for r in one.collect()}
