@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.conftest import SF
 
 from tidewatch.llm import neighbours as nb
@@ -113,20 +114,20 @@ def test_a_short_search_ends_in_comparing_all(spark, monkeypatch, odd_length):
 
 
 def test_blocks_of_a_large_component_get_tasks_of_their_own(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "GROUP", 8)
+    monkeypatch.setattr(nb, "GROUP", 8)
     held = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         members = spark.range(200).selectExpr("id", "array(1.0D, id / 100) v", "1L n", "0L component")
-        met = neighbours._held_together(members, 0.98)
+        met = nb._held_together(members, 0.98)
         plan = met._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(component" in plan and any(
             "low#" in x and "high#" in x for x in plan.split("\n") if "Exchange hashpartitioning(component" in x
         )
         dealt = members.withColumn("t", F.lit(0))
-        salted = neighbours._dealt_out(dealt, ["t"], 1).withColumn("bar", F.lit(-1.0))
-        tasks = neighbours._gathered(salted, ["t", "salt"], "bar").select(F.spark_partition_id().alias("p"))
+        salted = nb._dealt_out(dealt, ["t"], 1).withColumn("bar", F.lit(-1.0))
+        tasks = nb._gathered(salted, ["t", "salt"], "bar").select(F.spark_partition_id().alias("p"))
         assert len({r["p"] for r in tasks.collect()}) == 4
     finally:
         for name, value in held.items():
