@@ -122,4 +122,4 @@ def test_queries_search_the_whole_grid(spark, monkeypatch):
     monkeypatch.setattr(train, "cross_validate", search)
     assert trained.tr_cv_best(spark, SF).count() == 1
     assert asked == [presets.PARAM_GRID]
-    assert stored.JOB_PLAN.grid == presets.PARAM_GRID and len(train.combinations(stored.JOB_PLAN.grid)) == 27
+    assert stored.JOB_PLAN.grid == presets.PARAM_GRID and len(train.combinations(stored.JOB_PLAN.grid)) == 108

@@ -79,6 +79,21 @@ def expanding_folds(
     return pairs
 
 
+def fold_blocks(
+    df: DataFrame, order_by: Sequence[str], folds: int = presets.CV_FOLDS, name: str = "_block"
+) -> DataFrame:
+    """``df`` with the number of the fold that tests each row, -1 for rows before all of them.
+
+    The rows that a fold trains on are those of the blocks before its own.
+    """
+    rows, keys, n = _null_first(df, order_by)
+    starts = [start for start, _ in fold_bounds(n, folds)]
+    block = F.lit(-1)
+    for position in row_positions(rows, keys, starts):
+        block = block + (~before(rows, keys, position)).cast("int")
+    return rows.withColumn(name, block).select(*df.columns, name)
+
+
 def regression_metrics(
     df: DataFrame, actual: str, prediction: str, keys: Sequence[str] = ()
 ) -> DataFrame:

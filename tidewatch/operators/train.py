@@ -4,47 +4,38 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Mapping, Sequence
-from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import presets
-from tidewatch.operators.evaluate import expanding_folds
-from tidewatch.plans.staging import scratch, stage
+from tidewatch.operators import forest
+from tidewatch.operators.evaluate import fold_blocks
+from tidewatch.operators.forest import Forest
+from tidewatch.plans.staging import scratch
 
 CV_RESULTS = "combination int, params map<string,string>, fold int, mae double"
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Append the vector column ``features`` built from the feature columns."""
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-
-
 def fit_forest(
     df: DataFrame,
     features: Sequence[str],
     target: str,
     params: Mapping[str, Any] | None = None,
     seed: int = presets.SEED,
-) -> RandomForestRegressionModel:
-    """Forest over all features per split, as regression forests commonly use."""
-    forest = _forest(target, params, seed)
-    data = assemble(df.select(*features, target), features).select("features", target)
-    return forest.fit(data)
-
-
-def _forest(target: str, params: Mapping[str, Any] | None, seed: int) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="features",
-        labelCol=target,
-        featureSubsetStrategy="all",
-        seed=seed,
-        **dict(params or {}),
-    )
+    order_by: Sequence[str] = (),
+) -> Forest:
+    """Forest over all features per split, as regression forests commonly use.
+
+    ``order_by`` names the rows, so that each is drawn for the same trees whatever its values.
+    """
+    with scratch(df.sparkSession):
+        return forest.fit(df, features, target, params, seed, _key(order_by) if order_by else None)
+
+
+def _key(order_by: Sequence[str]):
+    return F.xxhash64(*[F.col(f"`{c}`") for c in order_by])
 
 
 def combinations(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
@@ -60,29 +51,27 @@ def cross_validate(
     grid: Mapping[str, Sequence[Any]] = presets.PARAM_GRID,
     folds: int = presets.CV_FOLDS,
     seed: int = presets.SEED,
-    parallelism: int = 4,
 ) -> DataFrame:
     """Mean absolute error of every (combination, fold).
 
-    Each fold trains on the rows before its test block only. A fold is assembled and
-    staged once for all combinations. ``parallelism`` submits that many fits to Spark at a time.
+    Each fold trains on the rows before its test block only. Trees are grown once per fold and
+    leaf size; depths, split sizes and tree counts are cuts of them.
     """
     spark = df.sparkSession
-    rows = []
+    asked = combinations(grid)
+    alike: dict[tuple, list[int]] = {}
+    for c, params in enumerate(asked):
+        want = forest.Params.of(params)
+        alike.setdefault((want.bootstrap, want.maxBins), []).append(c)
+    found = {}
     with scratch(spark):
-        for k, parts in enumerate(expanding_folds(df, order_by, folds)):
-            train, test = (
-                stage(assemble(part, features).select("features", target), "fold") for part in parts
+        blocks = fold_blocks(df.select(*dict.fromkeys([*order_by, *features, target])), order_by, folds)
+        for some in alike.values():
+            errors = forest.validation_errors(
+                blocks, features, target, [asked[c] for c in some], folds, seed, _key(order_by)
             )
-
-            def run(task, k=k, train=train, test=test):
-                c, params = task
-                scored = _forest(target, params, seed).fit(train).transform(test)
-                mae = scored.agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]
-                return c, {name: str(v) for name, v in params.items()}, k, mae
-
-            with ThreadPool(parallelism) as pool:
-                rows += pool.map(run, enumerate(combinations(grid)), chunksize=1)
+            found |= {(some[c], k): mae for (c, k), mae in errors.items()}
+    rows = [(c, {n: str(v) for n, v in asked[c].items()}, k, mae) for (c, k), mae in sorted(found.items())]
     return spark.createDataFrame(rows, CV_RESULTS)
 
 
@@ -106,10 +95,9 @@ def tune(
     grid: Mapping[str, Sequence[Any]] = presets.PARAM_GRID,
     folds: int = presets.CV_FOLDS,
     seed: int = presets.SEED,
-    parallelism: int = 4,
-) -> tuple[RandomForestRegressionModel, dict[str, Any], float]:
+) -> tuple[Forest, dict[str, Any], float]:
     """Best model refitted on all rows, its parameters, and its cross-validation score."""
-    results = cross_validate(df, features, target, order_by, grid, folds, seed, parallelism)
+    results = cross_validate(df, features, target, order_by, grid, folds, seed)
     best = best_combination(results).first()
     params = combinations(grid)[best["combination"]]
-    return fit_forest(df, features, target, params, seed), params, best["cv_score"]
+    return fit_forest(df, features, target, params, seed, order_by), params, best["cv_score"]

@@ -57,12 +57,13 @@ DRIFT_ALPHA = 0.05
 DRIFT_FEATURES = ["temperature_2m", "relative_humidity_2m", "pressure_msl", "wind_speed_10m"]
 DRIFT_MIN_ROWS = 10
 
-# Training defaults. Tree depth is capped at 30, the limit of MLlib.
+# Training defaults. A depth of None is no limit.
 TEST_SIZE = 0.2
 CV_FOLDS = 5
 SEED = 42
 PARAM_GRID = {
     "numTrees": [50, 100, 200],
-    "maxDepth": [10, 20, 30],
+    "maxDepth": [10, 20, 30, None],
+    "minRowsToSplit": [2, 5, 10],
     "minInstancesPerNode": [1, 2, 4],
 }

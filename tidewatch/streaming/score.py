@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewatch.operators.forest import Forest
 from tidewatch.operators.monitor import log_entries
 from tidewatch.operators.score import score_with_spread
 from tidewatch.sources import logs
@@ -16,7 +16,7 @@ from tidewatch.sources import logs
 
 def scored_entries(
     rows: DataFrame,
-    model: RandomForestRegressionModel,
+    model: Forest,
     features: Sequence[str],
     time_column: str,
     model_version: int,
