@@ -66,6 +66,13 @@ def known(column: str) -> Column:
     return F.nanvl(F.col(column), F.lit(None).cast("double"))
 
 
+def _rounded(median: float | None) -> Column:
+    """Rounded as the decimal number that it stands for: the mean of two logged values may lie
+    halfway, where its binary form falls to either side."""
+    value = F.lit(median).cast("double")
+    return F.coalesce(F.round(value.try_cast("decimal(38,12)"), 4).cast("double"), F.round(value, 4))
+
+
 def prediction_stats(log: DataFrame) -> DataFrame:
     """Count, mean, population std, min, max and exact median (4 decimals)."""
     median = exact_quantiles(log, ["prediction"], [0.5])["prediction", 0.5]
@@ -75,7 +82,7 @@ def prediction_stats(log: DataFrame) -> DataFrame:
         F.round(F.stddev_pop(known("prediction")), 4).alias("std"),
         F.round(F.min(known("prediction")), 4).alias("min"),
         F.round(F.max(known("prediction")), 4).alias("max"),
-        F.round(F.lit(median).cast("double"), 4).alias("median"),
+        _rounded(median).alias("median"),
     )
 
 
@@ -137,7 +144,7 @@ def monitoring_report(log: DataFrame, days: float = 1, as_of: datetime | None =
         F.round(F.stddev_pop(known("prediction")), 4).alias("std"),
         F.round(F.min(known("prediction")), 4).alias("min"),
         F.round(F.max(known("prediction")), 4).alias("max"),
-        F.round(F.lit(median).cast("double"), 4).alias("median"),
+        _rounded(median).alias("median"),
         F.round(F.avg(known("confidence.std")), 4).alias("mean_std"),
         F.round(F.max(known("confidence.std")), 4).alias("max_std"),
         F.count(known("error")).alias("with_actual"),

@@ -151,7 +151,7 @@ req AS (
 """
 _STATS = """count(prediction) AS "count", round(avg(prediction), 4) AS mean,
   round(stddev_pop(prediction), 4) AS std, round(min(prediction), 4) AS min,
-  round(max(prediction), 4) AS max, round(median(prediction), 4) AS median"""
+  round(max(prediction), 4) AS max, round(CAST(median(prediction) AS DECIMAL(38, 12)), 4)::DOUBLE AS median"""
 
 
 def _features_sql(source: str) -> str:
@@ -175,7 +175,7 @@ def _report_sql(source: str = "log", before: str = "") -> str:
         for m, v in (
             ("count", "count(prediction)"), ("mean", "round(avg(prediction), 4)"),
             ("std", "round(stddev_pop(prediction), 4)"), ("min", "round(min(prediction), 4)"),
-            ("max", "round(max(prediction), 4)"), ("median", "round(median(prediction), 4)"),
+            ("max", "round(max(prediction), 4)"), ("median", "round(CAST(median(prediction) AS DECIMAL(38, 12)), 4)::DOUBLE"),
         )
     ] + [
         ("confidence", "mean_std", "round(avg(confidence_std), 4)"),
