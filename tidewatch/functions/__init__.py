@@ -15,6 +15,7 @@ from tidewatch.functions.columns import (
 )
 from tidewatch.functions.stats import (
     ks_p_value,
+    ks_test_p_value,
     position_percentile,
     sample_kurtosis,
     sample_skewness,
@@ -32,6 +33,7 @@ __all__ = [
     "normalise_missing",
     "numeric_columns",
     "ks_p_value",
+    "ks_test_p_value",
     "position_percentile",
     "quoted",
     "sample_kurtosis",

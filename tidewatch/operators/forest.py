@@ -131,7 +131,7 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, least: int, depth: int
     there = np.flatnonzero(w > 0)
     bins, y, w = bins[there], y[there], w[there].astype(np.float64)
     n, count = bins.shape
-    order = np.argsort(bins, axis=0, kind="stable").T.astype(np.int64)  # a row of places per feature
+    order = np.argsort(bins, axis=0, kind="stable").T.astype(np.int32)  # a row of places per feature
     edges = np.array([0, n])  # of the nodes of the level, in each feature's order
     out: list[list[np.ndarray]] = [[] for _ in Tree.COLUMNS]
     done, level = 0, 0  # nodes of earlier levels
@@ -142,7 +142,7 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, least: int, depth: int
         first = order[0]
         weight = np.add.reduceat(w[first], edges[:-1])
         mean = np.add.reduceat((w * y)[first], edges[:-1]) / weight
-        centred = np.empty(n)
+        centred = np.zeros(n)
         centred[first] = y[first] - np.repeat(mean, sizes)
         error = np.add.reduceat((w * centred * centred)[first], edges[:-1])
         feature, cut, gain = np.full(nodes, -1), np.zeros(nodes, np.int64), np.zeros(nodes)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions import ks_test_p_value
 from tidewatch.operators import drift
 from tidewatch.operators.monitor import log_entries
 from tidewatch.plans.ordering import over_series
@@ -66,6 +67,16 @@ def dr_report(spark, sf_dir):
     return _tidy(drift.drift_report(baseline, shifted, ["value", "k", "absent"]))
 
 
+def dr_exact(spark, sf_dir):
+    """Views against clicks of every day: small samples, whose p-values are counted."""
+    events = table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("feature")
+    rows = events.select(day, "value", F.lit(1).cast("long").alias("n"), "event_type")
+    found = drift.ks_statistics(rows.filter("event_type = 'view'"), rows.filter("event_type = 'click'"))
+    p = ks_test_p_value(F.col("d"), F.col("n_base"), F.col("n_cur"))
+    return found.select("feature", F.round("d", 6).alias("d"), "n_base", "n_cur", F.round(p, 6).alias("p_value"))
+
+
 def dr_concept(spark, sf_dir):
     """Predictions: mean of the user's last six values."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
@@ -123,6 +134,10 @@ s AS (SELECT feature, avg(value) FILTER (NOT cur) AS bm, avg(value) FILTER (cur)
       FROM x GROUP BY feature)"""
 
 
+_DAILY = """
+SELECT strftime(ts, '%Y-%m-%d') AS feature, value, event_type = 'click' AS cur
+FROM events WHERE event_type IN ('view', 'click')"""
+
 _SHIFTED = f"""
 SELECT 'value' AS feature, value, ts >= {HALF_SQL} AS cur FROM measured
 UNION ALL
@@ -134,11 +149,25 @@ QUERIES = {
     "dr_ks": dr_ks,
     "dr_report": dr_report,
     "dr_concept": dr_concept,
+    "dr_exact": dr_exact,
     "dr_from_log": dr_from_log,
     "dr_history": dr_history,
 }
 
 ORACLE = {
+    # Chances of the pooled orders that stay nearer, one value of the pool at a time.
+    "dr_exact": f"""
+WITH RECURSIVE {ks_sql(_DAILY)},
+g AS (SELECT *, CAST(round(d * n_base * n_cur) AS BIGINT) AS k FROM d WHERE d IS NOT NULL AND n_base > 0 AND n_cur > 0),
+walk AS (
+  SELECT feature, n_base AS n, n_cur AS m, k, 0::BIGINT AS step, 0::BIGINT AS i, 1.0::DOUBLE AS p FROM g WHERE k > 0
+  UNION ALL
+  SELECT feature, n, m, k, step + 1, i + u, sum(p * CASE u WHEN 1 THEN n - i ELSE m - (step - i) END / (n + m - step))
+  FROM walk CROSS JOIN (VALUES (0), (1)) v(u)
+  WHERE step < n + m AND abs((i + u) * m - (step + 1 - i - u) * n) < k AND CASE u WHEN 1 THEN i < n ELSE step - i < m END
+  GROUP BY feature, n, m, k, step, i + u)
+SELECT feature, round(d, 6) AS d, n_base, n_cur, round(1 - coalesce(p, 0), 6) AS p_value
+FROM g LEFT JOIN (SELECT feature, p FROM walk WHERE step = n + m) USING (feature)""",
     "dr_baseline": f"""
 WITH {MEASURED_SQL},
 x AS (SELECT 'value' AS feature, value AS v FROM measured WHERE ts < {HALF_SQL}
