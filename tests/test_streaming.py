@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,28 +43,29 @@ def test_ingest_writes_each_file_once(spark, events, tmp_path):
 
 @pytest.mark.parametrize("cuts", [[0.5], [0.1, 0.11, 0.9]])
 def test_features_equal_batch(spark, events, tmp_path, cuts):
-    landed, out, base, checkpoint = folders(tmp_path, "landed", "out", "base", "cp")
+    landed, out, checkpoint = folders(tmp_path, "landed", "out", "cp")
     plain = events.drop("props")
     start, span = dt.datetime(2024, 1, 1), dt.timedelta(days=30)
     edges = [start + c * span for c in (0.0, *cuts, 1.1)]
-    stream = feature_stream.FeatureStream(SPEC, out, base, dt.timedelta(0))
+    stream = feature_stream.FeatureStream(SPEC, out, dt.timedelta(0))
     for low, high in zip(edges, edges[1:]):
         part = plain.filter(F.col("ts").between(F.lit(low).cast("timestamp_ntz"), F.lit(high).cast("timestamp_ntz")))
         part.repartition(3).write.mode("append").parquet(landed)
         source = ingest_stream.read_stream(spark, landed, SCHEMA, "parquet")
         stream.start(source, checkpoint).awaitTermination()
+    stream.finish(spark, checkpoint, source.schema)  # watermarks count in milliseconds
     columns = [F.round(c, 6).alias(c) for c in SPEC.feature_columns]
-    found = spark.read.parquet(out)
-    assert spark.read.parquet(f"{base}/late").count() == 0
+    found = feature_stream.read_features(spark, stream)
+    assert feature_stream.read_late(spark, stream).count() == 0
     assert rows_of(found.select("event_id", *columns)) == rows_of(add_features(plain, SPEC).select("event_id", *columns))
 
 
 def test_late_rows_are_set_aside(spark, tmp_path):
-    landed, out, base, checkpoint = folders(tmp_path, "landed", "out", "base", "cp")
+    landed, out, checkpoint = folders(tmp_path, "landed", "out", "cp")
     at = dt.datetime(2024, 1, 1)
     row = lambda i, hours, v: (i, None if hours is None else at + dt.timedelta(hours=hours), 0, "k", v)
     spec = FeatureSpec(target="value", order_by=("ts", "event_id"), keys=("event_type",), lags=(1,), windows=(3,))
-    stream = feature_stream.FeatureStream(spec, out, base, dt.timedelta(hours=1))
+    stream = feature_stream.FeatureStream(spec, out, dt.timedelta(hours=1))
     arrivals = (
         [row(1, 1, 1.0), row(2, 3, 2.0)],
         [row(3, 2, 9.0), row(4, 4, 3.0), row(8, None, 0.0)],  # 3 is at the watermark
@@ -73,14 +75,49 @@ def test_late_rows_are_set_aside(spark, tmp_path):
         spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(landed)
         source = ingest_stream.read_stream(spark, landed, SCHEMA, "parquet")
         stream.start(source, checkpoint).awaitTermination()
-    assert {r["event_id"] for r in spark.read.parquet(out).collect()} == {1, 2}
-    stream.finish(spark, source.schema)
-    found = {r["event_id"]: (r["value_lag_1"], r["value_roll_mean_3"]) for r in spark.read.parquet(out).collect()}
+    final = lambda: feature_stream.read_features(spark, stream).collect()
+    assert {r["event_id"] for r in final()} == {1, 2}
+    stream.finish(spark, checkpoint, source.schema)
+    found = {r["event_id"]: (r["value_lag_1"], r["value_roll_mean_3"]) for r in final()}
     assert found == {1: (None, 1.0), 2: (1.0, 1.5), 5: (2.0, 7 / 3), 4: (4.0, 3.0)}
-    late = spark.read.parquet(f"{base}/late").collect()
+    late = feature_stream.read_late(spark, stream).collect()
     assert sorted(r["event_id"] for r in late) == [3, 6, 8]
 
 
+def test_untouched_keys_write_no_state(spark, tmp_path):
+    """What a batch stores follows the keys that it brings rows for."""
+    landed, out, checkpoint = folders(tmp_path, "landed", "out", "cp")
+    at = dt.datetime(2024, 1, 1)
+    row = lambda i, hours, key: (i, at + dt.timedelta(hours=hours), 0, key, float(i))
+    spec = FeatureSpec(target="value", order_by=("ts", "event_id"), keys=("event_type",), lags=(1,), windows=(3,))
+    stream = feature_stream.FeatureStream(spec, out, dt.timedelta(days=9))
+    written = []
+    for rows in ([row(i, i % 40, f"k{i % 200}") for i in range(400)], [row(1000, 41, "k7"), row(1001, 41, "new")]):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(landed)
+        query = stream.start(ingest_stream.read_stream(spark, landed, SCHEMA, "parquet"), checkpoint)
+        query.awaitTermination()
+        states = [p.stateOperators[0] for p in query.recentProgress if p.numInputRows]
+        written.append(sum(s.customMetrics["rocksdbPutCount"] for s in states))
+    assert 0 < written[1] <= 20 < 400 <= written[0]
+    stream.finish(spark, checkpoint, spark.createDataFrame([], SCHEMA).schema)
+    rows = spark.read.schema(SCHEMA).parquet(landed)
+    columns = [F.round(c, 6).alias(c) for c in spec.feature_columns]
+    found = feature_stream.read_features(spark, stream)
+    assert rows_of(found.select("event_id", *columns)) == rows_of(add_features(rows, spec).select("event_id", *columns))
+
+
+@pytest.mark.parametrize("current", [True, False])
+def test_numbers_of_one_series_equal_the_batch_operator(spark, current):
+    values = [1.0, None, 4.0, 2.5, None, None, None, 8.0, 3.0]
+    spec = FeatureSpec("v", ("i",), lags=(1, 2, 20), windows=(1, 2, 3, 12), include_current=current, hour_of_day=False)
+    df = spark.createDataFrame(list(enumerate(values)), "i long, v double")
+    want = add_features(df, spec).orderBy("i").toPandas()
+    numbers = np.array([np.nan if v is None else v for v in values])
+    found = feature_stream.window_numbers(numbers, ~np.isnan(numbers), spec)
+    for name, column in found.items():
+        np.testing.assert_allclose(column, want[name].to_numpy(float), err_msg=name)
+
+
 def test_monitoring_of_closed_windows_equals_batch(spark, events, tmp_path):
     landed, out, checkpoint = folders(tmp_path, "landed", "out", "cp")
     entries = log_entries(

@@ -88,14 +88,14 @@ def st_drift(spark, sf_dir):
 
 def _featured(spark, landed, lateness, **bound):
     """The landed files streamed to their end; ``bound`` says how they are cut into batches."""
-    out, base, checkpoint = (fresh_path(spark, n) for n in ("out", "base", "cp"))
-    stream = feature_stream.FeatureStream(SERIES, out, base, lateness)
+    out, checkpoint = (fresh_path(spark, n) for n in ("out", "cp"))
+    stream = feature_stream.FeatureStream(SERIES, out, lateness)
     source = ingest_stream.read_stream(spark, landed, EVENTS, "parquet", **bound)
     stream.start(source, checkpoint).awaitTermination()
-    stream.finish(spark, source.schema)
+    stream.finish(spark, checkpoint, source.schema)
     rows = feature_stream.read_features(spark, stream)
     rounded = [F.round(c, 6).alias(c) for c in SERIES.feature_columns]
-    return rows.select("event_id", "event_type", *rounded), spark.read.parquet(f"{base}/late")
+    return rows.select("event_id", "event_type", *rounded), feature_stream.read_late(spark, stream)
 
 
 def st_features(spark, sf_dir):
