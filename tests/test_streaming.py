@@ -135,21 +135,35 @@ def test_monitoring_of_closed_windows_equals_batch(spark, events, tmp_path):
     assert per_feature.filter("feature = 'v'").count() == 30
 
 
-def test_drift_reports_one_batch_at_a_time(spark, events, tmp_path):
-    landed, out, base, checkpoint = folders(tmp_path, "landed", "out", "base", "cp")
+def test_drift_of_closed_windows_whatever_the_batches(spark, events, tmp_path):
+    """A day like the baseline, one that moved, one of few rows; the last stays open."""
+    landed, base = folders(tmp_path, "landed", "base")
     drift.Baseline.of(events, ["value"]).save(base)
     entries = log_entries(events, F.col("ts"), F.lit(1), F.col("value"), F.create_map(F.lit("value"), F.col("value")))
-    moved = entries.withColumn("input_features", F.create_map(F.lit("value"), F.col("prediction") + 50))
-    for part in (entries, moved, entries.limit(4)):
-        part.write.mode("append").parquet(landed)
-        drift_stream.start_drift(
-            spark.readStream.schema(entries.schema).parquet(landed), drift.Baseline.load(spark, base),
-            ["value"], out, checkpoint,
-        ).awaitTermination()
-    rows = spark.read.parquet(out).orderBy("batch_id").collect()
-    assert [(r["status"], r["drift_detected"]) for r in rows] == [
-        ("checked", False), ("checked", True), ("insufficient_data", None)
+
+    def day(rows, n, shift):
+        at = F.timestamp_add("MINUTE", F.col("value").cast("long") % 600, F.lit(f"2024-03-0{n}").cast("timestamp_ntz"))
+        moved = F.create_map(F.lit("value"), F.col("prediction") + shift)
+        return rows.withColumn("value", F.col("prediction")).withColumn("timestamp", at).withColumn("input_features", moved).drop("value")
+
+    nan = F.create_map(F.lit("value"), F.lit(float("nan")))
+    days = [day(entries, 1, 0), day(entries, 2, 50), day(entries.limit(4), 3, 0), day(entries, 4, 0).withColumn("input_features", nan), day(entries, 6, 9)]
+    for part in days:
+        for half in ("prediction < 30", "prediction >= 30"):
+            part.filter(half).coalesce(1).write.mode("append").parquet(landed)
+    found = []
+    for files in (1, 100):
+        out, checkpoint = folders(tmp_path, f"out{files}", f"cp{files}")
+        stream = spark.readStream.schema(entries.schema).option("maxFilesPerTrigger", files).parquet(landed)
+        drift_stream.start_drift(stream, drift.Baseline.load(spark, base), ["value", "absent"], out, checkpoint).awaitTermination()
+        found.append(rows_of(spark.read.parquet(out).drop("batch")))
+    assert found[0] == found[1]
+    rows = spark.read.parquet(out).orderBy("window_start").collect()
+    assert [(r["window_start"].day, r["status"], r["feature"], r["drift_detected"]) for r in rows] == [
+        (1, "checked", "value", False), (2, "checked", "value", True), (3, "insufficient_data", None, None)
     ]
+    batch = drift.drift_from_log(drift.Baseline.load(spark, base), days[1], ["value"]).first()
+    assert all(rows[1][c] == batch[c] for c in ("ks_statistic", "p_value", "current_mean", "alert"))
 
 
 def test_stream_scoring_equals_batch(spark, events, tmp_path):

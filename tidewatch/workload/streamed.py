@@ -69,21 +69,27 @@ def st_feature_stats(spark, sf_dir):
 
 
 def st_drift(spark, sf_dir):
-    """Baseline from the first half; the second half arrives as a log in two batches."""
-    landed, out, base, checkpoint = (fresh_path(spark, n) for n in ("landed", "out", "base", "cp"))
+    """Baseline from the first half; the days of the second half that close, read five files at a
+    time and all at once."""
+    landed, base = (fresh_path(spark, n) for n in ("landed", "base"))
     first = measured(spark, sf_dir).filter(F.col("ts") < at(HALF))
     drift.Baseline.of(first, ["k", "value"]).save(base)
     log = prediction_log(spark, sf_dir).filter(F.col("timestamp") >= at(HALF))
     for part in ("timestamp < timestamp_ntz'2024-01-23'", "timestamp >= timestamp_ntz'2024-01-23'"):
-        logs.append_log(log.filter(part), landed)
+        logs.append_log(log.filter(part).coalesce(1), landed)
+    found = None
+    for cut, files in (("few", 5), ("whole", logs.FILES_PER_BATCH)):
+        out, checkpoint = (fresh_path(spark, n) for n in ("out", "cp"))
         drift_stream.start_drift(
-            logs.stream_log(spark, landed),
-            drift.Baseline.load(spark, base), ["k", "value"], out, checkpoint,
-        ).awaitTermination()
-    # A log column k exists for error events too, unlike in the measured baseline.
-    return spark.read.parquet(out).select(
-        "batch_id", "status", "feature", "ks_statistic", "drift_detected", "current_mean"
-    )
+            logs.stream_log(spark, landed, files), drift.Baseline.load(spark, base), ["k", "value"],
+            out, checkpoint, "1 day", "1 day",
+        ).awaitTermination()
+        report = spark.read.parquet(out).select(
+            F.lit(cut).alias("cut"), "window_start", "status", "feature", "ks_statistic", "drift_detected",
+            "current_mean", "current_std",
+        )
+        found = report if found is None else found.unionByName(report)
+    return found
 
 
 def _featured(spark, landed, lateness, **bound):
@@ -197,19 +203,20 @@ UNION ALL BY NAME SELECT event_id, event_type, true AS late FROM marked WHERE la
     "st_drift": f"""
 WITH {LOG_SQL}, {MEASURED_SQL},
 base AS (SELECT k, value FROM measured WHERE ts < {HALF_SQL}),
-cur AS (SELECT k, value, CAST("timestamp" >= TIMESTAMP '2024-01-23' AS INTEGER) AS batch FROM log
-        WHERE "timestamp" >= {HALF_SQL}),
+cur AS (SELECT k, value, strftime("timestamp", '%Y-%m-%d') AS day FROM log
+        WHERE "timestamp" >= {HALF_SQL}
+          AND date_trunc('day', "timestamp") + INTERVAL 2 DAY <= (SELECT max("timestamp") FROM log)),
+days AS (SELECT DISTINCT day FROM cur),
 """
     + ks_sql(
         " UNION ALL ".join(
-            f"SELECT '{b}{c}' AS feature, {c} AS value, false AS cur FROM base "
-            f"UNION ALL SELECT '{b}{c}', {c}, true FROM cur WHERE batch = {b}"
-            for b in (0, 1)
+            f"SELECT day || '{c}' AS feature, {c} AS value, false AS cur FROM base CROSS JOIN days "
+            f"UNION ALL SELECT day || '{c}', {c}, true FROM cur"
             for c in ("k", "value")
         )
     )
     + """
-SELECT feature[1]::BIGINT AS batch_id, 'checked' AS status, feature[2:] AS feature, round(d, 6) AS ks_statistic,
-       p < 0.05 AS drift_detected, round(cm, 4) AS current_mean
-FROM t JOIN s USING (feature)""",
+SELECT cut, CAST(feature[1:10] AS TIMESTAMP) AS window_start, 'checked' AS status, feature[11:] AS feature,
+       round(d, 6) AS ks_statistic, p < 0.05 AS drift_detected, round(cm, 4) AS current_mean, round(cs, 4) AS current_std
+FROM t JOIN s USING (feature) CROSS JOIN (VALUES ('few'), ('whole')) c(cut)""",
 }
