@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +184,38 @@ def test_report_has_every_section(spark, weather):
     assert sections == {"shape", "missing", "numeric", "outliers", "top_pairs", "temporal"}
     frequency = report.filter("section = 'temporal' AND measure = 'frequency'").first()
     assert frequency["text"] == "h"
+
+
+@pytest.mark.parametrize(
+    "freq", ["MS", "ME", "QS-OCT", "QS-NOV", "QE-DEC", "YS-JAN", "YS-APR", "YE-JUN", "W-MON", "W-SUN", "2W-TUE", "B", "2MS", "D", "3D", "h", "15min", "2YS-JAN"],
+)
+def test_frequencies_are_named_as_pandas_names_them(spark, freq):
+    import pandas as pd
+
+    times = pd.date_range("2021-01-05 06:00", periods=12, freq=freq)
+    df = spark.createDataFrame([(t.to_pydatetime(),) for t in times], "t timestamp_ntz")
+    inferred = pd.infer_freq(times)
+    found = profile.temporal(df.repartition(3), "t").first()["frequency"]
+    # The quarters that begin in January are also those that begin in October.
+    assert found == inferred or (inferred[:2] == found[:2] and inferred[:1] == "Q")
+
+
+@pytest.mark.parametrize("days", [["2024-01-01", "2024-02-01", "2024-02-01"], ["2024-01-31", "2024-02-28", "2024-03-31"], ["2024-01-01", "2024-02-01", "2024-04-01"]])
+def test_broken_calendars_are_irregular(spark, days):
+    df = spark.createDataFrame([(d,) for d in days], "d string").selectExpr("cast(d as timestamp_ntz) t")
+    assert profile.temporal(df, "t").first()["frequency"] == "irregular"
+
+
+def test_correlations_take_one_pass_without_copies_of_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4)) * [1, 1e-3, 5, 0] + [0, 1e6, -3, 7.1]
+    x[:, 2] += 3 * x[:, 0]
+    x[rng.random(x.shape) < 0.2] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], "a double, b double, c double, d double")
+    found = profile.correlation_matrix(df.repartition(5))
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r["column_a"], r["column_b"]): r["correlation"] for r in found.collect()}
+    want = pd.DataFrame(x, columns=list("abcd")).corr()
+    assert len(got) == 16
+    for (a, b), r in got.items():
+        assert r is None if "d" in (a, b) else r == pytest.approx(want.loc[a, b], abs=6e-5)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import (
+    clean,
     clock_micros,
     normalise_missing,
     numeric_columns,
@@ -168,25 +172,58 @@ def outliers(
     ).select(_named(present), "outliers", "percent", "lower_bound", "upper_bound")
 
 
-def _pair_correlations(
-    df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[int, int]]
-) -> DataFrame:
-    entries = ", ".join(
-        f"struct({i} AS pos_a, {j} AS pos_b, {_cell(columns[i])} AS a, {_cell(columns[j])} AS b)"
-        for i, j in pairs
-    )
-    both = df.select(F.expr(f"inline(array({entries}))"))
-    # Spread of each side over the rows that have both; corr() fails on a constant side.
-    spread_a = F.var_pop(F.when(F.col("b").isNotNull(), F.col("a")))
-    spread_b = F.var_pop(F.when(F.col("a").isNotNull(), F.col("b")))
-    r = F.try_divide(F.covar_pop("a", "b"), F.sqrt(spread_a) * F.sqrt(spread_b))
+_GRAM = "pos_a int, pos_b int, n long, sum_a double, sum_b double, square_a double, square_b double, product double"
+# Of the mean square: variances below it are rounding, the column is constant.
+_FLAT = 1e-13
+
+
+def _gram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sums over the rows where both columns of a pair are set, for every ordered pair.
+
+    A batch of rows is a matrix of values less the column means and a matrix of what is set;
+    their products are the sums of all pairs at once, and only these leave a task.
+    """
+    values = df.select(*[clean(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = values.agg(*[F.avg(c).alias(c) for c in values.columns]).first()
+    shift = np.array([0.0 if m is None else m for m in means])
+    size = len(columns)
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(size)]) - shift
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            sums, squares = x.T @ there, (x * x).T @ there
+            new = np.array([there.T @ there, sums, sums.T, squares, squares.T, x.T @ x])
+            total = new if total is None else total + new
+        if total is not None:
+            a, b = np.indices((size, size), dtype=np.int32).reshape(2, -1)
+            flat = total.reshape(len(total), -1)
+            names = [c.split()[0] for c in _GRAM.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, flat[0].astype(np.int64), *flat[1:])], names)
+
+    parts = values.mapInArrow(run, _GRAM)
+    return parts.groupBy("pos_a", "pos_b").agg(*[F.sum(c).alias(c) for c in parts.columns[2:]])
+
+
+def _pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Correlation of every ordered pair of columns, each with itself too."""
+
+    def spread(side: str) -> Column:
+        square = F.col(f"square_{side}") / F.col("n")
+        mean = F.col(f"sum_{side}") / F.col("n")
+        return F.when(square - mean * mean > _FLAT * square, square - mean * mean)
+
+    covariance = F.col("product") / F.col("n") - F.col("sum_a") / F.col("n") * (F.col("sum_b") / F.col("n"))
+    r = F.try_divide(covariance, F.sqrt(spread("a")) * F.sqrt(spread("b")))
     names = F.array(*map(F.lit, columns))
-    return both.groupBy("pos_a", "pos_b").agg(F.round(r, 4).alias("correlation")).select(
+    return _gram(df, columns).select(
         "pos_a",
         "pos_b",
         F.element_at(names, F.col("pos_a") + 1).alias("column_a"),
         F.element_at(names, F.col("pos_b") + 1).alias("column_b"),
-        "correlation",
+        F.when(F.col("n") > 0, F.round(r, 4)).alias("correlation"),
     )
 
 
@@ -197,12 +234,11 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     columns. A constant column has no correlation (NULL).
     """
     columns = list(columns or numeric_columns(df))
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    if not pairs:
+    if len(columns) < 2:
         return df.sparkSession.createDataFrame(
             [], "pos_a int, pos_b int, column_a string, column_b string, correlation double"
         )
-    return _pair_correlations(df, columns, pairs)
+    return _pair_correlations(df, columns).filter("pos_a < pos_b")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -210,16 +246,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     columns = list(columns or numeric_columns(df))
     if len(columns) < 2:
         return correlations(df, columns).select("column_a", "column_b", "correlation")
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    upper = _pair_correlations(df, columns, pairs)
-    entry = lambda a, b: F.struct(
-        F.col(a).alias("column_a"), F.col(b).alias("column_b"), F.col("correlation")
-    )
-    here, mirrored = entry("column_a", "column_b"), entry("column_b", "column_a")
-    sides = F.when(F.col("pos_a") == F.col("pos_b"), F.array(here)).otherwise(
-        F.array(here, mirrored)
-    )
-    return upper.select(F.inline(sides))
+    return _pair_correlations(df, columns).select("column_a", "column_b", "correlation")
 
 
 def top_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:
@@ -275,31 +302,43 @@ def temporal(
 ) -> DataFrame:
     """One row: first and last timestamp, whole days between, frequency, gaps.
 
-    ``frequency`` is the constant step as a multiple of D, h, min, s, ms or us,
-    "irregular" without one, and NULL below three rows.
+    ``frequency`` is a step of the calendar (see :func:`calendar_label`) or else the constant step
+    as a multiple of D, h, min, s, ms or us; "irregular" without one, and NULL below three rows.
     """
     spark = df.sparkSession
     ts = F.col(f"`{time_column}`")
     times = df.select(ts.alias("_ts"), _micros(df, time_column).alias("_t")).filter(
         "_t IS NOT NULL"
     )
+    month = F.year("_ts") * 12 + F.month("_ts") - 1
+    time_of_day = F.pmod(F.col("_t"), F.lit(_DAY_MICROS))
     span = times.agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_ts").alias("start"),
         F.max("_ts").alias("end"),
         F.min("_t").alias("lo"),
         F.max("_t").alias("hi"),
+        F.min(month).alias("first_month"),
+        F.max(month).alias("last_month"),
+        (F.min(time_of_day) == F.max(time_of_day)).alias("daily"),
+        F.bool_and(F.dayofmonth("_ts") == 1).alias("starts"),
+        F.bool_and(F.col("_ts").cast("date") == F.last_day("_ts")).alias("ends"),
+        F.bool_and(F.weekday("_ts") < 5).alias("workdays"),
     ).first()
     frequency = None
     if span["n"] >= 3:
-        frequency = "irregular"
         step, rest = divmod(span["hi"] - span["lo"], span["n"] - 1)
-        if rest == 0 and step > 0:
-            # n timestamps on the grid lo, lo+step, .. hi: regular if none repeats.
-            on_grid = (F.col("_t") - F.lit(span["lo"])) % F.lit(step) == 0
-            if times.filter(~on_grid).isEmpty():
-                if times.select("_t").distinct().count() == span["n"]:
-                    frequency = step_label(step)
+        months, odd = divmod(span["last_month"] - span["first_month"], span["n"] - 1)
+        # n different timestamps on a grid of n places: regular.
+        on_steps = F.lit(False) if rest or not step else (F.col("_t") - F.lit(span["lo"])) % F.lit(step) == 0
+        on_months = F.lit(False) if odd or not months else (month - F.lit(span["first_month"])) % F.lit(months) == 0
+        grid = times.agg(
+            F.count_distinct("_t").alias("distinct"), F.bool_and(on_steps).alias("steps"), F.bool_and(on_months).alias("months")
+        ).first()
+        frequency = "irregular"
+        if grid["distinct"] == span["n"]:
+            named = calendar_label(span, step if grid["steps"] else None, months if grid["months"] else None)
+            frequency = named or (step_label(step) if grid["steps"] else frequency)
     days = None if span["n"] == 0 else (span["hi"] - span["lo"]) // _DAY_MICROS
     schema = T.StructType(
         [
@@ -316,6 +355,41 @@ def temporal(
     )
 
 
+_WEEKDAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
+_MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
+
+
+def calendar_label(span: Mapping[str, Any], step: int | None, months: int | None) -> str | None:
+    """Name of a calendar step at one time of day, None where there is none.
+
+    MS, QS and YS count months, quarters and years from the first day of a month, ME, QE and YE
+    from the last one; quarters are named by the last month of the year that they begin or end in,
+    years by their month. W names weeks by their day, and B is every Monday to Friday.
+    """
+    if not span["daily"]:
+        return None
+    if months and (span["starts"] or span["ends"]):
+        side, at = ("S" if span["starts"] else "E"), span["first_month"] % 12
+        if months % 12 == 0:
+            return _counted(months // 12, f"Y{side}-{_MONTHS[at]}")
+        if months % 3 == 0:
+            return _counted(months // 3, f"Q{side}-{_MONTHS[9 + at % 3]}")
+        return _counted(months, f"M{side}")
+    start = span["lo"] // _DAY_MICROS
+    if step and step % (7 * _DAY_MICROS) == 0:
+        return _counted(step // (7 * _DAY_MICROS), f"W-{_WEEKDAYS[(start + 3) % 7]}")  # 1970-01-01 was a Thursday
+    days = [d for d in range(7) if (start + d + 3) % 7 < 5]
+    length = (span["hi"] - span["lo"]) // _DAY_MICROS + 1
+    working = length // 7 * 5 + sum(d < length % 7 for d in days)
+    if not step and span["workdays"] and working == span["n"]:
+        return "B"
+    return None
+
+
+def _counted(count: int, name: str) -> str:
+    return name if count == 1 else f"{count}{name}"
+
+
 def step_label(micros: int) -> str:
     """Name of a constant time step: the largest unit that divides it."""
     units = [

@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.sources.claims import claim_number
+
 REGISTRY_EVENTS = (
     "event_ts timestamp_ntz, seq long, kind string, version int, model_path string, "
     "metrics map<string,double>, training_info map<string,string>"
@@ -114,7 +116,7 @@ def metric_series(events: DataFrame) -> DataFrame:
 
 
 class ModelRegistry:
-    """Registry events stored as parquet below ``path``; one writer at a time."""
+    """Registry events stored as parquet below ``path``; versions and places are claimed."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -125,10 +127,10 @@ class ModelRegistry:
         except AnalysisException:
             return self.spark.createDataFrame([], REGISTRY_EVENTS)
 
-    def next_version(self) -> int:
-        """Version that the next :meth:`register` will take."""
+    def claim_version(self) -> int:
+        """A version number that no other writer gets, for :meth:`register`."""
         last = self.events().filter("kind = 'register'").agg(F.max("version")).first()[0]
-        return (last or 0) + 1
+        return claim_number(self.spark, self.path, "version=", last or 0)
 
     def register(
         self,
@@ -136,9 +138,10 @@ class ModelRegistry:
         metrics: Mapping[str, float],
         training_info: Mapping[str, str] | None = None,
         at: datetime | None = None,
+        version: int | None = None,
     ) -> int:
-        """Append a version; only the first one becomes production by itself."""
-        version = self.next_version()
+        """Append a version, by default a new one; only the first one becomes production by itself."""
+        version = self.claim_version() if version is None else version
         info = {k: str(v) for k, v in (training_info or {}).items()}
         self._append("register", version, model_path, dict(metrics), info, at)
         return version
@@ -151,7 +154,7 @@ class ModelRegistry:
         self._append("promote", version, None, None, None, at)
 
     def _append(self, kind, version, model_path, metrics, info, at) -> None:
-        seq = (self.events().agg(F.max("seq")).first()[0] or 0) + 1
+        seq = claim_number(self.spark, self.path, "seq=", self.events().agg(F.max("seq")).first()[0] or 0)
         row = (at or datetime.now(), seq, kind, version, model_path, metrics, info)
         self.spark.createDataFrame([row], REGISTRY_EVENTS).coalesce(1).write.mode(
             "append"

@@ -128,6 +128,27 @@ def prof_temporal(spark, sf_dir):
     )
 
 
+def prof_calendar(spark, sf_dir):
+    """Days of shipping cut to months, quarters, years, weeks and working days."""
+    day = F.col("l_shipdate")
+    lines_ = table(spark, sf_dir, "lineitem").select(day)
+    cuts = {
+        "months": F.date_trunc("month", day),
+        "month ends": F.last_day(day),
+        "quarters": F.date_trunc("quarter", day),
+        "years": F.date_trunc("year", day),
+        "weeks": F.date_trunc("week", day),
+        "working days": F.when(F.weekday(day) < 5, day),
+        "odd days": F.when(F.dayofmonth(day) % 2 == 1, day),
+    }
+    found = None
+    for name, cut in cuts.items():
+        series = lines_.select(cut.cast("timestamp_ntz").alias("t")).distinct()
+        row = profile.temporal(series, "t").select(F.lit(name).alias("series"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 def prof_gaps(spark, sf_dir):
     return profile.gaps(table(spark, sf_dir, "events"), "ts", ["user_id"], 6 * 3600)
 
@@ -340,6 +361,7 @@ QUERIES = {
     "prof_corr": prof_corr,
     "prof_corr_top": prof_corr_top,
     "prof_temporal": prof_temporal,
+    "prof_calendar": prof_calendar,
     "prof_gaps": prof_gaps,
     "prof_report": prof_report,
 }
@@ -376,6 +398,28 @@ FROM f""",
     + _temporal_select("orders", "orders", "o_orderdate", 7200)
     + " UNION ALL "
     + _temporal_select("days", "(SELECT DISTINCT o_orderdate FROM orders)", "o_orderdate", 7200),
+    "prof_calendar": """
+WITH s AS (
+  SELECT DISTINCT series, t FROM (
+    SELECT unnest(['months', 'month ends', 'quarters', 'years', 'weeks', 'working days', 'odd days']) AS series,
+           unnest([date_trunc('month', l_shipdate)::TIMESTAMP, last_day(l_shipdate)::TIMESTAMP,
+                   date_trunc('quarter', l_shipdate)::TIMESTAMP, date_trunc('year', l_shipdate)::TIMESTAMP,
+                   date_trunc('week', l_shipdate)::TIMESTAMP,
+                   CASE WHEN isodow(l_shipdate) < 6 THEN l_shipdate::TIMESTAMP END,
+                   CASE WHEN day(l_shipdate) % 2 = 1 THEN l_shipdate::TIMESTAMP END]) AS t
+    FROM lineitem) WHERE t IS NOT NULL),
+l AS (SELECT series, t, lag(t) OVER (PARTITION BY series ORDER BY t) AS l FROM s)
+SELECT series, min(t) AS start, max(t) AS "end", date_diff('day', min(t), max(t)) AS duration_days,
+       CASE WHEN count(*) < 3 THEN NULL
+            WHEN bool_and(day(t) = 1 AND month(t) = 1) AND bool_and(t = l + INTERVAL 1 YEAR) THEN 'YS-JAN'
+            WHEN bool_and(day(t) = 1 AND month(t) IN (1, 4, 7, 10)) AND bool_and(t = l + INTERVAL 3 MONTH) THEN 'QS-OCT'
+            WHEN bool_and(day(t) = 1) AND bool_and(t = l + INTERVAL 1 MONTH) THEN 'MS'
+            WHEN bool_and(t = last_day(t)) AND bool_and(t = last_day(l + INTERVAL 1 DAY)) THEN 'ME'
+            WHEN bool_and(isodow(t) = 1) AND bool_and(t = l + INTERVAL 7 DAY) THEN 'W-MON'
+            WHEN bool_and(isodow(t) < 6) AND bool_and(t = l + CASE isodow(l) WHEN 5 THEN INTERVAL 3 DAY ELSE INTERVAL 1 DAY END) THEN 'B'
+            ELSE 'irregular' END AS frequency,
+       count(*) FILTER (epoch_us(t) - epoch_us(l) > 7200000000) AS gaps
+FROM l GROUP BY series""",
     "prof_gaps": """
 SELECT user_id, count(*) FILTER (d > 21600000000) AS gaps FROM (
   SELECT user_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) AS d FROM events)
