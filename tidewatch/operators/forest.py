@@ -441,7 +441,10 @@ def _groups(rows: DataFrame, kinds: Sequence[Kind], trees: int, tops: dict, coun
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    # As many partitions as groups of all kinds at once: coalescing by size would line up
+    # trees behind each other, as their rows are few for the time that they take.
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartition(max(least, len(small) * -(-trees // together)), "fold", "kind", "tree", "node")
 
 
 def _plan(rows: DataFrame, kinds: Sequence[Kind], trees: int, cuts: Sequence[np.ndarray], seed: int, params: Params, depth: int, cells: int):

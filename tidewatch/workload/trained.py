@@ -161,6 +161,19 @@ def tr_perm(spark, sf_dir):
     return importance.permutation_importance(rest, model, features, "value", ORDER, repeats=5)
 
 
+def tr_perm_pair(spark, sf_dir):
+    """A tree of two levels over two features, which SQL can find and permute as well: rows take
+    the feature of the row a third, and a seventh, of the table further on."""
+    rows = hourly(spark, sf_dir).join(
+        table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 10).cast("double").alias("digit")), "event_id"
+    )
+    first, rest = evaluate.temporal_split(rows, ORDER)
+    model = train.fit_forest(first, ["hour", "digit"], "value", {**STUMP, "maxDepth": 2})
+    return importance.permutation_importance(
+        rest, model, ["hour", "digit"], "value", ORDER, permutations=lambda n: [(1, n // 3), (1, n // 7)]
+    )
+
+
 def tr_rank(spark, sf_dir):
     """Brands ranked by mean price and by mean size; brands of small parts lack the price."""
     by_brand = (
@@ -221,6 +234,43 @@ scored AS (SELECT event_id, ts, value, CASE WHEN x <= t THEN low ELSE high END A
            FROM n CROSS JOIN best WHERE i >= floor(total * (1 - 0.2::DOUBLE)))"""
 
 
+def _best_sql(rows: str, name: str) -> str:
+    """``name``: feature, threshold and means of the best split of each node of ``rows`` (node, f, x, y)."""
+    return f"""
+{name}_cuts AS (SELECT node, f, (x + lead(x) OVER (PARTITION BY node, f ORDER BY x)) / 2 AS t
+                FROM (SELECT DISTINCT node, f, x FROM {rows})),
+{name}_splits AS (
+  SELECT node, f, t, avg(y) FILTER (x <= t) AS low, avg(y) FILTER (x > t) AS high,
+         count(*) FILTER (x <= t) * var_pop(y) FILTER (x <= t)
+         + count(*) FILTER (x > t) * var_pop(y) FILTER (x > t) AS cost
+  FROM {rows} JOIN {name}_cuts USING (node, f) WHERE t IS NOT NULL GROUP BY node, f, t),
+{name} AS (SELECT node, arg_min(f, cost) AS f, arg_min(t, cost) AS t, arg_min(low, cost) AS low,
+                  arg_min(high, cost) AS high FROM {name}_splits GROUP BY node)"""
+
+
+_PAIR_SQL = f"""
+WITH n AS (
+  SELECT value AS y, [hour(ts)::DOUBLE, (user_id % 10)::DOUBLE] AS v,
+         row_number() OVER (ORDER BY ts, event_id) - 1 AS i, count(*) OVER () AS total FROM events),
+early AS (SELECT * FROM n WHERE i < floor(total * (1 - 0.2::DOUBLE))),
+late AS (SELECT y, v, i - min(i) OVER () AS p, count(*) OVER () AS m FROM n WHERE i >= floor(total * (1 - 0.2::DOUBLE))),
+tops AS (SELECT y, v, 0 AS node, unnest([1, 2]) AS f, unnest(v) AS x FROM early),
+{_best_sql("tops", "top")},
+kids AS (SELECT e.y, e.v, CAST(e.v[top.f] > top.t AS INTEGER) AS node, unnest([1, 2]) AS f, unnest(e.v) AS x FROM early e CROSS JOIN top),
+{_best_sql("kids", "kid")},
+tried AS (
+  SELECT r, c, a.y, CASE c WHEN 0 THEN a.v WHEN 1 THEN [b.v[1], a.v[2]] ELSE [a.v[1], b.v[2]] END AS v
+  FROM late a CROSS JOIN (VALUES (3), (7)) w(r) JOIN late b ON b.p = (a.p + a.m // r) % a.m
+  CROSS JOIN (VALUES (0), (1), (2)) z(c)),
+errors AS (
+  SELECT r, c, avg(abs(y - CASE WHEN v[kid.f] <= kid.t THEN kid.low ELSE kid.high END)) AS e
+  FROM tried CROSS JOIN top JOIN kid ON kid.node = CAST(v[top.f] > top.t AS INTEGER) GROUP BY r, c),
+rises AS (SELECT a.c, a.e - b.e AS rise FROM errors a JOIN errors b ON a.r = b.r AND b.c = 0 WHERE a.c > 0)
+SELECT CAST(c - 1 AS INTEGER) AS ordinal, ['hour', 'digit'][c] AS feature, round(avg(rise), 6) AS perm_mean,
+       round(stddev_pop(rise), 6) AS perm_std
+FROM rises GROUP BY c"""
+
+
 def _metrics_sql(condition: str) -> str:
     return f"""
 WITH g AS (
@@ -250,6 +300,7 @@ QUERIES = {
     "tr_spread": tr_spread,
     "tr_importance": tr_importance,
     "tr_perm": tr_perm,
+    "tr_perm_pair": tr_perm_pair,
     "tr_rank": tr_rank,
 }
 
@@ -274,6 +325,7 @@ early AS (SELECT fold, x, value AS y FROM f WHERE i < lo),
 SELECT 0 AS combination, CAST(fold AS INTEGER) AS fold,
        round(avg(abs(value - CASE WHEN x <= t THEN low ELSE high END)), 6) AS mae
 FROM f JOIN best USING (fold) WHERE i >= lo AND i < hi GROUP BY fold""",
+    "tr_perm_pair": _PAIR_SQL,
     "tr_rank": """
 WITH b AS (
   SELECT CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) AS ordinal, p_brand AS feature,
