@@ -130,24 +130,32 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, least: int, depth: int
     """
     there = np.flatnonzero(w > 0)
     bins, y, w = bins[there], y[there], w[there].astype(np.float64)
-    n, count = bins.shape
+    n = len(bins)
     order = np.argsort(bins, axis=0, kind="stable").T.astype(np.int32)  # a row of places per feature
+    by_column = np.ascontiguousarray(bins.T)
+    sorted_bins = np.take_along_axis(by_column, order, axis=1)
     edges = np.array([0, n])  # of the nodes of the level, in each feature's order
     out: list[list[np.ndarray]] = [[] for _ in Tree.COLUMNS]
     done, level = 0, 0  # nodes of earlier levels
-    by_column = np.ascontiguousarray(bins.T)
     while n and len(edges) > 1:
         nodes = len(edges) - 1
         sizes = np.diff(edges)
+        node = np.repeat(np.arange(nodes), sizes)
         first = order[0]
-        weight = np.add.reduceat(w[first], edges[:-1])
-        mean = np.add.reduceat((w * y)[first], edges[:-1]) / weight
-        centred = np.zeros(n)
-        centred[first] = y[first] - np.repeat(mean, sizes)
-        error = np.add.reduceat((w * centred * centred)[first], edges[:-1])
+        weights, targets = w[first], y[first]
+        weight = np.add.reduceat(weights, edges[:-1])
+        mean = np.add.reduceat(weights * targets, edges[:-1]) / weight
+        offset = targets - mean[node]
         feature, cut, gain = np.full(nodes, -1), np.zeros(nodes, np.int64), np.zeros(nodes)
         if level < depth:
-            feature, cut, gain = _best_splits(by_column, order, edges, w, centred, weight, error, least)
+            error = np.add.reduceat(weights * offset * offset, edges[:-1])
+            # Weight and weighted offset of a row, so that one running sum serves both.
+            pair = np.zeros(len(w), np.complex128)
+            pair[first] = weights + 1j * weights * offset
+            best = np.zeros(nodes), np.full(nodes, -1), np.zeros(nodes, np.int64)
+            for some in _slices(len(order), len(node)):
+                _better_splits(best, some.start, sorted_bins[some], pair[order[some]], node, edges, weight, error, least)
+            gain, feature, cut = best
         inner = feature >= 0
         children = done + nodes + 2 * (np.cumsum(inner) - 1)
         for column, values in zip(
@@ -158,78 +166,72 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, least: int, depth: int
         if not inner.any():
             break
         # Rows of split nodes go on, the left ones of a node before the right ones.
-        node = np.repeat(np.arange(nodes), sizes)
-        goes = np.zeros(len(w), bool)
         stays = inner[node]
-        row = first[stays]
-        at = node[stays]
-        goes[row] = by_column[feature[at], row] > cut[at]
-        order = order[:, stays]
-        right = goes[order]
-        new = np.cumsum(inner) - 1
-        child = 2 * new[at] + right
-        sizes = np.bincount(child[0], minlength=2 * int(inner.sum()))
+        at, row = node[stays], first[stays]
+        child = 2 * (np.cumsum(inner) - 1)
+        goes = np.zeros(len(w), np.uint16 if 2 * inner.sum() < 1 << 16 else np.int32)
+        goes[row] = child[at] + (by_column[feature[at], row] > cut[at])
+        sizes = np.bincount(goes[row], minlength=2 * int(inner.sum()))
         edges = np.concatenate(([0], np.cumsum(sizes)))
-        # A stable sort by child: the place within the child is a running count.
-        lefts = np.cumsum(~right, axis=1)
-        start = np.concatenate(([0], np.cumsum(sizes[0::2] + sizes[1::2])))[new[at]]
-        base_left = np.where(start > 0, np.take_along_axis(lefts, np.maximum(start - 1, 0)[None, :].repeat(count, 0), 1), 0)
-        left_rank = lefts - base_left - 1
-        right_rank = np.arange(order.shape[1]) - start - (left_rank + 1)
-        place = edges[child] + np.where(right, right_rank, left_rank)
-        moved = np.empty_like(order)
-        np.put_along_axis(moved, place, order, axis=1)
-        order = moved
+        moved = np.empty((len(order), len(row)), order.dtype), np.empty((len(order), len(row)), sorted_bins.dtype)
+        for some in _slices(len(order), len(row)):
+            kept = order[some][:, stays]
+            place = np.argsort(goes[kept], axis=1, kind="stable")
+            moved[0][some] = np.take_along_axis(kept, place, axis=1)
+            moved[1][some] = np.take_along_axis(sorted_bins[some][:, stays], place, axis=1)
+        order, sorted_bins = moved
     columns = [np.concatenate(c) if c else np.empty(0) for c in out]
     if not done:  # no row at all
         columns = [np.array([x]) for x in (-1, 0, -1, 0.0, 0, 0.0, base)]
     return Tree(*columns)
 
 
-def _best_splits(
-    by_column: np.ndarray, order: np.ndarray, edges: np.ndarray, w: np.ndarray,
-    centred: np.ndarray, weight: np.ndarray, error: np.ndarray, least: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature, bin and gain of each node's best split; feature -1 where none helps."""
+def _slices(features: int, rows: int) -> Iterator[slice]:
+    """Features to work on at a time, so that what they need stays in the cache."""
+    step = max(1, (1 << 15) // max(1, rows))
+    for i in range(0, features, step):
+        yield slice(i, min(features, i + step))
+
+
+def _better_splits(
+    found: tuple[np.ndarray, np.ndarray, np.ndarray], offset: int, bins: np.ndarray, pairs: np.ndarray,
+    node: np.ndarray, edges: np.ndarray, weight: np.ndarray, error: np.ndarray, least: int,
+) -> None:
+    """Put better splits of the features from ``offset`` on into ``found``: gain, feature and bin
+    of each node's best split so far, feature -1 where none helps.
+
+    ``bins`` and ``pairs`` (weight, weighted offset from the node's mean) have a row per feature in
+    the order of node and bin.
+    """
+    best, feature, cut = found
     nodes = len(edges) - 1
-    sizes = np.diff(edges)
-    node = np.repeat(np.arange(nodes), sizes)
-    best = np.zeros(nodes)
-    feature, cut = np.full(nodes, -1), np.zeros(nodes, np.int64)
-    last = np.zeros(len(node), bool)
-    last[edges[1:] - 1] = True
-    floor = NO_GAIN * error
-    wy = w * centred
-    for f in range(len(order)):
-        row = order[f]
-        b = by_column[f, row]
-        border = np.flatnonzero(np.append(b[1:] != b[:-1], False) & ~last)
-        if not len(border):
-            continue
-        of = node[border]
-        below = np.cumsum(w[row])
-        total = np.cumsum(wy[row])
-        start = edges[of] - 1
-        wl = below[border] - np.where(start >= 0, below[start], 0.0)
-        sl = total[border] - np.where(start >= 0, total[start], 0.0)
-        wr = weight[of] - wl
-        good = (wl >= least) & (wr >= least)
-        if not good.any():
-            continue
-        border, of, wl, wr, sl = border[good], of[good], wl[good], wr[good], sl[good]
-        gain = sl * sl * (weight[of] / (wl * wr))
-        firsts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-        top = np.maximum.reduceat(gain, firsts)
-        here = of[firsts]
-        better = top > np.maximum(best[here] * (1 + 1e-12), floor[here])
-        if not better.any():
-            continue
-        group = np.cumsum(np.append(True, of[1:] != of[:-1])) - 1
-        hit = np.flatnonzero(gain >= top[group] * (1 - 1e-12))
-        lead = hit[np.append(True, group[hit][1:] != group[hit][:-1])]
-        at = here[better]
-        best[at], feature[at], cut[at] = top[better], f, b[border[lead[better]]]
-    return feature, cut, best
+    border = bins[:, 1:] != bins[:, :-1]
+    border[:, edges[1:-1] - 1] = False
+    f, at = np.nonzero(border)
+    if not len(f):
+        return
+    total = np.cumsum(pairs, axis=1)
+    of = node[at]
+    start = edges[of]
+    sums = total[f, at] - np.where(start > 0, total[f, start - 1], 0.0)
+    wl, sl = sums.real, sums.imag
+    wr = weight[of] - wl
+    good = (wl >= least) & (wr >= least)
+    if not good.all():
+        f, at, of, wl, wr, sl = (x[good] for x in (f, at, of, wl, wr, sl))
+        if not len(f):
+            return
+    gain = sl * sl * (weight[of] / (wl * wr))
+    group = f * nodes + of
+    firsts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    tops = np.zeros((len(bins), nodes))
+    tops.ravel()[group[firsts]] = np.maximum.reduceat(gain, firsts)
+    for j, top in enumerate(tops):
+        better = top > np.maximum(best * (1 + 1e-12), NO_GAIN * error)
+        best[better], feature[better] = top[better], offset + j
+    hit = np.flatnonzero((feature[of] == f + offset) & (gain >= best[of] * (1 - 1e-12)))
+    split, lead = np.unique(of[hit], return_index=True)  # the first hit of a node has its lowest bin
+    cut[split] = bins[f[hit[lead]], at[hit[lead]]]
 
 
 # ---- Rows
