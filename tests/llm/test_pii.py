@@ -1,6 +1,8 @@
 import hashlib
 import random
 import re
+import time
+from types import SimpleNamespace
 
 import numpy as np
 from tests.conftest import SF
@@ -100,3 +102,41 @@ def test_odd_rows(spark):
     out = docs.select(pii.detected(F.col("text"), trained).alias("s")).collect()
     assert len(out) == 10 and not any(r["s"] for r in out)
     assert pii.train(docs.limit(0)).weights == {}
+
+
+def seconds(call, *given):
+    started = time.perf_counter()
+    call(*given)
+    return time.perf_counter() - started
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    """A long log of addresses and numbers: twice the text, about twice the time."""
+    learned = model()
+    line = "from a.{}@mail.example.com at 10.2.{}.7 call +1 (269) 555-3296 4524132264652876\n"
+    text = lambda n: "".join(line.format(i, i % 255) for i in range(n))
+    pii.found(text(200), learned)
+    small, large = text(7_000), text(14_000)
+    assert len(large) > 1_000_000
+    assert seconds(pii.found, large, learned) < 3.2 * min(seconds(pii.found, small, learned) for _ in range(2)) + 0.2
+
+
+def test_selection_of_spans_equals_the_plain_one(monkeypatch):
+    """Longest first, none that overlaps another."""
+    draw = random.Random(6)
+
+    class Every:
+        def accepts(self, _):
+            return True
+
+    for _ in range(200):
+        spans = [(a, a + draw.randint(1, 12)) for a in (draw.randrange(60) for _ in range(draw.randint(0, 14)))]
+        sure = {k: [] for k in pii.KINDS} | {pii.KINDS[0]: spans[:3]}
+        others = [SimpleNamespace(kind=pii.KINDS[-1], start=a, end=b) for a, b in spans[3:]]
+        monkeypatch.setattr(pii, "base", lambda _, sure=sure: sure)
+        monkeypatch.setattr(pii, "candidates", lambda _, others=others: others)
+        taken = list(spans[:3])
+        for a, b in sorted(spans[3:], key=lambda s: (s[0] - s[1], s[0])):
+            if not any(x < b and a < y for x, y in taken):
+                taken.append((a, b))
+        assert sorted((a, b) for _, a, b in pii.found("", Every())[1]) == sorted(taken)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 from tests.conftest import SF
@@ -104,3 +105,23 @@ def test_private_keys_go_whole():
     assert rule.spans(two) == [(0, len(keys[0])), (len(keys[0]) + 1, len(two))]
     plain = secrets.Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
     assert secrets.query(rule) == secrets.query(plain)
+
+
+def test_long_runs_of_token_starts_take_linear_time():
+    rule = next(r for r in secrets.RULES if r.kind == "jwt")
+    text = lambda n: "eyJ" * n + " .eyJ " + "eyJabcdefgh." * n
+    list(rule.spans(text(1000)))
+
+    def seconds(n):
+        started = time.perf_counter()
+        list(rule.spans(text(n)))
+        return time.perf_counter() - started
+
+    assert len(text(140_000)) > 2_000_000
+    assert seconds(140_000) < 3.2 * min(seconds(70_000) for _ in range(3)) + 0.2
+
+
+def test_tokens_begin_at_a_boundary():
+    token = "eyJhbGciOiJI.eyJzdWIiOiIx.abc-_9"
+    rule = next(r for r in secrets.RULES if r.kind == "jwt")
+    assert list(rule.spans(f"x {token}, a{token}")) == [(2, 2 + len(token))]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -294,16 +295,30 @@ def train(docs: DataFrame) -> Model:
     return learn([tuple(r) for r in vote_counts(docs).collect()])
 
 
+def _covered(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that the spans cover, in order."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def found(text: str, model: Model) -> tuple[dict[str, list[Span]], list[tuple[str, int, int]]]:
     """Base spans by kind, and all spans by kind as listed, then start."""
     sure = base(text)
     out = [(kind, a, b) for kind in KINDS for a, b in sure[kind]]
     accepted = [c for c in candidates(text) if model.accepts(c)]
-    taken = [(a, b) for _, a, b in out]
+    starts, ends = _covered([(a, b) for _, a, b in out])
     for c in sorted(accepted, key=lambda c: (c.start - c.end, c.start, c.kind)):  # longest first
-        if not any(a < c.end and c.start < b for a, b in taken):
+        at = bisect_left(starts, c.end)
+        if not at or ends[at - 1] <= c.start:
             out.append((c.kind, c.start, c.end))
-            taken.append((c.start, c.end))
+            starts.insert(at, c.start)
+            ends.insert(at, c.end)
     return sure, sorted(out, key=lambda s: (KINDS.index(s[0]), s[1:]))
 
 
