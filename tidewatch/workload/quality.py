@@ -128,6 +128,17 @@ def prof_temporal(spark, sf_dir):
     )
 
 
+def val_preset(spark, sf_dir):
+    """Line items as hourly weather, checked by the rules of the weather preset."""
+    weather = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") * 2 - 30).alias("temperature_2m"),
+        (F.col("l_discount") * 1000).alias("relative_humidity_2m"),
+        F.when(F.col("l_linenumber") < 4, 870 + F.col("l_tax") * 100).alias("pressure_msl"),
+        (F.col("l_extendedprice") / 100).alias("precipitation"),
+    )
+    return validate.findings(weather, presets.WEATHER_REQUIRED, presets.MAX_NULL_FRACTION, presets.WEATHER_RANGES)
+
+
 def prof_calendar(spark, sf_dir):
     """Days of shipping cut to months, quarters, years, weeks and working days."""
     day = F.col("l_shipdate")
@@ -361,6 +372,7 @@ QUERIES = {
     "prof_corr": prof_corr,
     "prof_corr_top": prof_corr_top,
     "prof_temporal": prof_temporal,
+    "val_preset": val_preset,
     "prof_calendar": prof_calendar,
     "prof_gaps": prof_gaps,
     "prof_report": prof_report,
@@ -398,6 +410,26 @@ FROM f""",
     + _temporal_select("orders", "orders", "o_orderdate", 7200)
     + " UNION ALL "
     + _temporal_select("days", "(SELECT DISTINCT o_orderdate FROM orders)", "o_orderdate", 7200),
+    "val_preset": """
+WITH w AS (
+  SELECT l_quantity * 2 - 30 AS t, l_discount * 1000 AS h, CASE WHEN l_linenumber < 4 THEN 870 + l_tax * 100 END AS p,
+         l_extendedprice / 100 AS r FROM lineitem),
+ranges AS (
+  SELECT 'temperature_2m' AS c, min(t) AS lo, max(t) AS hi, -60.0::DOUBLE AS a, 60.0::DOUBLE AS b FROM w
+  UNION ALL SELECT 'relative_humidity_2m', min(h), max(h), 0, 100 FROM w
+  UNION ALL SELECT 'pressure_msl', min(p), max(p), 870, 1084 FROM w
+  UNION ALL SELECT 'precipitation', min(r), max(r), 0, 500 FROM w),
+nulls AS (SELECT avg((p IS NULL)::INT) AS share FROM w)
+SELECT 'required' AS "check", 'wind_speed_10m' AS "column", 'error' AS severity,
+       'Missing required columns: wind_speed_10m' AS message, 1.0::DOUBLE AS observed, NULL::DOUBLE AS threshold
+UNION ALL
+SELECT 'nulls', 'pressure_msl', 'warning',
+       printf('Column ''pressure_msl'' has %.1f%% nulls (threshold: %.1f%%)', share * 100, 10.0::DOUBLE),
+       round(share, 4), 0.1::DOUBLE FROM nulls WHERE share > 0.1
+UNION ALL
+SELECT 'range', c, 'warning',
+       printf('Column ''%s'' out of range: [%.4f, %.4f] vs expected [%.4f, %.4f]', c, lo, hi, a, b),
+       CASE WHEN lo < a THEN lo ELSE hi END, CASE WHEN lo < a THEN a ELSE b END FROM ranges WHERE lo < a OR hi > b""",
     "prof_calendar": """
 WITH s AS (
   SELECT DISTINCT series, t FROM (

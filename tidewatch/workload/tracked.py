@@ -6,9 +6,12 @@ for experiment runs.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidewatch.operators import registry, runs
+from tidewatch.plans.staging import fresh_path
 from tidewatch.workload.tables import table
 
 
@@ -46,6 +49,30 @@ def registry_events(spark, sf_dir):
     return suppliers.unionByName(promotions)
 
 
+def exp_record(spark, sf_dir):
+    """A run per market segment, filed and read back; the last asks for an id that is taken."""
+    log = runs.RunLog(spark, fresh_path(spark, "runs"))
+    accounts = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"), F.min("c_custkey").alias("first")
+    )
+    found = accounts.orderBy("c_mktsegment").collect()
+    for i, r in enumerate([*found, found[0]]):
+        log.append(
+            f"run_{r['c_mktsegment']}", "segments", r["n"] / 8, {"first": r["first"], "depth": None, "on": True},
+            {"balance": r["balance"], "n": r["n"]}, {"segment": r["c_mktsegment"]}, [f"a/{r['n']}"],
+            None if i else "abc123", datetime(2024, 1, 1 + i),
+        )
+    rows = log.runs()
+    value = lambda kind, key: F.try_element_at(kind, F.lit(key))
+    return rows.select(
+        "run_id", "experiment", "timestamp", "duration_seconds",
+        value("params", "first").alias("first"), value("params", "depth").alias("depth"), value("params", "on").alias("on"),
+        value("metrics", "balance").alias("balance"), value("metrics", "n").alias("n"),
+        value("tags", "run_name").alias("run_name"), value("tags", "segment").alias("segment"),
+        F.col("artifacts")[0].alias("artifact"), "git_commit",
+    )
+
+
 def reg_state(spark, sf_dir):
     state = registry.models(registry_events(spark, sf_dir))
     return state.select("version", "model_path", F.try_element_at("metrics", F.lit("mae")).alias("mae"),
@@ -175,6 +202,7 @@ FROM (SELECT count(*) AS n, {part(1)} AS a, {part(9)} AS b
 
 
 QUERIES = {
+    "exp_record": exp_record,
     "reg_state": reg_state,
     "reg_info": reg_info,
     "reg_compare": reg_compare,
@@ -189,6 +217,15 @@ QUERIES = {
 }
 
 ORACLE = {
+    "exp_record": """
+WITH s AS (
+  SELECT c_mktsegment AS segment, count(*) AS n, round(sum(c_acctbal), 2) AS balance, min(c_custkey) AS first,
+         row_number() OVER (ORDER BY c_mktsegment) - 1 AS i, count(*) OVER () AS m FROM customer GROUP BY c_mktsegment),
+r AS (SELECT *, i AS place, 'run_' || segment AS run_id FROM s UNION ALL SELECT *, m, 'run_' || segment || '_2' FROM s WHERE i = 0)
+SELECT run_id, 'segments' AS experiment, TIMESTAMP '2024-01-01' + to_days(CAST(place AS INTEGER)) AS "timestamp",
+       round(n / 8, 2) AS duration_seconds, CAST(first AS VARCHAR) AS first, 'None' AS depth, 'True' AS "on",
+       balance, n::DOUBLE AS n, run_id AS run_name, segment, 'a/' || n AS artifact,
+       CASE WHEN place = 0 THEN 'abc123' END AS git_commit FROM r""",
     "reg_state": f"""WITH {_REGISTRY_SQL}
 SELECT version, model_path, mae, name, version = (SELECT version FROM prod) AS is_production FROM reg""",
     "reg_info": f"""WITH {_REGISTRY_SQL}

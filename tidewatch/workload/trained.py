@@ -234,7 +234,7 @@ scored AS (SELECT event_id, ts, value, CASE WHEN x <= t THEN low ELSE high END A
            FROM n CROSS JOIN best WHERE i >= floor(total * (1 - 0.2::DOUBLE)))"""
 
 
-def _best_sql(rows: str, name: str) -> str:
+def best_split_sql(rows: str, name: str) -> str:
     """``name``: feature, threshold and means of the best split of each node of ``rows`` (node, f, x, y)."""
     return f"""
 {name}_cuts AS (SELECT node, f, (x + lead(x) OVER (PARTITION BY node, f ORDER BY x)) / 2 AS t
@@ -255,9 +255,9 @@ WITH n AS (
 early AS (SELECT * FROM n WHERE i < floor(total * (1 - 0.2::DOUBLE))),
 late AS (SELECT y, v, i - min(i) OVER () AS p, count(*) OVER () AS m FROM n WHERE i >= floor(total * (1 - 0.2::DOUBLE))),
 tops AS (SELECT y, v, 0 AS node, unnest([1, 2]) AS f, unnest(v) AS x FROM early),
-{_best_sql("tops", "top")},
+{best_split_sql("tops", "top")},
 kids AS (SELECT e.y, e.v, CAST(e.v[top.f] > top.t AS INTEGER) AS node, unnest([1, 2]) AS f, unnest(e.v) AS x FROM early e CROSS JOIN top),
-{_best_sql("kids", "kid")},
+{best_split_sql("kids", "kid")},
 tried AS (
   SELECT r, c, a.y, CASE c WHEN 0 THEN a.v WHEN 1 THEN [b.v[1], a.v[2]] ELSE [a.v[1], b.v[2]] END AS v
   FROM late a CROSS JOIN (VALUES (3), (7)) w(r) JOIN late b ON b.p = (a.p + a.m // r) % a.m
