@@ -58,7 +58,7 @@ def exp_record(spark, sf_dir):
     found = accounts.orderBy("c_mktsegment").collect()
     for i, r in enumerate([*found, found[0]]):
         log.append(
-            f"run_{r['c_mktsegment']}", "segments", r["n"] / 8, {"first": r["first"], "depth": None, "on": True},
+            f"run_{r['c_mktsegment']}", "segments", r["n"] / 4, {"first": r["first"], "depth": None, "on": True},
             {"balance": r["balance"], "n": r["n"]}, {"segment": r["c_mktsegment"]}, [f"a/{r['n']}"],
             None if i else "abc123", datetime(2024, 1, 1 + i),
         )
@@ -223,7 +223,7 @@ WITH s AS (
          row_number() OVER (ORDER BY c_mktsegment) - 1 AS i, count(*) OVER () AS m FROM customer GROUP BY c_mktsegment),
 r AS (SELECT *, i AS place, 'run_' || segment AS run_id FROM s UNION ALL SELECT *, m, 'run_' || segment || '_2' FROM s WHERE i = 0)
 SELECT run_id, 'segments' AS experiment, TIMESTAMP '2024-01-01' + to_days(CAST(place AS INTEGER)) AS "timestamp",
-       round(n / 8, 2) AS duration_seconds, CAST(first AS VARCHAR) AS first, 'None' AS depth, 'True' AS "on",
+       round(n / 4, 2) AS duration_seconds, CAST(first AS VARCHAR) AS first, 'None' AS depth, 'True' AS "on",
        balance, n::DOUBLE AS n, run_id AS run_name, segment, 'a/' || n AS artifact,
        CASE WHEN place = 0 THEN 'abc123' END AS git_commit FROM r""",
     "reg_state": f"""WITH {_REGISTRY_SQL}
