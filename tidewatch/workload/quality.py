@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewatch import presets
 from tidewatch.operators import profile, validate
+from tidewatch.operators.profile_state import ProfileState
+from tidewatch.plans.staging import fresh_path
 from tidewatch.workload.tables import table
 
 # Absent discount or tax is stored as 0; the checks read it as missing.
@@ -139,6 +141,15 @@ def val_preset(spark, sf_dir):
     return validate.findings(weather, presets.WEATHER_REQUIRED, presets.MAX_NULL_FRACTION, presets.WEATHER_RANGES)
 
 
+def prof_incremental(spark, sf_dir):
+    """Ten versions of the line items, each read once; what their merged states say of all."""
+    state = ProfileState(spark, fresh_path(spark, "profile"))
+    for v in range(10):
+        state.add(lines(spark, sf_dir).filter(F.col("l_orderkey") % 10 == v), f"v{v}")
+    missing = state.missing().select("column", F.col("missing").alias("nulls"), "percent")
+    return state.numeric_stats().drop("p25", "p50", "p75").join(missing, "column")
+
+
 def prof_calendar(spark, sf_dir):
     """Days of shipping cut to months, quarters, years, weeks and working days."""
     day = F.col("l_shipdate")
@@ -373,6 +384,7 @@ QUERIES = {
     "prof_corr_top": prof_corr_top,
     "prof_temporal": prof_temporal,
     "val_preset": val_preset,
+    "prof_incremental": prof_incremental,
     "prof_calendar": prof_calendar,
     "prof_gaps": prof_gaps,
     "prof_report": prof_report,
@@ -430,6 +442,14 @@ UNION ALL
 SELECT 'range', c, 'warning',
        printf('Column ''%s'' out of range: [%.4f, %.4f] vs expected [%.4f, %.4f]', c, lo, hi, a, b),
        CASE WHEN lo < a THEN lo ELSE hi END, CASE WHEN lo < a THEN a ELSE b END FROM ranges WHERE lo < a OR hi > b""",
+    "prof_incremental": f"""
+WITH lines AS ({_LINES}),
+stats AS ({" UNION ALL ".join(map(_numeric_select, LINE_NUMERIC))}),
+nulls AS ({" UNION ALL ".join(
+    f"SELECT '{c}' AS c, count(*) - count({c}) AS nulls, round((count(*) - count({c})) / count(*) * 100, 2) AS percent FROM lines"
+    for c, _ in LINE_COLUMNS
+)})
+SELECT c AS "column", s.* EXCLUDE ("column", p25, p50, p75), nulls, percent FROM nulls JOIN stats s ON s."column" = c""",
     "prof_calendar": """
 WITH s AS (
   SELECT DISTINCT series, t FROM (
