@@ -119,13 +119,13 @@ def test_blocks_of_a_large_component_get_tasks_of_their_own(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        members = spark.range(200).selectExpr("id", "array(1.0D, id / 100) v", "1L n", "0L component")
+        members = spark.range(200).selectExpr("id", "array(1.0D, id / 100) v", "1L n", "id div 1000 component")
         met = nb._held_together(members, 0.98)
         plan = met._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(component" in plan and any(
             "low#" in x and "high#" in x for x in plan.split("\n") if "Exchange hashpartitioning(component" in x
         )
-        dealt = members.withColumn("t", F.lit(0))
+        dealt = members.withColumnRenamed("component", "t")
         salted = nb._dealt_out(dealt, ["t"], 1).withColumn("bar", F.lit(-1.0))
         tasks = nb._gathered(salted, ["t", "salt"], "bar").select(F.spark_partition_id().alias("p"))
         assert len({r["p"] for r in tasks.collect()}) == 4

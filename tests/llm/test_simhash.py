@@ -100,7 +100,7 @@ def test_blocks_of_a_hot_shard_get_tasks_of_their_own(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        keyed = spark.range(200).selectExpr("id bits", "0 t", "0L k")
+        keyed = spark.range(200).selectExpr("id bits", "id div 1000 t", "id div 2000 k")
         met = sh.dealt_shards(keyed, "bits")
         plan = met._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(t#" in plan and ", high#" in plan and ", low#" in plan.split("hashpartitioning(t#")[1]
