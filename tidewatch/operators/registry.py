@@ -116,14 +116,18 @@ def metric_series(events: DataFrame) -> DataFrame:
 
 
 class ModelRegistry:
-    """Registry events stored as parquet below ``path``; versions and places are claimed."""
+    """Registry events stored as parquet below ``path``; versions and places are claimed.
+
+    Every event has a folder of its own: writers at the same time would clear each other's
+    unfinished files in a shared one.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def events(self) -> DataFrame:
         try:
-            return self.spark.read.schema(REGISTRY_EVENTS).parquet(self.path)
+            return self.spark.read.schema(REGISTRY_EVENTS).option("recursiveFileLookup", True).parquet(self.path)
         except AnalysisException:
             return self.spark.createDataFrame([], REGISTRY_EVENTS)
 
@@ -156,9 +160,7 @@ class ModelRegistry:
     def _append(self, kind, version, model_path, metrics, info, at) -> None:
         seq = claim_number(self.spark, self.path, "seq=", self.events().agg(F.max("seq")).first()[0] or 0)
         row = (at or datetime.now(), seq, kind, version, model_path, metrics, info)
-        self.spark.createDataFrame([row], REGISTRY_EVENTS).coalesce(1).write.mode(
-            "append"
-        ).parquet(self.path)
+        self.spark.createDataFrame([row], REGISTRY_EVENTS).coalesce(1).write.parquet(f"{self.path}/event={seq}")
 
     def models(self) -> DataFrame:
         return models(self.events())
