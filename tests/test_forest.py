@@ -192,3 +192,13 @@ def test_thresholds(spark):
 
 def test_kinds_name_their_rows():
     assert Kind(2, 1) == Kind(2, 1) and forest.Params.of({"maxDepth": None}).depth > 1 << 20
+
+
+def test_repeated_rows_leave_every_threshold(spark):
+    """Far more rows than the sample holds, of few values each."""
+    df = spark.range(3 * forest.SAMPLE).selectExpr("cast(id % 24 as double) a", "cast(id % 24 * 10 as double) y")
+    (a,) = forest.thresholds(df, ["a"])
+    assert a.tolist() == [k + 0.5 for k in range(23)]
+    crowded = spark.range(50 * forest.SAMPLE).selectExpr("cast(if(id % 2 = 0, 0, id) as double) a")
+    (b,) = forest.thresholds(crowded, ["a"], 8)
+    assert len(b) >= 4 and b[0] < 50 < b[1]  # the repeated half is one value in the lowest shares
