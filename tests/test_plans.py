@@ -239,3 +239,16 @@ def test_scratch_empties_its_own_tables_only(spark, events, tmp_path, monkeypatc
         path = inside.inputFiles()[0].rsplit("/", 1)[0]
         assert inside.count() == 1000
     assert spark.read.schema(events.schema).parquet(path).count() == 0 and kept.count() == 1000
+
+
+def test_cuts_do_not_grow_with_the_rows(events, monkeypatch):
+    """Small blocks of a long series become larger, not more."""
+    asked = []
+    segment = ordering._segment
+    monkeypatch.setattr(ordering, "_segment", lambda df, pairs: (asked.append(len(pairs)), segment(df, pairs))[1])
+    monkeypatch.setattr(ordering, "FEW_BLOCKS", 5, raising=False)
+    short = lambda w: [F.lag("value", 1).over(w).alias("before")]
+    found = over_series(events, ["event_type"], ORDER, 1, short, hot_rows=0, block_rows=2)
+    plain = over_series(events, ["event_type"], ORDER, 1, short)
+    assert rows_of(found) == rows_of(plain.select(found.columns))
+    assert asked and max(asked) <= 5
