@@ -202,3 +202,31 @@ def test_repeated_rows_leave_every_threshold(spark):
     crowded = spark.range(50 * forest.SAMPLE).selectExpr("cast(if(id % 2 = 0, 0, id) as double) a")
     (b,) = forest.thresholds(crowded, ["a"], 8)
     assert len(b) >= 4 and b[0] < 50 < b[1]  # the repeated half is one value in the lowest shares
+
+
+def test_a_node_of_equal_targets_is_not_split():
+    """Rounding makes its squared error a little less than nothing."""
+    weights = np.array([[3.0, 4.0]])
+    for y in (0.1, 52.3, 117.77):
+        assert forest._split_of(weights, weights * y, 7 * y * y * (1 - 1e-15), 1)[0] == -1
+
+
+def test_limited_trees_of_many_rows_are_not_dealt(table, monkeypatch):
+    """Levels of histograms reach their ends, so no row is copied for a tree."""
+    key = F.xxhash64("i")
+    grid = {"numTrees": [2, 4], "maxDepth": [1, 5], "minRowsToSplit": [2, 25], "minInstancesPerNode": [1, 5]}
+    asked = train.combinations(grid)
+    from tidewatch.operators.evaluate import fold_blocks
+
+    blocks = fold_blocks(table, ["i"], 3)
+    fitted = forest.fit(table, NAMES, "y", {"numTrees": 3, "maxDepth": 6}, 7, key)
+    errors = forest.validation_errors(blocks, NAMES, "y", asked, 3, 7, key)
+
+    def dealt(*_):
+        raise AssertionError("rows are dealt")
+
+    monkeypatch.setattr(forest, "_groups", dealt)
+    monkeypatch.setattr(forest, "HELD", 2000)  # some nodes at a time
+    assert numbers(forest.fit(table, NAMES, "y", {"numTrees": 3, "maxDepth": 6}, 7, key, cells=400)) == numbers(fitted)
+    found = forest.validation_errors(blocks, NAMES, "y", asked, 3, 7, key, cells=400)
+    assert found.keys() == errors.keys() and all(found[c] == pytest.approx(errors[c], rel=1e-9) for c in found)
