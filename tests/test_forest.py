@@ -230,3 +230,29 @@ def test_limited_trees_of_many_rows_are_not_dealt(table, monkeypatch):
     assert numbers(forest.fit(table, NAMES, "y", {"numTrees": 3, "maxDepth": 6}, 7, key, cells=400)) == numbers(fitted)
     found = forest.validation_errors(blocks, NAMES, "y", asked, 3, 7, key, cells=400)
     assert found.keys() == errors.keys() and all(found[c] == pytest.approx(errors[c], rel=1e-9) for c in found)
+
+
+@pytest.mark.parametrize("dense", [1, 24, 1 << 40])
+def test_histograms_and_orders_split_alike_within_a_task(monkeypatch, dense):
+    monkeypatch.setattr(forest, "DENSE", dense)
+    for seed in range(40):
+        draw = np.random.default_rng(seed)
+        b, y, w = some_rows(draw)
+        least = int(draw.integers(1, 4))
+        assert nested(grow(b, y, w, least)) == plain(b[w > 0], y[w > 0], w[w > 0], least, 1 << 30)
+
+
+def test_trees_of_some_hundred_thousand_rows_are_whole_in_a_task(spark, monkeypatch):
+    """Their rows are dealt in blocks, once for some trees and all leaf sizes, not row by row for each."""
+
+    def dealt(*_):
+        raise AssertionError("rows are dealt for each tree")
+
+    monkeypatch.setattr(forest, "_groups", dealt)
+    df = spark.range(300_000).selectExpr("cast(id % 7 as double) a", "cast(id % 5 as double) b", "cast((id % 7) * (id % 5) as double) y", "id")
+    params = {"numTrees": 2, "maxDepth": None, "bootstrap": False}
+    model = forest.fit(df, ["a", "b"], "y", params, 7, F.xxhash64("id"))
+    assert model.votes(np.array([[6.0, 4.0], [3.0, 0.0]])).tolist() == [[24.0, 24.0], [0.0, 0.0]]
+    rows = forest.binned(df, ["a", "b"], forest.thresholds(df, ["a", "b"]), "y", F.xxhash64("id"), F.col("id") % 2)
+    parts = forest._packed(rows, 2).collect()
+    assert len(parts) < 300 and sum(r["n"] for r in parts) == 300_000
