@@ -177,3 +177,34 @@ def test_stream_scoring_equals_batch(spark, events, tmp_path):
     ).awaitTermination()
     batch = score_stream.scored_entries(rows, model, ["u", "e"], "ts", 4, "value")
     assert sorted(map(repr, logs.read_log(spark, log).drop("log_date").collect())) == sorted(map(repr, batch.collect()))
+
+
+def test_waiting_rows_are_written_once():
+    """Rows that come to an hour later do not write those before them again."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from tidewatch.operators.features import FeatureSpec
+    from tidewatch.streaming import features as stream
+
+    held, written, made, timers = {}, [], [], []
+
+    def update(key, value):
+        held[key] = value
+        written.append(stream._unpacked(value[0]).num_rows)
+
+    waiting = SimpleNamespace(getValue=held.get, updateValue=update, keys=lambda: list(held), removeKey=held.pop)
+    number = SimpleNamespace(exists=lambda: bool(made), get=lambda: made[-1], update=made.append)
+    handle = SimpleNamespace(
+        getMapState=lambda *_: waiting, getValueState=lambda *_: number, listTimers=lambda: timers, registerTimer=timers.append
+    )
+    schema = T.StructType([T.StructField("value", T.DoubleType()), T.StructField(stream._MICROS, T.LongType())])
+    series = stream._Series(FeatureSpec(target="value", order_by=(stream._MICROS,)), schema, ["value", "late"])
+    series.init(handle)
+    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    for turn in range(10):
+        rows = pd.DataFrame({"value": [1.0] * 20, stream._MICROS: range(1, 21), "key": "a"})
+        assert not list(series.handleInputRows(("a",), iter([rows]), clock))
+    assert sum(written) == 200 == sum(stream._unpacked(v[0]).num_rows for v in held.values())
