@@ -256,3 +256,31 @@ def test_trees_of_some_hundred_thousand_rows_are_whole_in_a_task(spark, monkeypa
     rows = forest.binned(df, ["a", "b"], forest.thresholds(df, ["a", "b"]), "y", F.xxhash64("id"), F.col("id") % 2)
     parts = forest._packed(rows, 2).collect()
     assert len(parts) < 300 and sum(r["n"] for r in parts) == 300_000
+
+
+def test_levels_read_packed_rows(table, monkeypatch):
+    """Not a record of its own for each row in each pass."""
+    level, seen = forest._level, []
+
+    def counted(rows, *rest):
+        seen.append(rows.count())
+        return level(rows, *rest)
+
+    monkeypatch.setattr(forest, "_level", counted)
+    forest.fit(table, NAMES, "y", {"numTrees": 2, "maxDepth": 3}, 7, F.xxhash64("i"), cells=400)
+    assert len(seen) == 3 and max(seen) <= 2 * table.sparkSession.sparkContext.defaultParallelism
+
+
+def test_draws_between_and_at_the_bounds():
+    key = np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 300_000)
+    found = draws(key, 5, 11, True)
+    share = np.array([_share(int(k), 5, 11) for k in key[:5000]])
+    assert found[:5000].tolist() == np.searchsorted(forest._POISSON, share, side="right").tolist()
+    assert (forest._DRAWS < 0).sum() < 32
+
+
+def _share(key, tree, seed):
+    x = (key + tree * 0x9E3779B97F4A7C15 + seed * 0xD1342543DE82EF95) % (1 << 64)
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % (1 << 64)
+    return ((x ^ (x >> 31)) >> 11) * 2.0**-53

@@ -252,3 +252,13 @@ def test_cuts_do_not_grow_with_the_rows(events, monkeypatch):
     plain = over_series(events, ["event_type"], ORDER, 1, short)
     assert rows_of(found) == rows_of(plain.select(found.columns))
     assert asked and max(asked) <= 5
+
+
+def test_a_key_of_some_million_rows_is_not_one_task(spark):
+    rows = spark.range(2_400_000).select("id", F.lit(1).alias("key"), F.col("id").cast("double").alias("value"))
+    found = over_series(rows, ["key"], ["id"], 3, lambda w: [F.lag("value", 3).over(w).alias("lag")])
+    parts = found.groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n"), F.count("lag").alias("known"), F.sum(F.col("value") - F.col("lag")).alias("apart")
+    ).collect()
+    assert sum(r["n"] for r in parts) == 2_400_000 and max(r["n"] for r in parts) < 2_400_000
+    assert sum(r["known"] for r in parts) == 2_399_997 and sum(r["apart"] for r in parts) == 3.0 * 2_399_997
