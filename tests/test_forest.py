@@ -1,6 +1,9 @@
 """Forests against a plain recursive version, and their cuts against forests grown that far."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +274,28 @@ def test_levels_read_packed_rows(table, monkeypatch):
     assert len(seen) == 3 and max(seen) <= 2 * table.sparkSession.sparkContext.defaultParallelism
 
 
+def test_a_task_copies_one_chunk_of_a_batch(monkeypatch):
+    """Whatever the parts that Spark sends at a time; the rows are all there."""
+    monkeypatch.setattr(forest, "CHUNK", 20_000)
+    draw = np.random.default_rng(5)
+    n, size, count = 100, 10_000, 2
+    keys, ys, bins = draw.integers(0, 1 << 60, (n, size)), draw.normal(size=(n, size)), draw.integers(0, 32, (n, size, count), np.uint8)
+    rows = [k.tobytes() + y.tobytes() + b.tobytes() for k, y, b in zip(keys, ys, bins, strict=True)]
+    columns = [pa.array(range(n), pa.int64()), pa.array([i % 3 for i in range(n)], pa.int32()), pa.array([size] * n, pa.int32())]
+    batch = pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.binary())], ["part", "block", "n", "rows"])
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    at = 0
+    for chunk in forest._chunks(iter([batch]), count):
+        some = slice(at // size, at // size + 2)
+        assert all((a == b.reshape(a.shape)).all() for a, b in zip(chunk, (bins[some], ys[some], keys[some]), strict=False))
+        assert (chunk[3] == np.repeat([i % 3 for i in range(n)][some], size)).all()
+        at += len(chunk[1])
+    peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert at == n * size and peak < 4_000_000 < batch.nbytes / 4
+
+
 def test_draws_between_and_at_the_bounds():
     key = np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 300_000)
     found = draws(key, 5, 11, True)
