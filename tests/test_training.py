@@ -123,3 +123,26 @@ def test_queries_search_the_whole_grid(spark, monkeypatch):
     assert trained.tr_cv_best(spark, SF).count() == 1
     assert asked == [presets.PARAM_GRID]
     assert stored.JOB_PLAN.grid == presets.PARAM_GRID and len(train.combinations(stored.JOB_PLAN.grid)) == 108
+
+
+def test_scoring_job_scores_with_a_forest_from_the_whole_search(spark, monkeypatch):
+    """Its trees differ; the tree of one split is a query of its own."""
+    from tests.conftest import SF
+    from tidewatch import presets
+    from tidewatch.workload import stored
+
+    asked = []
+
+    def search(df, features, target, order_by, grid, folds, seed):
+        asked.append((grid, folds, len(features)))
+        params = {"numTrees": 3, "maxDepth": 4}
+        return train.fit_forest(df, features, target, params, seed, order_by), params, -1.0
+
+    monkeypatch.setattr(train, "tune", search)
+    for report in ("_store_profile", "_store_importance"):
+        monkeypatch.setattr(stored.jobs, report, lambda *_: None)
+    found = stored.job_score(spark, SF).toPandas()
+    assert asked == [(presets.PARAM_GRID, presets.CV_FOLDS, len(stored.JOB_SPEC.feature_columns))]
+    # All but the first 24 rows of the five types, which lack lags.
+    assert len(found) == 1000 - 5 * 24 and (found["std"] > 0).mean() > 0.9 and found["prediction"].nunique() > 10
+    assert stored.QUERIES["job_score_stump"] is stored.job_score_stump and "job_score_stump" in stored.ORACLE
