@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import forest, importance, score, train
 from tidewatch.operators.evaluate import expanding_folds
-from tidewatch.operators.forest import Forest, Kind, draws, grow
+from tidewatch.operators.forest import Forest, Kind, draws, grow, grow_alike
 
 
 def plain(b, y, w, least, depth, split=2, level=0):
@@ -309,3 +309,49 @@ def _share(key, tree, seed):
     x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % (1 << 64)
     x = (x ^ (x >> 27)) * 0x94D049BB133111EB % (1 << 64)
     return ((x ^ (x >> 31)) >> 11) * 2.0**-53
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_trees_of_some_leaf_sizes_at_once(seed):
+    draw = np.random.default_rng(seed)
+    b, y, w = some_rows(draw)
+    depth = int(draw.integers(0, 9)) if seed % 2 else 1 << 30
+    trees = grow_alike(b, y, w, [1, 2, 4], depth, 3)
+    there = w > 0
+    for least, tree in zip([1, 2, 4], trees, strict=True):
+        assert nested(tree) == plain(b[there], y[there], w[there], least, depth)
+        assert tree.depth[0] == 3
+
+
+def test_trees_of_some_leaf_sizes_share_their_nodes(monkeypatch):
+    """Rows are looked at little more often than for one tree, in blocks that do not grow with the rows."""
+    split, seen = forest._Growth._split, []
+
+    def counted(self, nodes, best):
+        seen.append((len(nodes.rows), nodes.size.max()))
+        return split(self, nodes, best)
+
+    monkeypatch.setattr(forest._Growth, "_split", counted)
+    monkeypatch.setattr(forest, "BLOCK", 4096)
+    draw = np.random.default_rng(1)
+    b, y, w = draw.integers(0, 32, (40_000, 5), np.uint8), draw.exponential(50, 40_000), draw.poisson(1, 40_000)
+    asked = []
+    for leasts in ([1], [1, 2, 4]):
+        seen.clear()
+        trees = grow_alike(b, y, w, leasts)
+        asked.append(sum(n for n, _ in seen))
+        assert max(n for n, size in seen if size <= 4096) <= max(4096, forest.TABLE // 2)
+        for least, tree in zip(leasts, trees, strict=True):
+            assert tree.rows[tree.feature < 0].min() >= least and tree.rows[tree.feature < 0].sum() == w.sum()
+    assert asked[1] < 1.8 * asked[0]
+
+
+def test_rounding_splits_no_equal_targets_and_no_ties():
+    draw = np.random.default_rng(2)
+    for y in (0.1, 52.3, 117.77):
+        tree = grow(draw.integers(0, 9, (50, 3)).astype(np.uint8), np.full(50, y), draw.poisson(2, 50), 1)
+        assert len(tree.feature) == 1
+    for _ in range(200):  # both features split alike, with the sides swapped
+        side = draw.permutation([0, 0, 1])
+        tree = grow(np.column_stack([side, 1 - side]).astype(np.uint8), draw.choice([228.29, 228.36, 161.46], 3), draw.integers(1, 4, 3), 1)
+        assert tree.feature[0] in (-1, 0)
